@@ -1,9 +1,10 @@
 """A table as immutable Parquet folders plus a small file that names the current ones.
 
-``<table>/tm_gen=<token>/[tm_part=<value>/]*.parquet`` hold the rows; a commit adds
+``<table>/<base>/tm_gen=<token>/[tm_part=<value>/]*.parquet`` hold the rows; a commit adds
 ``<table>/_versions/<n>.json``, which lists the folders that make up version ``n``. Readers take
 the highest version, so they see either the old rows or the new ones. One writer per table; a
-second one fails when it tries to commit the same version.
+second one fails when it tries to commit the same version. All files of a base folder have the
+same columns: a change of columns starts a new one.
 """
 
 from __future__ import annotations
@@ -141,13 +142,14 @@ class SnapshotTable:
         if not live:
             return empty_frame(self.spark, schema)
         paths = []
+        root = f"{self.path}/{manifest['base']}"
         for token, values in live.items():
-            base = f"{self.path}/{GEN}={token}"
+            base = f"{root}/{GEN}={token}"
             if not partitioned or len(values) == manifest["gens"][token]:
                 paths.append(base)
             else:
                 paths += [f"{base}/{PART}={_NULL_DIR if v is None else v}" for v in values]
-        rows = self.spark.read.schema(schema).option("basePath", self.path).parquet(*paths)
+        rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
         if not partitioned:
             rows = rows.withColumn(PART, F.lit(None).cast("string"))
         return rows.select(*[col(f.name) for f in schema.fields])
@@ -168,8 +170,10 @@ class SnapshotTable:
         if found and not replace:
             return self
         layout.check(schema)
+        version = found[-1] + 1 if found else 1
         self._commit({
-            "version": found[-1] + 1 if found else 1,
+            "version": version,
+            "base": f"base{version:08d}",
             "schema": schema.jsonValue(),
             "layout": layout.to_json(),
             "description": description,
@@ -202,6 +206,12 @@ class SnapshotTable:
         version = manifest["version"] + 1
         token = f"{version:08d}_{uuid.uuid4().hex[:8]}"
         if schema is not None:
+            if parts is not None:
+                raise ValueError("columns change only with all rows")
+            before = T.StructType.fromJson(manifest["schema"])
+            if [(f.name, f.dataType) for f in before] != [(f.name, f.dataType) for f in schema]:
+                manifest["base"] = f"base{version:08d}"
+                manifest["gens"] = {}
             manifest["schema"] = schema.jsonValue()
         added = self._write(df, manifest, token, keys)
         gone = {p["part"] for p in manifest["parts"]} if parts is None else set(parts)
@@ -230,7 +240,7 @@ class SnapshotTable:
 
     def _write(self, df: DataFrame, manifest: dict, token: str, keys: Sequence[str]) -> list[dict]:
         layout = Layout.from_json(manifest["layout"])
-        path = f"{self.path}/{GEN}={token}"
+        path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
         rows = df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in fields])
         # Without this, timestamps would get no statistics to skip row groups by.
@@ -243,8 +253,8 @@ class SnapshotTable:
 
     def _measure(self, manifest: dict, token: str) -> list[dict]:
         """Rows and highest stamp of each partition just written: one column of the new files."""
-        if not [n for n in self._fs.names(f"{self.path}/{GEN}={token}") if n[0] not in "_."
-                or n.startswith(PART)]:
+        written = self._fs.names(f"{self.path}/{manifest['base']}/{GEN}={token}")
+        if not [n for n in written if n[0] not in "_."]:
             return []
         probe = {**manifest, "gens": {token: 1}}
         rows = self._frame(probe, [{"part": None, "dirs": [token]}])
@@ -280,32 +290,37 @@ class SnapshotTable:
             return
 
         def folders(versions):
+            out = set()
             for v in versions:
                 m = self.manifest(v)
                 partitioned = Layout.from_json(m["layout"]).partition is not None
                 for p in m["parts"]:
                     for token in p["dirs"]:
-                        yield token, (p["part"] if partitioned else None), partitioned
-
-        needed = set(folders(kept))
-        tokens = {t for t, _, _ in needed}
-        for token, part, partitioned in set(folders(old)) - needed:
-            base = f"{self.path}/{GEN}={token}"
-            if token not in tokens or not partitioned:
-                self._fs.delete(base)
-            else:
-                self._fs.delete(f"{base}/{PART}={_NULL_DIR if part is None else part}")
+                        gen = f"{m['base']}/{GEN}={token}"
+                        value = _NULL_DIR if p["part"] is None else p["part"]
+                        out.add((gen, f"{gen}/{PART}={value}" if partitioned else gen))
+            return out
+
+        needed = folders(kept)
+        gens = {gen for gen, _ in needed}
+        for gen, folder in folders(old) - needed:
+            self._fs.delete(f"{self.path}/{folder if gen in gens else gen}")
         for v in old:
             self._fs.delete(self._version_path(v))
 
     def drop_orphans(self) -> list[str]:
         """Remove folders left by failed writes; only for a table nobody is writing to."""
-        used = {t for v in self.versions() for t in self.manifest(v)["gens"]}
-        prefix = f"{GEN}="
-        left = [n for n in self._fs.names(self.path) if n.startswith(prefix)]
-        orphans = [n for n in left if n[len(prefix):] not in used]
-        for name in orphans:
-            self._fs.delete(f"{self.path}/{name}")
+        used = set()
+        for v in self.versions():
+            m = self.manifest(v)
+            used |= {f"{m['base']}/{GEN}={token}" for token in m["gens"]}
+        orphans = []
+        for base in self._fs.names(self.path):
+            if base.startswith("base"):
+                found = {f"{base}/{n}" for n in self._fs.names(f"{self.path}/{base}")}
+                orphans += sorted(found - used)
+        for folder in orphans:
+            self._fs.delete(f"{self.path}/{folder}")
         return orphans
 
     # SQL name
@@ -355,4 +370,5 @@ class SnapshotTable:
         if manifest["tombstones"]:
             where = f"({where}) AND coalesce({FLAG}, 'I') <> 'D'"
         names = ", ".join(quote(f.name) for f in schema.fields)
-        return f"SELECT {names} FROM parquet.{quote(self.path)} WHERE {where}"
+        root = f"{self.path}/{manifest['base']}"
+        return f"SELECT {names} FROM parquet.{quote(root)} WHERE {where}"

@@ -15,7 +15,7 @@ def spark():
         "tidemark-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
             "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",

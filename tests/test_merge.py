@@ -1,0 +1,197 @@
+import random
+from datetime import timedelta
+
+import pytest
+
+from tests import model
+from tests.helpers import feed, state
+from tidemark import FeedSpec, Layout, SettingsError, SnapshotTable, TimePartition
+from tidemark.operators import feed as ops
+from tidemark.operators.apply import MAX_FOLDERS, apply_feed, merge_into
+from tidemark.operators.merge import merge_changes, merge_into_catalog
+
+SPEC = FeedSpec(tiebreak=("v",))
+LAYOUTS = {
+    "plain": Layout(),
+    "day": Layout(TimePartition("recordstamp", "day")),
+    "day_clustered": Layout(TimePartition("recordstamp", "day"), ("k",)),
+    "clustered": Layout(cluster=("k", "v")),
+}
+# Flags met by a row that exists (1-6) and by one that does not (11-16).
+ACTIONS = [(i, 9, f, 100 + i) for i, f in enumerate(["D", "I", "U", "L", None, "X"], 1)]
+ACTIONS += [(10 + k, s, f, v) for k, s, f, v in ACTIONS]
+BEFORE = [(i, 5, "I", i) for i in range(1, 9)]
+AFTER = {
+    2: (9, 102), 3: (9, 103), 4: (9, 104), 5: (5, 5), 6: (5, 6), 7: (5, 7), 8: (5, 8),
+    12: (9, 102), 13: (9, 103), 14: (9, 104), 15: (9, 105), 16: (9, 106),
+}
+
+
+@pytest.mark.parametrize("strategy", ["outer", "anti"])
+def test_action_table(spark, strategy):
+    target = ops.cdc_columns(feed(spark, BEFORE))
+    got = state(merge_changes(target, feed(spark, ACTIONS), ["K"], SPEC, strategy=strategy))
+    assert got == AFTER
+    assert got == model.merge({k: (s, v) for k, s, _, v in BEFORE}, model.latest(ACTIONS))
+
+
+@pytest.mark.parametrize(
+    "layout,broadcast", [("plain", 1 << 20), ("day", -1), ("day_clustered", 1 << 20), ("clustered", -1)])
+def test_action_table_on_a_stored_table(spark, tmp_path, layout, broadcast):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    apply_feed(spark, feed(spark, BEFORE), table, ["k"], SPEC, layout=LAYOUTS[layout])
+    merge_into(spark, table, feed(spark, ACTIONS), ["k"], SPEC, broadcast_bytes=broadcast)
+    assert state(table.read()) == AFTER
+
+
+def test_compare_policy_ignores_older_changes(spark, tmp_path):
+    before = [(1, 5, "I", 1), (2, 5, "I", 2), (3, 5, "I", 3), (4, 5, "I", 4)]
+    changes = [(1, 4, "U", 11), (2, 5, "U", 12), (3, 4, "D", 13), (4, 6, "D", 14), (5, 1, "U", 15)]
+    want = {1: (5, 1), 2: (5, 12), 3: (5, 3), 5: (1, 15)}
+    target = ops.cdc_columns(feed(spark, before))
+    assert state(merge_changes(target, feed(spark, changes), ["k"], SPEC, "compare")) == want
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    apply_feed(spark, feed(spark, before), table, ["k"], SPEC)
+    merge_into(spark, table, feed(spark, changes), ["k"], SPEC, compare=True)
+    assert state(table.read()) == want
+
+
+@pytest.mark.parametrize(
+    "flags,layout", [("IULD", "plain"), ("IULDX-", "day_clustered"), ("IULD", "day")])
+def test_random_batches_match_model(spark, tmp_path, flags, layout):
+    rng = random.Random(flags + layout)
+    rows = [
+        (rng.choice([None, *range(40)]), rng.choice([None, *range(0, 240, 6)]),
+         {"-": None}.get(f := rng.choice(flags), f), i)
+        for i in range(400)
+    ]
+    table, want = SnapshotTable(spark, str(tmp_path / "t")), {}
+    for cut in (60, 61, 150, 300, 300):  # the last run finds nothing new
+        arrived = [r for r in rows if r[1] is None or r[1] < cut]
+        apply_feed(spark, feed(spark, arrived), table, ["k"], SPEC, layout=LAYOUTS[layout])
+        want = model.apply(want, arrived)
+        assert state(table.read()) == want
+    if flags == "IULD":
+        stamped = [r for r in rows if r[1] is not None]
+        assert want == model.current_state(stamped)
+
+
+def test_late_rows_drop_and_compare(spark, tmp_path):
+    first = [(1, 10, "I", 1), (2, 20, "I", 2)]
+    late = [*first, (3, 15, "I", 3), (1, 5, "U", 4), (2, 30, "U", 5)]
+    drop = SnapshotTable(spark, str(tmp_path / "drop"))
+    compare = SnapshotTable(spark, str(tmp_path / "compare"))
+    lookback = SnapshotTable(spark, str(tmp_path / "lookback"))
+    for rows in (first, late):
+        apply_feed(spark, feed(spark, rows), drop, ["k"], SPEC)
+        apply_feed(spark, feed(spark, rows), compare, ["k"], SPEC, "compare")
+        apply_feed(spark, feed(spark, rows), lookback, ["k"], SPEC, "compare",
+                   lookback=timedelta(hours=4))
+    assert state(drop.read()) == {1: (10, 1), 2: (30, 5)}
+    assert state(compare.read()) == {1: (10, 1), 2: (30, 5), 3: (15, 3)}
+    assert state(lookback.read()) == {1: (10, 1), 2: (30, 5)}
+
+
+def test_watermark_moves_back_after_deleting_the_newest_row(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = [(1, 10, "I", 1), (2, 20, "I", 2)]
+    apply_feed(spark, feed(spark, rows), table, ["k"], SPEC)
+    rows.append((2, 21, "D", 2))
+    for _ in range(3):
+        apply_feed(spark, feed(spark, rows), table, ["k"], SPEC)
+        assert state(table.read()) == {1: (10, 1)}
+        assert table.current()["parts"][0]["stamp"] == 1577836800000000 + 10 * 3600 * 1000000
+
+
+def test_empty_feed_empty_target_and_all_deleted(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    apply_feed(spark, feed(spark, []), table, ["k"], SPEC)
+    assert state(table.read()) == {}
+    apply_feed(spark, feed(spark, [(1, 1, "D", 1)]), table, ["k"], SPEC)
+    assert state(table.read()) == {}
+    apply_feed(spark, feed(spark, [(1, 1, "I", 1)]), table, ["k"], SPEC)
+    apply_feed(spark, feed(spark, [(1, 1, "I", 1), (1, 2, "D", 1)]), table, ["k"], SPEC)
+    assert state(table.read()) == {}
+    assert table.is_empty()
+    apply_feed(spark, feed(spark, [(3, 2, "U", 1)]), table, ["k"], SPEC)
+    assert state(table.read()) == {3: (2, 1)}
+
+
+def test_only_partitions_that_lose_rows_are_rewritten(spark, tmp_path):
+    layout = LAYOUTS["day"]
+    table = SnapshotTable(spark, str(tmp_path / "t"), keep=10)
+    rows = [(i, 24 * i, "I", i) for i in range(6)]
+    apply_feed(spark, feed(spark, rows), table, ["k"], SPEC, layout=layout)
+    before = {p["part"]: p["dirs"] for p in table.current()["parts"]}
+    # Key 1 moves to day 5, key 9 is new on day 5: day 1 is emptied, day 5 only added to.
+    rows += [(1, 24 * 5 + 1, "U", 11), (9, 24 * 5 + 2, "I", 9)]
+    apply_feed(spark, feed(spark, rows), table, ["k"], SPEC)
+    after = {p["part"]: p["dirs"] for p in table.current()["parts"]}
+    assert set(before) - set(after) == {"2020-01-02"}
+    assert after["2020-01-01"] == before["2020-01-01"]
+    # Day 5 also holds key 5 at the old highest stamp, which is read again and so rewritten.
+    assert len(after["2020-01-06"]) == 1
+    assert state(table.read())[1] == (121, 11)
+
+
+def test_new_rows_are_added_without_a_rewrite_until_folders_pile_up(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"), keep=2)
+    table.create(ops.cdc_columns(feed(spark, [])).schema, stamp="recordstamp")
+    for i in range(MAX_FOLDERS + 2):
+        merge_into(spark, table, feed(spark, [(i, i, "I", i)]), ["k"], SPEC)
+        folders = len(table.current()["parts"][0]["dirs"])
+        assert folders == (i + 1 if i < MAX_FOLDERS else i + 1 - MAX_FOLDERS)
+    assert state(table.read()) == {i: (i, i) for i in range(MAX_FOLDERS + 2)}
+
+
+def test_new_feed_columns(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    apply_feed(spark, feed(spark, [(1, 1, "I", 1), (2, 1, "I", 2)]), table, ["k"], SPEC)
+    wider = feed(spark, [(2, 3, "U", 5)]).selectExpr("*", "'x' AS extra")
+    with pytest.raises(SettingsError, match="extra"):
+        apply_feed(spark, wider, table, ["k"], SPEC)
+    apply_feed(spark, wider, table, ["k"], SPEC, allow_new_columns=True)
+    got = {r.k: (r.v, r.extra) for r in table.read().collect()}
+    assert got == {1: (1, None), 2: (5, "x")}
+    with pytest.raises(SettingsError, match="lacks"):
+        apply_feed(spark, wider.drop("v"), table, ["k"], FeedSpec())
+
+
+def test_delete_when(spark, tmp_path):
+    spec = FeedSpec(tiebreak=("v",), delete_when="is_deleted = true")
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = [(1, 1, "I", 1), (2, 1, "I", 2), (1, 2, "U", 3)]
+    for n in (2, 3):
+        df = feed(spark, rows[:n]).selectExpr("*", "v = 3 AS is_deleted")
+        apply_feed(spark, df, table, ["k"], spec)
+    assert state(table.read()) == {2: (1, 2)}
+    assert "is_deleted" not in table.schema().names
+
+
+def test_compound_and_awkward_keys(spark, tmp_path):
+    df = spark.sql(
+        "SELECT 'a' AS `key one`, k AS `key.two`, timestamp_seconds(k) AS recordstamp, "
+        "'I' AS operation_flag, map('x', k) AS m FROM (SELECT id AS k FROM range(5))")
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    keys = ["KEY ONE", "key.two"]
+    apply_feed(spark, df, table, keys)
+    gone = df.selectExpr("`key one`", "`key.two`", "timestamp_seconds(9) AS recordstamp",
+                         "'D' AS operation_flag", "m").where("`key.two` > 2")
+    apply_feed(spark, df.unionByName(gone), table, keys)
+    assert sorted(r["key.two"] for r in table.read().collect()) == [0, 1, 2]
+    assert ops.current_state(df.unionByName(gone), keys).count() == 3
+
+
+def test_catalog_merge_is_refused_by_plain_files(spark):
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW plain AS SELECT 1L AS k, 1L AS v")
+    with pytest.raises(Exception, match="(?i)merge|TABLE"):
+        merge_into_catalog(
+            spark, "plain", spark.sql("SELECT 1L AS k, 2L AS v, 'U' AS operation_flag"), ["k"])
+
+
+def test_wrong_arguments(spark):
+    df = ops.cdc_columns(feed(spark, BEFORE))
+    with pytest.raises(ValueError, match="late_policy"):
+        merge_changes(df, feed(spark, ACTIONS), ["k"], late_policy="later")
+    with pytest.raises(ValueError, match="strategy"):
+        merge_changes(df, feed(spark, ACTIONS), ["k"], strategy="magic")

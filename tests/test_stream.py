@@ -1,0 +1,56 @@
+import random
+
+from tests import model
+from tests.helpers import feed, state
+from tidemark import FeedSpec, SnapshotTable
+from tidemark.operators import feed as ops
+from tidemark.streaming.cdc import apply_batch, stream_cdc
+from tidemark.operators.apply import open_table
+
+SPEC = FeedSpec(tiebreak=("v",))
+
+
+def target(spark, path):
+    return open_table(SnapshotTable(spark, str(path)), feed(spark, []), SPEC, tombstones=True)
+
+
+def test_late_row_does_not_bring_back_a_deleted_key(spark, tmp_path):
+    table = target(spark, tmp_path / "t")
+    batches = [
+        [(1, 10, "I", 1), (2, 10, "I", 2)],
+        [(1, 20, "D", 1), (3, 20, "D", 3)],
+        [(1, 15, "U", 9), (3, 5, "I", 9), (2, 5, "U", 9)],  # all late
+        [(1, 20, "I", 9)],  # a delete of the same stamp goes first
+        [(2, 12, None, 8), (2, 13, "X", 7)],  # unknown flags leave a row alone
+    ]
+    for i, rows in enumerate(batches):
+        apply_batch(feed(spark, rows), i, table, ["k"], SPEC)
+    assert state(table.read()) == {2: (10, 2)}
+    apply_batch(feed(spark, [(1, 30, None, 5)]), 9, table, ["k"], SPEC)
+    assert state(table.read()) == {1: (30, 5), 2: (10, 2)}
+
+
+def test_replayed_batch_is_not_applied_twice(spark, tmp_path):
+    table = target(spark, tmp_path / "t")
+    apply_batch(feed(spark, [(1, 1, "I", 1)]), 0, table, ["k"], SPEC)
+    version = table.current()["version"]
+    apply_batch(feed(spark, [(1, 2, "U", 2)]), 0, table, ["k"], SPEC)
+    assert table.current()["version"] == version
+    apply_batch(feed(spark, []), 1, table, ["k"], SPEC)
+    assert table.current()["meta"] == {"stream": 1}
+
+
+def test_any_arrival_order_gives_the_current_state(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(rng.randrange(12), rng.randrange(8), rng.choice("IULD"), i) for i in range(200)]
+    landing, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
+    shuffled = rows[:]
+    rng.shuffle(shuffled)
+    schema = feed(spark, []).schema
+    for i in range(3):
+        feed(spark, shuffled[i::3]).coalesce(1).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        stream_cdc(stream, table, ["K"], str(tmp_path / "check"), SPEC).awaitTermination()
+    assert state(table.read()) == model.current_state(rows)
+    view = ops.current_state(spark.read.parquet(landing), ["k"], SPEC)
+    assert sorted(view.collect()) == sorted(table.read().drop("recordstamp").collect())

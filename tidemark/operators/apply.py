@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,11 +128,15 @@ def merge_into(
 
     with staging(spark) as stage:
         target = table.stored()
-        staged = stage.put(align(changes, target.select(*cols(names)), spec), "changes")
-        size = staged.agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))).alias("bytes"),
-        ).first()
+        size = Observation()
+        aligned = align(changes, target.select(*cols(names)), spec)
+        per_row = sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))
+        staged = stage.put(
+            aligned.observe(
+                size, F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")),
+            "changes",
+        )
+        size = size.get
         if size["rows"] == 0:
             return table.replace_parts(staged, (), keys, meta) if meta else manifest
         small = size["bytes"] <= broadcast_bytes

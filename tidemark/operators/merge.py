@@ -17,9 +17,11 @@ FLAG = "tm_flag"
 def align(changes: DataFrame, target: DataFrame, spec: FeedSpec) -> DataFrame:
     """The target's columns in the target's types, plus the effective flag."""
     names = resolve(changes.columns, target.columns)
+    types = {f.name: f.dataType for f in changes.schema.toNullable().fields}
     picked = [
-        col(have).cast(field.dataType).alias(field.name)
-        for have, field in zip(names, target.schema.fields)
+        (col(have) if types[have] == field.dataType else col(have).cast(field.dataType))
+        .alias(field.name)
+        for have, field in zip(names, target.schema.toNullable().fields)
     ]
     return changes.select(*picked, flag_of(spec).alias(FLAG))
 

@@ -38,6 +38,12 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.range(0).select(*none)
 
 
+def _typed(df: DataFrame, field: T.StructField) -> Column:
+    same = df.schema[field.name].dataType == field.dataType
+    value = col(field.name)
+    return value if same else value.cast(field.dataType).alias(field.name)
+
+
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, name: str | None = None, keep: int = 3):
         self.spark, self.path, self.name, self.keep = spark, path.rstrip("/"), name, keep
@@ -169,6 +175,7 @@ class SnapshotTable:
         found = self.versions()
         if found and not replace:
             return self
+        schema = schema.toNullable()
         layout.check(schema)
         version = found[-1] + 1 if found else 1
         self._commit({
@@ -208,6 +215,7 @@ class SnapshotTable:
         if schema is not None:
             if parts is not None:
                 raise ValueError("columns change only with all rows")
+            schema = schema.toNullable()
             before = T.StructType.fromJson(manifest["schema"])
             if [(f.name, f.dataType) for f in before] != [(f.name, f.dataType) for f in schema]:
                 manifest["base"] = f"base{version:08d}"
@@ -242,7 +250,7 @@ class SnapshotTable:
         layout = Layout.from_json(manifest["layout"])
         path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
-        rows = df.select(*[col(f.name).cast(f.dataType).alias(f.name) for f in fields])
+        rows = df.select(*[_typed(df, f) for f in fields])
         # Without this, timestamps would get no statistics to skip row groups by.
         self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         writer = arrange(rows, layout, keys).write

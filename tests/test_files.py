@@ -1,0 +1,129 @@
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark import Warehouse
+from tidemark.sources import files
+
+
+@pytest.fixture
+def house(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path / "w"))
+    house.tag = f"files{abs(hash(str(tmp_path))) % 10**9}"
+    house.create_dataset(house.tag)
+    return house
+
+
+def source(spark, path, n=4):
+    df = spark.range(n).select("id", (F.col("id") * 0.5).alias("x"), F.lit("a,b").alias("s"))
+    getattr(df.write.option("header", True), path.rsplit(".", 1)[1])(path)
+    return path
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_load_by_extension(spark, tmp_path, house, fmt):
+    path = source(spark, str(tmp_path / f"in.{fmt}"))
+    result = files.load_tables(house, path, f"{house.tag}.t")
+    assert [r.status for r in result] == ["loaded"]
+    df = spark.table(f"{house.tag}.t")
+    assert dict(df.dtypes) == {"id": "bigint", "x": "double", "s": "string"}
+    assert sorted(r.id for r in df.collect()) == [0, 1, 2, 3]
+
+
+def test_unsupported_formats(spark, tmp_path, house):
+    with pytest.raises(ValueError, match="xlsx"):
+        files.load_tables(house, "/nowhere/a.xlsx", f"{house.tag}.t")
+    with pytest.raises(ValueError, match="avro"):
+        files.load_tables(house, "/nowhere/a.avro", f"{house.tag}.t")
+    with pytest.raises(ValueError, match="as many"):
+        files.load_tables(house, ["a/b.csv"], [])
+    with pytest.raises(ValueError, match="dataset.table"):
+        house.table("one")
+
+
+def test_dispositions(spark, tmp_path, house):
+    path, name = source(spark, str(tmp_path / "in.parquet")), f"{house.tag}.t"
+
+    def load(disposition):
+        status = files.load_tables(house, path, name, disposition=disposition)[0].status
+        return status, spark.table(name).count()
+
+    assert load("empty") == ("loaded", 4)
+    assert load("empty") == ("skipped", 4)
+    assert load("append") == ("loaded", 8)
+    assert load("truncate") == ("loaded", 4)
+    with pytest.raises(ValueError, match="disposition"):
+        load("replace")
+
+
+def test_skip_existing_and_failures(spark, tmp_path, house):
+    good, name = source(spark, str(tmp_path / "in.parquet")), f"{house.tag}.t"
+    missing = str(tmp_path / "missing.parquet")
+    files.load_tables(house, good, name)
+    names = [name, f"{house.tag}.u", f"{house.tag}.v"]
+    result = files.load_tables(
+        house, [good, missing, good], names, skip_existing=True, continue_if_failed=True)
+    assert [r.status for r in result] == ["skipped", "failed", "loaded"]
+    assert "missing.parquet" in str(result[1].error)
+    with pytest.raises(Exception, match="missing.parquet"):
+        files.load_tables(house, [missing, good], names[1:])
+
+
+def test_stop_early_leaves_waiting_jobs_out():
+    started = []
+
+    def job(i):
+        started.append(i)
+        if i == 0:
+            raise RuntimeError("first")
+        return i
+
+    out = files.run_jobs([lambda i=i: job(i) for i in range(50)], 1)
+    assert isinstance(out[0], RuntimeError) and out[-1] is None and len(started) < 50
+    out = files.run_jobs([lambda i=i: job(i) for i in range(5)], 2, stop_early=False)
+    assert out[1:] == [1, 2, 3, 4]
+
+
+def test_copies(spark, tmp_path, house):
+    path = source(spark, str(tmp_path / "in.parquet"))
+    a, b = f"{house.tag}_a", f"{house.tag}_b"
+    files.load_tables(house, [path, path], [f"{a}.t", f"{a}.u"])
+    spark.range(3).write.mode("overwrite").option("path", str(tmp_path / "plain")).saveAsTable(f"{a}.plain")
+    spark.sql(f"CREATE VIEW {a}.view AS SELECT 1 AS one")
+    assert house.tables(a) == ["plain", "t", "u"]
+    assert files.copy_table(house, f"{a}.t", f"{b}.t").status == "loaded"
+    result = files.copy_dataset(house, a, b, skip_existing=True)
+    assert [r.status for r in result] == ["loaded", "skipped", "loaded"]
+    assert spark.table(f"{b}.plain").count() == 3
+    assert house.tables(b) == ["plain", "t", "u"]
+
+
+def test_extract_shares_rows_between_uris(spark, tmp_path, house):
+    files.load_tables(house, source(spark, str(tmp_path / "in.parquet"), 50), f"{house.tag}.t")
+    uris = [str(tmp_path / f"out{i}") for i in range(3)]
+    files.extract_table(house, f"{house.tag}.t", uris, "json")
+    parts = [spark.read.json(u).count() for u in uris]
+    assert sum(parts) == 50 and all(parts)
+    one = str(tmp_path / "one")
+    files.extract_table(house, f"{house.tag}.t", one)
+    assert spark.read.option("header", True).csv(one).columns == ["id", "x", "s"]
+
+
+def test_mapping(spark, tmp_path):
+    mapping = str(tmp_path / "map.csv")
+    with open(mapping, "w") as f:
+        f.write("src,tgt,kind\nA,id,INTEGER\nB,x,NUMERIC\nC,s,STRING\nD,stamp,DATE\n")
+    schema = files.mapped_schema(
+        spark, mapping, "tgt", {"stamp": "TIMESTAMP", "flag": "STRING"}, "kind")
+    assert [(f.name, f.dataType) for f in schema] == [
+        ("id", T.LongType()), ("x", T.DecimalType(38, 9)), ("s", T.StringType()),
+        ("stamp", T.TimestampType()), ("flag", T.StringType())]
+    text = files.mapped_schema(spark, mapping, "tgt", {})
+    assert {f.dataType for f in text} == {T.StringType()}
+    data = source(spark, str(tmp_path / "in.csv"))
+    df = files.read_with_mapping(
+        spark, data, mapping, "tgt", {"flag": "STRING"}, "kind")
+    assert [float(r.x) for r in df.orderBy("id").collect()] == [0.0, 0.5, 1.0, 1.5]
+    assert df.where("flag IS NOT NULL OR stamp IS NOT NULL").count() == 0
+    with pytest.raises(ValueError, match="GEOGRAPHY"):
+        files.mapped_schema(spark, mapping, "tgt", {"g": "GEOGRAPHY"})

@@ -7,7 +7,7 @@ from tests import model
 from tests.helpers import feed, state
 from tidemark import FeedSpec, Layout, SettingsError, SnapshotTable, TimePartition
 from tidemark.operators import feed as ops
-from tidemark.operators.apply import MAX_FOLDERS, apply_feed, merge_into
+from tidemark.operators.apply import apply_feed, merge_into
 from tidemark.operators.merge import merge_changes, merge_into_catalog
 
 SPEC = FeedSpec(tiebreak=("v",))
@@ -134,14 +134,14 @@ def test_only_partitions_that_lose_rows_are_rewritten(spark, tmp_path):
     assert state(table.read())[1] == (121, 11)
 
 
-def test_new_rows_are_added_without_a_rewrite_until_folders_pile_up(spark, tmp_path):
+def test_new_rows_are_added_without_a_rewrite_until_folders_pile_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.apply.MAX_FOLDERS", 3)
     table = SnapshotTable(spark, str(tmp_path / "t"), keep=2)
     table.create(ops.cdc_columns(feed(spark, [])).schema, stamp="recordstamp")
-    for i in range(MAX_FOLDERS + 2):
+    for i, folders in enumerate([1, 2, 3, 1, 2]):
         merge_into(spark, table, feed(spark, [(i, i, "I", i)]), ["k"], SPEC)
-        folders = len(table.current()["parts"][0]["dirs"])
-        assert folders == (i + 1 if i < MAX_FOLDERS else i + 1 - MAX_FOLDERS)
-    assert state(table.read()) == {i: (i, i) for i in range(MAX_FOLDERS + 2)}
+        assert len(table.current()["parts"][0]["dirs"]) == folders
+    assert state(table.read()) == {i: (i, i) for i in range(5)}
 
 
 def test_new_feed_columns(spark, tmp_path):

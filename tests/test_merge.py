@@ -195,3 +195,45 @@ def test_wrong_arguments(spark):
         merge_changes(df, feed(spark, ACTIONS), ["k"], late_policy="later")
     with pytest.raises(ValueError, match="strategy"):
         merge_changes(df, feed(spark, ACTIONS), ["k"], strategy="magic")
+
+
+def test_partition_column_among_the_keys(spark, tmp_path):
+    """Only the partitions of the changes are searched for stored rows."""
+    layout = Layout(TimePartition("day", "day"))
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+
+    def dated(rows):
+        return feed(spark, rows).selectExpr("*", "date_add(date'2020-01-01', CAST(k % 3 AS INT)) AS day")
+
+    rows = [(i, i, "I", i) for i in range(9)]
+    apply_feed(spark, dated(rows), table, ["k", "day"], SPEC, layout=layout)
+    before = {p["part"]: p["dirs"] for p in table.current()["parts"]}
+    changes = [(4, 20, "D", 4), (7, 20, "U", 70), (10, 20, "I", 10)]
+    merge_into(spark, table, dated(changes), ["k", "day"], SPEC)
+    after = {p["part"]: p["dirs"] for p in table.current()["parts"]}
+    assert [p for p in after if after[p] != before[p]] == ["2020-01-02"]
+    want = {i: (i, i) for i in range(9) if i != 4}
+    assert state(table.read()) == {**want, 7: (20, 70), 10: (20, 10)}
+
+
+def test_stored_rows_are_written_where_they_are_read(spark, tmp_path, monkeypatch):
+    import tidemark.sources.snapshot as snapshot
+
+    plans = []
+
+    def spy(*args):
+        out = arrange(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    arrange = snapshot.arrange
+    monkeypatch.setattr(snapshot, "arrange", spy)
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = [(i, i, "I", i) for i in range(100)]
+    apply_feed(spark, feed(spark, rows), table, ["k"], SPEC, layout=LAYOUTS["day"])
+    merge_into(spark, table, feed(spark, [(5, 200, "U", 1)]), ["k"], SPEC)
+    anti = plans[-1].split("Union")[1]
+    kept = anti[anti.index("LeftAnti"):]
+    assert "BroadcastHashJoin" in anti and "Exchange hashpartitioning" not in kept
+    merge_into(spark, table, feed(spark, [(5, 300, "U", 2)]), ["k"], SPEC, broadcast_bytes=-1)
+    assert state(table.read())[5] == (300, 2) and table.row_count() == 100

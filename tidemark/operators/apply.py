@@ -15,7 +15,7 @@ from tidemark.operators.feed import cdc_columns, keys_not_null, latest_per_key,
 from tidemark.operators.layout import PART, with_part
 from tidemark.operators.merge import FLAG, align
 from tidemark.session import staging
-from tidemark.sources.snapshot import SnapshotTable
+from tidemark.sources.snapshot import SnapshotTable, empty_frame
 from tidemark.spec import FeedSpec, Layout, SettingsError
 
 # Keys of a change set are broadcast up to this many bytes; a larger set is shuffled.
@@ -23,6 +23,9 @@ BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 # A partition made of this many folders is rewritten as one when it is next touched.
 MAX_FOLDERS = 16
 
+# Key types whose range in the changes bounds the scan for stored rows.
+RANGED = (T.IntegerType, T.LongType, T.StringType)
+
 _OLD_PART = "tm_old_part"
 _HIT = "tm_hit"
 _ACTION = "tm_action"
@@ -112,7 +115,8 @@ def merge_into(
 
     Only partitions that lose a row are rewritten; new rows are added to the others as further
     folders. The table is read twice: its key columns, to find those partitions, then the
-    partitions themselves. It is not shuffled while the keys of the changes are small.
+    partitions themselves. While the keys of the changes are small, neither read is shuffled, and
+    what is kept of a partition is written by the tasks that read it.
     """
     manifest = table.current()
     tombstones = manifest["tombstones"]
@@ -127,13 +131,18 @@ def merge_into(
         return table.overwrite(rows.select(*picked, *flag), keys, meta)
 
     with staging(spark) as stage:
-        target = table.stored()
+        layout = table.layout()
         size = Observation()
-        aligned = align(changes, target.select(*cols(names)), spec)
-        per_row = sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))
+        ranged = [k for k in keys if isinstance(schema[k].dataType, RANGED)]
+        width = sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))
         staged = stage.put(
-            aligned.observe(
-                size, F.count(F.lit(1)).alias("rows"), F.sum(per_row).alias("bytes")),
+            align(changes, empty_frame(spark, schema), spec).observe(
+                size,
+                F.count(F.lit(1)).alias("rows"),
+                F.sum(width).alias("bytes"),
+                *[F.min(col(k)).alias(f"low{i}") for i, k in enumerate(ranged)],
+                *[F.max(col(k)).alias(f"high{i}") for i, k in enumerate(ranged)],
+            ),
             "changes",
         )
         size = size.get
@@ -144,44 +153,67 @@ def merge_into(
         def few(df):
             return F.broadcast(df) if small else df
 
+        # The stored rows of these keys: key columns only, and of those only the row groups
+        # (and, where the partition column is a key, the partitions) the changes can meet.
+        parts = None
+        if layout.partition and layout.partition.column in keys:
+            parts = {r[0] for r in with_part(staged, layout).select(PART).distinct().collect()}
+        target = table.stored(parts)
+        for i, k in enumerate(ranged):
+            target = target.where(col(k).between(size[f"low{i}"], size[f"high{i}"]))
         order = [spec.stamp, *resolve(names, spec.tiebreak)] if compare else []
-        extra = [c for c in dict.fromkeys(order)]
         old = target.select(
             *cols(keys),
             F.col(PART).alias(_OLD_PART),
-            *[col(c).alias(_OLD + c) for c in extra],
+            *[col(c).alias(_OLD + c) for c in dict.fromkeys(order)],
             *([F.col(FLAG).alias(_OLD + FLAG)] if tombstones else []),
         )
         matched = old.join(few(staged.select(*cols(keys))), keys, "inner")
-        matched = matched.withColumn(_HIT, F.lit(True))
-        action = _action(spec, order, tombstones, compare)
-        both = staged.join(matched, keys, "left").withColumn(_ACTION, action)
-        layout = table.layout()
-        new_part = with_part(both, layout) if layout.partition else both.withColumn(
-            PART, F.lit(None).cast("string"))
+        both = staged.join(matched.withColumn(_HIT, F.lit(True)), keys, "left")
+        both = both.withColumn(_ACTION, _action(spec, order, tombstones, compare))
+        if layout.partition:
+            both = with_part(both, layout)
+        else:
+            both = both.withColumn(PART, F.lit(None).cast("string"))
         decided = stage.put(
-            new_part.where(F.col(_ACTION) != "skip").select(
+            both.where(F.col(_ACTION) != "skip").select(
                 *cols(names), FLAG, PART, _OLD_PART, _HIT, _ACTION),
             "decided",
         )
 
-        # Bounded by the number of partitions of the table.
-        touched = decided.groupBy(PART, _OLD_PART, _HIT, _ACTION).count().collect()
-        rewritten = {r[_OLD_PART] for r in touched if r[_HIT]}
+        def end(part, loses):
+            return F.struct(F.col(part).alias("part"), F.lit(loses).alias("loses"))
+
+        # At most two rows per partition of the table.
+        ends = F.array(
+            F.when(F.col(_HIT), end(_OLD_PART, True)),
+            F.when(F.col(_ACTION) == "write", end(PART, False)),
+        )
+        touched = (
+            decided.select(F.explode(ends).alias("end")).where("end IS NOT NULL")
+            .select("end.*").distinct().collect()
+        )
+        if not touched:
+            return table.replace_parts(staged.limit(0), (), keys, meta) if meta else manifest
         folders = {p["part"]: len(p["dirs"]) for p in manifest["parts"]}
-        for r in touched:
-            if r[_ACTION] == "write" and folders.get(r[PART], 0) >= MAX_FOLDERS:
-                rewritten.add(r[PART])
+        crowded = {r["part"] for r in touched if folders.get(r["part"], 0) >= MAX_FOLDERS}
+        losing = {r["part"] for r in touched if r["loses"]} - crowded
 
         stored = [*names, FLAG] if tombstones else names
+        gone = decided.where(F.col(_HIT)).select(*cols(keys))
+
+        def kept(parts):
+            return table.stored(parts).join(few(gone), keys, "left_anti").select(*cols(stored))
+
         rows = decided.where(F.col(_ACTION) == "write").select(*cols(stored))
-        if rewritten:
-            gone = decided.where(F.col(_HIT)).select(*cols(keys))
-            kept = table.stored(rewritten).join(few(gone), keys, "left_anti")
-            rows = kept.select(*cols(stored)).unionByName(rows)
-        elif not touched:
-            return table.replace_parts(rows, (), keys, meta) if meta else manifest
-        return table.replace_parts(rows, rewritten, keys, meta)
+        settled = None
+        if crowded:
+            rows = rows.unionByName(kept(crowded))
+        if losing and small:
+            settled = kept(losing)
+        elif losing:  # the join has mixed the rows of all partitions
+            rows = rows.unionByName(kept(losing))
+        return table.replace_parts(rows, losing | crowded, keys, meta, settled=settled)
 
 
 def _action(spec: FeedSpec, order: Sequence[str], tombstones: bool, compare: bool) -> Column:

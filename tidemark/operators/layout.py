@@ -30,16 +30,11 @@ def partition_by_range(
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Rows ordered over and within tasks, so that file statistics can skip most of a table.
-
-    Rows alike in all cluster columns are spread by the keys, or by a hash of the row, so a
-    frequent value does not end up in one task.
-    """
+    """Rows ordered over and within tasks, so that file statistics can skip most of a table."""
     if not 1 <= len(columns) <= MAX_CLUSTER_COLUMNS:
         raise SettingsError(f"1 to {MAX_CLUSTER_COLUMNS} cluster columns are needed")
-    Layout(cluster=tuple(columns)).check(df.schema)
-    spread = df.repartitionByRange(*cols(columns), *_breaker(df, columns, keys))
-    return spread.sortWithinPartitions(*cols(columns))
+    layout = Layout(cluster=tuple(columns)).check(df.schema)
+    return in_order(spread(df, layout, keys), layout)
 
 
 def _hashable(dtype: T.DataType) -> bool:
@@ -64,18 +59,46 @@ def with_part(df: DataFrame, layout: Layout) -> DataFrame:
     return df.withColumn(PART, bucket_text(col(part.column), dtype, part))
 
 
-def arrange(df: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
-    """Distribute and sort rows for writing. A large partition is split over several tasks."""
-    layout.check(df.schema)
-    if layout.partition is None:
-        return cluster_by(df, layout.cluster, keys) if layout.cluster else df
-    df = with_part(df, layout)
+def spread(df: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
+    """Distribute rows over tasks by partition and cluster columns.
+
+    A large partition, or a frequent cluster value, is split over several tasks: by adaptive
+    execution, or by ranges that the keys (or a hash of the row) continue.
+    """
+    if layout.partition is None and not layout.cluster:
+        return df
+    lead = [PART] if layout.partition is not None else []
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if not layout.cluster and adaptive:
+        return df.hint("rebalance", *cols(lead))
+    lead += layout.cluster
+    return df.repartitionByRange(*cols(lead), *_breaker(df, lead, keys))
+
+
+def in_order(df: DataFrame, layout: Layout) -> DataFrame:
+    """Sort rows within tasks by the cluster columns of each partition."""
     if not layout.cluster:
-        # Adaptive execution splits the large and joins the small of these partitions.
-        return df.hint("rebalance", F.col(PART))
-    lead = [F.col(PART), *cols(layout.cluster)]
-    spread = df.repartitionByRange(*lead, *_breaker(df, (PART, *layout.cluster), keys))
-    return spread.sortWithinPartitions(*lead)
+        return df
+    lead = [PART] if layout.partition is not None else []
+    return df.sortWithinPartitions(*cols([*lead, *layout.cluster]))
+
+
+def arrange(
+    df: DataFrame,
+    layout: Layout,
+    keys: Sequence[str] = (),
+    settled: DataFrame | None = None,
+) -> DataFrame:
+    """Rows ready to be written. ``settled`` rows, read from files of this layout, lie together
+    already and join without a shuffle."""
+    layout.check(df.schema)
+    if layout.partition is not None:
+        df = with_part(df, layout)
+        settled = settled if settled is None else with_part(settled, layout)
+    df = spread(df, layout, keys)
+    if settled is not None:
+        df = df.unionByName(settled)
+    return in_order(df, layout)
 
 
 def part_between(layout: Layout, schema: T.StructType, low=None, high=None) -> Column:

@@ -48,6 +48,7 @@ class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, name: str | None = None, keep: int = 3):
         self.spark, self.path, self.name, self.keep = spark, path.rstrip("/"), name, keep
         self._fs = Fs(spark, self.path)
+        self._text: tuple[int | None, str] = (None, "")
 
     # versions
 
@@ -61,7 +62,9 @@ class SnapshotTable:
             if not found:
                 return None
             version = found[-1]
-        return json.loads(self._fs.read_text(self._version_path(version)))
+        if self._text[0] != version:  # a version never changes
+            self._text = version, self._fs.read_text(self._version_path(version))
+        return json.loads(self._text[1])
 
     def current(self) -> dict:
         manifest = self.manifest()
@@ -207,8 +210,10 @@ class SnapshotTable:
         keys: Sequence[str] = (),
         meta: dict | None = None,
         schema: T.StructType | None = None,
+        settled: DataFrame | None = None,
     ) -> dict:
-        """Commit: drop the named partitions (all for ``None``), then add the rows of ``df``."""
+        """Commit: drop the named partitions (all for ``None``), then add the rows of ``df``, and
+        those of ``settled``, which keep the arrangement they were stored in."""
         manifest = self.current()
         version = manifest["version"] + 1
         token = f"{version:08d}_{uuid.uuid4().hex[:8]}"
@@ -221,7 +226,7 @@ class SnapshotTable:
                 manifest["base"] = f"base{version:08d}"
                 manifest["gens"] = {}
             manifest["schema"] = schema.jsonValue()
-        added = self._write(df, manifest, token, keys)
+        added = self._write(df, settled, manifest, token, keys)
         gone = {p["part"] for p in manifest["parts"]} if parts is None else set(parts)
         kept = {p["part"]: p for p in manifest["parts"] if p["part"] not in gone}
         for new in added:
@@ -246,14 +251,18 @@ class SnapshotTable:
         self._commit(manifest)
         return manifest
 
-    def _write(self, df: DataFrame, manifest: dict, token: str, keys: Sequence[str]) -> list[dict]:
+    def _write(self, df, settled, manifest: dict, token: str, keys: Sequence[str]) -> list[dict]:
         layout = Layout.from_json(manifest["layout"])
         path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
-        rows = df.select(*[_typed(df, f) for f in fields])
+
+        def typed(rows):
+            return rows.select(*[_typed(rows, f) for f in fields])
+
         # Without this, timestamps would get no statistics to skip row groups by.
         self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-        writer = arrange(rows, layout, keys).write
+        old = None if settled is None else typed(settled)
+        writer = arrange(typed(df), layout, keys, old).write
         if layout.partition is not None:
             writer = writer.partitionBy(PART)
         writer.parquet(path)

@@ -81,6 +81,11 @@ def test_object_policy(spark, house, tmp_path):
     assert rep.materialize(house, {**view, "sql": "SELECT 2 AS b"}, house.tag) == "recreated"
     assert rep.materialize(house, {**obj, "name": "v"}, house.tag, load=True) == "recreated"
     assert spark.table(f"{house.tag}.v").count() == 4
+    assert rep.materialize(house, {**view, "sql": "SELECT 3 AS c"}, house.tag) == "recreated"
+    assert spark.table(f"{house.tag}.v").first().c == 3
+    assert not house.table(f"{house.tag}.v").exists()
+    with pytest.raises(ValueError, match="stored table"):
+        rep.create_view(house, f"{house.tag}.sales", "SELECT 1 AS a")
     with pytest.raises(ValueError, match="type"):
         rep.materialize(house, {"type": "model", "name": "m", "sql": "SELECT 1"}, house.tag)
     with pytest.raises(AnalysisException):
@@ -97,12 +102,39 @@ def test_script(spark, house):
     assert out.first().a == 4
 
 
+CONFIG = {
+    "projectIdSource": "src", "projectIdTarget": "", "location": "US", "deploySAP": True,
+    "SAP": {"SQLFlavor": "ECC", "mandt": "100", "languages": ["E", "S"], "currencies": ["EUR", "CHF"],
+            "datasets": {"cdc": "c", "raw": "r", "reporting": "REPORTING", "cdcECC": "ce"}},
+    "k9": {"datasets": {"processing": "kp", "reporting": "kr"}},
+    "SFDC": {"datasets": {"raw": "sr"}, "currencies": ["USD"]},
+    "marketing": {"deployMeta": True, "Meta": {"datasets": {"cdc": "mc"}}},
+}
+
+
 def test_parameters(spark, house):
+    params = rep.query_params({**CONFIG, "SAP": {**CONFIG["SAP"], "datasets": {"cdc": house.tag}}})
     rep.create_view(house, f"{house.tag}.c", "SELECT * FROM VALUES ('USD', 1), ('EUR', 2) AS t(c, v)")
-    out = rep.run_query(
-        spark, "SELECT sum(v) AS s FROM IDENTIFIER(:t) WHERE array_contains(:cs, c)",
-        {"t": f"{house.tag}.c", "cs": ["EUR", "CHF"]})
-    assert out.first().s == 2
+    sql = ("SELECT sum(v) AS s, :mandt AS client FROM IDENTIFIER(:dataset_cdc_processed || '.c') "
+           "WHERE array_contains(:sap_currencies, c)")
+    assert tuple(rep.run_query(spark, sql, params).first()) == (2, "100")
+    view = {"type": "view", "name": "p", "sql": sql}
+    rep.materialize(house, view, house.tag, params=params)
+    assert tuple(spark.table(f"{house.tag}.p").first()) == (2, "100")
+    table = {"type": "table", "name": "q", "sql": sql, "table_setting": {"load_frequency": "@daily"}}
+    rep.materialize(house, table, house.tag, params=params, load=True)
+    assert tuple(spark.table(f"{house.tag}.q").first()) == (2, "100")
+    script = f"CREATE OR REPLACE VIEW {house.tag}.x AS SELECT :sql_flavour AS f; SELECT 1;"
+    rep.materialize(house, {"type": "script", "name": "x", "sql": script}, house.tag, params=params)
+    assert spark.table(f"{house.tag}.x").first().f == "ecc"
+
+
+def test_parameters_of_a_configuration():
+    params = rep.query_params(CONFIG)
+    assert params["dataset_cdc_processed_ecc"] == "ce" and "dataset_raw_landing_s4" not in params
+    assert params["k9_datasets_processing"] == "kp" and params["sfdc_currencies"] == ["USD"]
+    assert params["marketing_meta_datasets_cdc"] == "mc" and params["sap_languages"] == ["E", "S"]
+    assert rep.query_params({}) == {}
 
 
 def table(name, sql, parents=None, frequency=None, group="G one"):

@@ -13,7 +13,27 @@ from tidemark.functions.columns import col, qualified, text_literal
 from tidemark.sources.warehouse import Warehouse
 from tidemark.spec import OBJECT_TYPES, Layout, check_table_setting
 
-NUMBERS = (T.NumericType,)
+# Parameter names and where their values stand in a configuration.
+GENERAL_PARAMS = {
+    "project_id_src": "projectIdSource",
+    "project_id_tgt": "projectIdTarget",
+    "location": "location",
+}
+SYSTEM_PARAMS = {
+    "dataset_raw_landing": ("datasets", "raw"),
+    "dataset_raw_landing_ecc": ("datasets", "rawECC"),
+    "dataset_raw_landing_s4": ("datasets", "rawS4"),
+    "dataset_cdc_processed": ("datasets", "cdc"),
+    "dataset_cdc_processed_ecc": ("datasets", "cdcECC"),
+    "dataset_cdc_processed_s4": ("datasets", "cdcS4"),
+    "dataset_reporting_tgt": ("datasets", "reporting"),
+    "mandt": (None, "mandt"),
+    "mandt_ecc": (None, "mandtECC"),
+    "mandt_s4": (None, "mandtS4"),
+    "sap_languages": (None, "languages"),
+    "sap_currencies": (None, "currencies"),
+}
+
 TIMES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 _POSITION = "tm_c"
 
@@ -24,12 +44,43 @@ def run_query(spark: SparkSession, sql: str, params: Mapping | None = None) -> D
     return spark.sql(sql, args=dict(params)) if params else spark.sql(sql)
 
 
+def query_params(config: Mapping) -> dict:
+    """Parameters queries may use, from a deployment configuration.
+
+    Each section with datasets gives ``<section>_datasets_<layer>`` and its currencies; the
+    replicated system gives the names below as well. Values that are not set are left out.
+    """
+    found = {name: config.get(key) for name, key in GENERAL_PARAMS.items()}
+    marketing = config.get("marketing") or {}
+    sections = {**config, **{f"marketing_{k}": v for k, v in marketing.items()}}
+    for section, values in sections.items():
+        if isinstance(values, Mapping):
+            for layer, dataset in (values.get("datasets") or {}).items():
+                found[f"{section.lower()}_datasets_{layer.lower()}"] = dataset
+            if "currencies" in values:
+                found[f"{section.lower()}_currencies"] = values["currencies"]
+    system = config.get("SAP") or {}
+    for name, (part, key) in SYSTEM_PARAMS.items():
+        found[name] = (system.get(part) or {}).get(key) if part else system.get(key)
+    flavour = str(system.get("SQLFlavor") or "").lower() or None
+    found.update(sql_flavour=flavour, sql_flavor=flavour)
+    return {name: value for name, value in found.items() if value is not None}
+
+
 def create_view(
-    warehouse: Warehouse, name: str, sql: str, description: str = ""
+    warehouse: Warehouse,
+    name: str,
+    sql: str,
+    description: str = "",
+    params: Mapping | None = None,
 ) -> None:
+    if warehouse.table(name).exists():
+        raise ValueError(f"{name} is a stored table")
     warehouse.create_dataset(warehouse.split(name)[0])
-    warehouse.spark.sql(
-        f"CREATE OR REPLACE VIEW {qualified(name)} COMMENT {text_literal(description or '')} AS {sql}"
+    run_query(
+        warehouse.spark,
+        f"CREATE OR REPLACE VIEW {qualified(name)} COMMENT {text_literal(description or '')} AS {sql}",
+        params,
     )
 
 
@@ -103,12 +154,12 @@ def refresh_table(
     return table.overwrite(by_position(run_query(warehouse.spark, sql, params), schema))
 
 
-def run_script(spark: SparkSession, sql: str) -> DataFrame:
+def run_script(spark: SparkSession, sql: str, params: Mapping | None = None) -> DataFrame:
     """Run SQL statements in order, for their effects; the last result is returned."""
     text = sql.strip().rstrip(";").rstrip()
-    if text.upper().startswith("BEGIN"):
-        return spark.sql(text)
-    return spark.sql(f"BEGIN\n{text};\nEND") if ";" in text else spark.sql(text)
+    if ";" in text and not text.upper().startswith("BEGIN"):
+        text = f"BEGIN\n{text};\nEND"
+    return run_query(spark, text, params)
 
 
 def object_sql(obj: Mapping) -> str:
@@ -140,7 +191,7 @@ def materialize(
         raise ValueError(f"type must be one of {OBJECT_TYPES}, not {kind!r}")
     spark, sql = warehouse.spark, object_sql(obj)
     if kind == "script":
-        run_script(spark, sql)
+        run_script(spark, sql, params)
         return "created"
     name = f"{dataset}.{object_name(obj)}"
     run_query(spark, sql, params)
@@ -150,12 +201,10 @@ def materialize(
     stored = warehouse.table(name).exists()
     if kind == "view":
         if stored:
-            raise ValueError(f"{name} is a stored table and cannot become a view")
-        create_view(warehouse, name, sql, obj.get("description"))
+            warehouse.drop(name)
+        create_view(warehouse, name, sql, obj.get("description"), params)
     else:
         layout = check_table_setting(obj.get("table_setting"))
-        if existed and not stored:
-            spark.sql(f"DROP VIEW {qualified(name)}")
         create_table_as_schema(
             warehouse, name, sql, layout, obj.get("description"), params, replace=True)
         if load:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.columns import quote, text_literal
+from tidemark.functions.columns import qualified, quote, text_literal
 from tidemark.sources.fs import Fs
 from tidemark.sources.snapshot import SnapshotTable
 
@@ -43,6 +43,13 @@ class Warehouse:
     def exists(self, name: str) -> bool:
         return self.table(name).exists() or self.spark.catalog.tableExists(name)
 
+    def drop(self, name: str) -> None:
+        """Remove a stored table with all its versions, and its name."""
+        self.spark.sql(f"DROP VIEW IF EXISTS {qualified(name)}")
+        path = self.table(name).path
+        self._fs.delete(f"{path}/_versions")
+        self._fs.delete(path)
+
     def stored_tables(self, dataset: str) -> list[str]:
         names = self._fs.names(f"{self.root}/{dataset}")
         return sorted(n for n in names if self.table(f"{dataset}.{n}").exists())

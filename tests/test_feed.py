@@ -61,6 +61,14 @@ def test_stored_view_text_gives_the_same_rows(spark):
         assert sorted(spark.sql(text).collect()) == sorted(want) != []
 
 
+def test_chosen_columns_with_a_delete_condition(spark):
+    rows = feed(spark, [(1, 1, "I", 1), (2, 1, "I", 2), (1, 2, "U", 3)]).selectExpr("*", "v = 3 AS gone")
+    spec = FeedSpec(tiebreak=("v",), delete_when="gone")
+    for method in METHODS:
+        got = ops.current_state(rows, ["k"], spec, columns=["k"], method=method)
+        assert [tuple(r) for r in got.collect()] == [(2,)]
+
+
 def test_window_plan_reduces_before_the_shuffle_and_prunes_columns(spark, tmp_path):
     feed(spark, [(1, 1, "I", 1)]).withColumn("wide", F.lit("x")).write.parquet(str(tmp_path / "f"))
     df = ops.scan_feed(spark, str(tmp_path / "f"))

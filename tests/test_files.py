@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark import Warehouse
+from tidemark import Layout, TimePartition, Warehouse
 from tidemark.sources import files
 
 
@@ -98,6 +98,16 @@ def test_copies(spark, tmp_path, house):
     assert house.tables(b) == ["plain", "t", "u"]
 
 
+def test_copy_keeps_layout_and_description(spark, house):
+    df = spark.range(9).select("id", F.timestamp_seconds("id").alias("t"))
+    source = house.table(f"{house.tag}.laid")
+    source.create(df.schema, Layout(TimePartition("t", "day"), ("id",)), "desc").overwrite(df)
+    files.copy_table(house, f"{house.tag}.laid", f"{house.tag}.laid2")
+    target = house.table(f"{house.tag}.laid2")
+    assert (target.layout(), target.description()) == (source.layout(), "desc")
+    assert [p["part"] for p in target.current()["parts"]] == ["1970-01-01"]
+
+
 def test_extract_shares_rows_between_uris(spark, tmp_path, house):
     files.load_tables(house, source(spark, str(tmp_path / "in.parquet"), 50), f"{house.tag}.t")
     uris = [str(tmp_path / f"out{i}") for i in range(3)]

@@ -92,6 +92,32 @@ def test_object_policy(spark, house, tmp_path):
         rep.materialize(house, {**view, "sql": "SELECT nope"}, house.tag)
 
 
+def test_all_objects_of_the_settings(spark, house):
+    d = house.tag
+    setting = {"load_frequency": "@daily"}
+    settings = {
+        "bq_independent_objects": [
+            {"type": "table", "name": "a", "sql": "SELECT 1 AS x", "table_setting": setting},
+            {"type": "table", "name": "b", "sql": "SELECT 2 AS x", "table_setting": setting},
+        ],
+        "bq_dependent_objects": [
+            {"type": "view", "name": "c", "sql": f"SELECT a.x + b.x AS x FROM {d}.a JOIN {d}.b"},
+            {"type": "table", "name": "d", "sql": f"SELECT x * 2 AS x FROM {d}.c", "table_setting": setting},
+        ],
+    }
+    out = rep.materialize_all(house, settings, d, load=True)
+    assert out == dict.fromkeys("abcd", "created")
+    assert spark.table(f"{d}.d").first().x == 6
+    twice = {**settings, "bq_dependent_objects": settings["bq_independent_objects"][:1]}
+    with pytest.raises(SettingsError, match="more than once"):
+        rep.materialize_all(house, twice, d)
+    with pytest.raises(SettingsError, match="need one of"):
+        rep.materialize_all(house, {}, d)
+    settings["bq_dependent_objects"][0]["sql"] = "SELECT nope"
+    with pytest.raises(AnalysisException):
+        rep.materialize_all(house, settings, d)
+
+
 def test_script(spark, house):
     rep.materialize(house, {"type": "script", "name": "s", "sql": (
         f"CREATE OR REPLACE FUNCTION {house.tag}.plus(x INT) RETURNS INT RETURN x + 1; "
@@ -250,6 +276,8 @@ def test_run_many_tables(spark, house, tmp_path):
         "- {base_table: two, load_frequency: RUNTIME}\n"
         "- {base_table: three, load_frequency: '@daily', sql_flavour: s4}\n")
     loaded = read_settings(str(settings))
+    assert run_cdc(house, loaded, raw, cdc, spec=spec, load=False)[0].rows == 0
+    assert spark.table(f"{cdc}.uno").count() == 0
     runs = run_cdc(house, loaded, raw, cdc, spec=spec)
     assert [(r.base_table, r.kind, r.rows) for r in runs] == [("one", "table", 1), ("two", "view", None)]
     assert state(spark.table(f"{cdc}.uno")) == {1: (1, 1)}

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import col, cols, has, qualified, quote, resolve
+from tidemark.functions.columns import col, cols, qualified, quote, resolve
 from tidemark.functions.flags import flag_of, flag_rank, is_live
 from tidemark.functions.stamps import decode, encode, floor_literal
 from tidemark.spec import DELETE_FLAG, FeedSpec
@@ -113,10 +114,10 @@ def current_state(
     """Live rows computed from the whole feed at read time, as a lazy DataFrame."""
     rows = keys_not_null(feed, keys)
     if columns is not None:
+        if spec.delete_when:
+            rows = rows.withColumn(spec.op, flag_of(spec))
+            spec = replace(spec, delete_when=None)
         wanted = [*keys, *columns, spec.stamp, spec.op, *spec.tiebreak]
-        if spec.delete_when and has(feed, spec.deleted):
-            wanted.append(spec.deleted)
-        # dict.fromkeys keeps the first of each name
         rows = rows.select(*cols(dict.fromkeys(resolve(feed.columns, wanted))))
     rows = not_deleted(latest_per_key(rows, keys, spec, method=method), spec)
     if columns is not None:

@@ -10,8 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, qualified, text_literal
+from tidemark.sources.files import run_jobs
 from tidemark.sources.warehouse import Warehouse
-from tidemark.spec import OBJECT_TYPES, Layout, check_table_setting
+from tidemark.spec import (
+    OBJECT_SECTIONS,
+    OBJECT_TYPES,
+    Layout,
+    SettingsError,
+    check_objects,
+    check_table_setting,
+)
+
+PARALLEL_OBJECTS = 10
 
 # Parameter names and where their values stand in a configuration.
 GENERAL_PARAMS = {
@@ -210,3 +220,37 @@ def materialize(
         if load:
             refresh_table(warehouse, name, sql, params)
     return "recreated" if existed else "created"
+
+
+def all_objects(settings: Mapping) -> list[Mapping]:
+    """Objects of both sections of the settings, validated together."""
+    sections = [settings.get(name) for name in OBJECT_SECTIONS]
+    if sections == [None, None]:
+        raise SettingsError(f"settings need one of {OBJECT_SECTIONS}")
+    found = [obj for section in sections for obj in section or ()]
+    check_objects(found)
+    return found
+
+
+def materialize_all(
+    warehouse: Warehouse,
+    settings: Mapping,
+    dataset: str,
+    layer: str = "reporting",
+    params: Mapping | None = None,
+    load: bool = False,
+    parallel: int = PARALLEL_OBJECTS,
+) -> dict[str, str]:
+    """Create the independent objects side by side, then the dependent ones in the order listed."""
+    all_objects(settings)
+    independent, dependent = (settings.get(name) or [] for name in OBJECT_SECTIONS)
+    outcome: dict[str, str] = {}
+    for objects, width in ((independent, parallel), (dependent, 1)):
+        tasks = [
+            lambda o=o: materialize(warehouse, o, dataset, layer, params, load) for o in objects
+        ]
+        for obj, result in zip(objects, run_jobs(tasks, width)):
+            if isinstance(result, Exception):
+                raise result
+            outcome[object_name(obj)] = result
+    return outcome

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from tidemark.functions.columns import qualified
-from tidemark.operators.apply import apply_feed
+from tidemark.operators.apply import apply_feed, open_table
 from tidemark.operators.feed import current_state_sql
 from tidemark.operators.keys import primary_keys_of
 from tidemark.sources.files import run_jobs
@@ -66,12 +66,14 @@ def run_cdc(
     spec: FeedSpec = FeedSpec(),
     specs: Mapping[str, FeedSpec] | None = None,
     late_policy: str = "drop",
+    load: bool = True,
     parallel: int = PARALLEL_TABLES,
 ) -> list[TableRun]:
     """Refresh every table, or define every runtime view, of the settings.
 
     All entries are checked before work starts, and the keys of all tables come from one pass over
     the data dictionary. Tables run side by side; a failure of any is raised after all are done.
+    Without ``load``, missing tables are created and left empty.
     """
     spark = warehouse.spark
     entries = entries_for(settings, flavour)
@@ -93,9 +95,11 @@ def run_cdc(
             text = current_state_sql(source, feed.columns, keys[base], chosen)
             spark.sql(f"CREATE OR REPLACE VIEW {qualified(name)} AS {text}")
             return TableRun(base, name, "view", None)
-        table = warehouse.table(name)
-        apply_feed(
-            spark, feed, table, keys[base], chosen, late_policy, layout=check_table_entry(entry))
+        table, layout = warehouse.table(name), check_table_entry(entry)
+        if load:
+            apply_feed(spark, feed, table, keys[base], chosen, late_policy, layout=layout)
+        else:
+            open_table(table, feed, chosen, layout)
         return TableRun(base, name, "table", table.row_count())
 
     outcomes = run_jobs([lambda e=e: one(e) for e in entries], parallel, stop_early=False)

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Schemes of stores without directories.
+OBJECT_STORES = ("s3", "s3a", "gs", "oss", "cosn", "obs", "wasb", "wasbs")
+
+
 class Fs:
     def __init__(self, spark: SparkSession, path: str):
         self._jvm = spark.sparkContext._jvm
@@ -40,6 +44,26 @@ class Fs:
         finally:
             stream.close()
 
+    def create_new(self, path: str, temporary: str, text: str) -> None:
+        """Write a file that must not exist yet and that appears with all its content.
+
+        An object store shows an object only once it is complete; a file system does not, so
+        there the text is written elsewhere and renamed.
+        """
+        if self._fs.getScheme() in OBJECT_STORES:
+            stream = self._fs.create(self._path(path), False)
+            try:
+                stream.write(text.encode("utf-8"))
+            finally:
+                stream.close()
+            return
+        self.write_text(temporary, text)
+        try:
+            self.rename_new(temporary, path)
+        except Exception:
+            self.delete(temporary)
+            raise
+
     def rename_new(self, source: str, target: str) -> None:
         """Rename that fails if the target exists."""
         hadoop = self._jvm.org.apache.hadoop.fs

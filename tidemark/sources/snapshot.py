@@ -86,6 +86,9 @@ class SnapshotTable:
     def layout(self) -> Layout:
         return Layout.from_json(self.current()["layout"])
 
+    def description(self) -> str:
+        return self.current()["description"]
+
     def is_empty(self) -> bool:
         return self.row_count() == 0
 
@@ -288,11 +291,9 @@ class SnapshotTable:
     def _commit(self, manifest: dict) -> None:
         target = self._version_path(manifest["version"])
         temporary = f"{self.path}/_versions/.{uuid.uuid4().hex}.tmp"
-        self._fs.write_text(temporary, json.dumps(manifest, default=str))
         try:
-            self._fs.rename_new(temporary, target)
+            self._fs.create_new(target, temporary, json.dumps(manifest))
         except Exception as err:
-            self._fs.delete(temporary)
             if self._fs.exists(target):
                 raise CommitConflict(f"{self.path}: version {manifest['version']} exists") from err
             raise

@@ -16,6 +16,7 @@ WATERMARK_FLOOR = "1940-12-25 05:30:00"
 DELETE_FLAG = "D"
 UPSERT_FLAGS = ("I", "U", "L")
 OBJECT_TYPES = ("table", "view", "script")
+OBJECT_SECTIONS = ("bq_independent_objects", "bq_dependent_objects")
 
 TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

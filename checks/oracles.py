@@ -198,7 +198,9 @@ def oracles() -> dict[str, str]:
             "AND o_orderdate <= TIMESTAMP '1997-02-03'"),
         "clustered_roundtrip": line_feed(),
         "create_view": BY_STATUS,
-        "schema_only": f"SELECT * FROM ({BY_STATUS}) WHERE false",
+        "schema_only": (
+            "SELECT 'created' AS table_name, CAST(0 AS BIGINT) AS row_count "
+            f"UNION ALL SELECT 'refreshed', count(*) FROM ({BY_STATUS})"),
         "refresh_table": BY_STATUS,
         "refresh_positional": (
             "SELECT n_regionkey AS region, n_name AS label, CAST(n_nationkey AS BIGINT) AS id "
@@ -217,6 +219,10 @@ def oracles() -> dict[str, str]:
         "load_parquet": "SELECT * FROM lineitem",
         "load_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
         "load_only_if_empty": "SELECT * FROM orders",
+        "load_truncate": "SELECT * FROM orders",
+        "load_skip_and_continue": (
+            "SELECT 'skipped' AS table_name, count(*) AS row_count FROM orders "
+            "UNION ALL SELECT 'loaded', count(*) FROM part"),
         "copy_table": "SELECT * FROM documents",
         "copy_dataset_counts": (
             "SELECT 'conversations' AS table_name, count(*) AS row_count FROM conversations "

@@ -311,8 +311,11 @@ def create_view_query(spark, sf):
 def schema_only(spark, sf):
     place = Place(spark, sf)
     src, rep = place.sources("orders"), place.dataset("reporting")
-    create_table_as_schema(place.warehouse, f"{rep}.by_status", _by_status(src))
-    return spark.table(f"{rep}.by_status")
+    name, sql = f"{rep}.by_status", _by_status(src)
+    create_table_as_schema(place.warehouse, name, sql)
+    empty = spark.table(name)
+    refresh_table(place.warehouse, name, sql)
+    return _count(empty, "created").unionByName(_count(spark.table(name), "refreshed"))
 
 
 def refresh_table_query(spark, sf):
@@ -401,6 +404,11 @@ def param_query(spark, sf):
 
 # movement
 
+def _count(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(name).alias("table_name"), "row_count")
+
+
 def _load(place: Place, source: str, **options) -> DataFrame:
     raw = place.dataset("raw")
     files.load_tables(place.warehouse, source, f"{raw}.loaded", **options)
@@ -441,6 +449,32 @@ def load_only_if_empty(spark, sf):
     return place.warehouse.frame(f"{raw}.orders")
 
 
+def load_truncate(spark, sf):
+    place = Place(spark, sf)
+    raw = place.dataset("raw")
+    for source in ("customer", "orders"):
+        files.load_tables(
+            place.warehouse, f"{sf}/{source}.parquet", f"{raw}.t", disposition="truncate")
+    return place.warehouse.frame(f"{raw}.t")
+
+
+def load_skip_and_continue(spark, sf):
+    """One target exists and is skipped, one source is missing, one is loaded."""
+    place = Place(spark, sf)
+    raw = place.dataset("raw")
+    files.load_tables(place.warehouse, f"{sf}/orders.parquet", f"{raw}.a")
+    results = files.load_tables(
+        place.warehouse,
+        [f"{sf}/customer.parquet", f"{place.root}/absent.parquet", f"{sf}/part.parquet"],
+        [f"{raw}.a", f"{raw}.b", f"{raw}.c"],
+        continue_if_failed=True, skip_existing=True)
+    counts = [
+        _count(place.warehouse.frame(r.target), r.status)
+        for r in results if r.status != "failed"
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 def copy_table_query(spark, sf):
     place = Place(spark, sf)
     src, dst = place.sources("documents"), place.dataset("copied")
@@ -455,11 +489,7 @@ def copy_dataset_counts(spark, sf):
     files.load_tables(place.warehouse, [f"{sf}/{n}.parquet" for n in names],
                       [f"{raw}.{n}" for n in names])
     files.copy_dataset(place.warehouse, raw, dst)
-    counts = [
-        spark.table(f"{dst}.{n}").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(n).alias("table_name"), "row_count")
-        for n in names
-    ]
+    counts = [_count(spark.table(f"{dst}.{n}"), n) for n in names]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
@@ -525,11 +555,8 @@ def _run_many(spark, sf) -> tuple[Place, str]:
 
 def multi_table_run(spark, sf):
     _, cdc = _run_many(spark, sf)
-    counts = [
-        spark.table(f"{cdc}.{n}").agg(F.count(F.lit(1)).alias("row_count"))
-        .select(F.lit(n).alias("table_name"), "row_count")
-        for n in ("lines", "orders_feed", "events_feed")
-    ]
+    names = ("lines", "orders_feed", "events_feed")
+    counts = [_count(spark.table(f"{cdc}.{n}"), n) for n in names]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
@@ -589,6 +616,8 @@ QUERIES = {
     "load_parquet": load_parquet,
     "load_append": load_append,
     "load_only_if_empty": load_only_if_empty,
+    "load_truncate": load_truncate,
+    "load_skip_and_continue": load_skip_and_continue,
     "copy_table": copy_table_query,
     "copy_dataset_counts": copy_dataset_counts,
     "extract_roundtrip": extract_roundtrip,

@@ -168,6 +168,28 @@ def test_names_follow_the_current_version(spark, tmp_path):
     assert house.tables("names_ds") == ["t"]
 
 
+@pytest.mark.parametrize("grain", ["hour", "month", "year"])
+def test_names_with_every_grain_after_a_partial_rewrite(spark, tmp_path, grain):
+    house = Warehouse(spark, str(tmp_path / "w"))
+    house.create_dataset(f"grain_{grain}")
+    table = house.table(f"grain_{grain}.t")
+    df = rows(spark, 40).withColumn("t", F.expr("t + make_ym_interval(cast(id % 3 as int), cast(id % 2 as int))"))
+    df = df.unionByName(df.where("id = 0").selectExpr("100L AS id", "CAST(NULL AS timestamp_ntz) AS t", "g"))
+    table.create(df.schema, Layout(TimePartition("t", grain)))
+    table.overwrite(df)
+    first = table.current()["parts"][0]["part"]
+    table.replace_parts(table.stored([first]), [first])
+    assert len(table.current()["gens"]) == 2
+    assert ids(spark.table(table.name)) == ids(table.read()) == [*range(40), 100]
+
+
+def test_watermark_without_a_named_stamp(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t")).create(rows(spark).schema)
+    table.overwrite(rows(spark, 4))
+    mark = spark.range(1).select(table.watermark("t")).first()[0]
+    assert mark == datetime(2020, 1, 4)
+
+
 BAD = [
     ({"partition_details": {"partition_type": "time", "time_grain": "day"}}, "column"),
     ({"partition_details": {"column": "t", "time_grain": "day"}}, "partition_type"),

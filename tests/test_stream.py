@@ -40,6 +40,17 @@ def test_replayed_batch_is_not_applied_twice(spark, tmp_path):
     assert table.current()["meta"] == {"stream": 1}
 
 
+def test_a_new_checkpoint_starts_counting_again(spark, tmp_path):
+    landing, table = str(tmp_path / "in"), SnapshotTable(spark, str(tmp_path / "t"))
+    schema = feed(spark, []).schema
+    for i in range(2):
+        feed(spark, [(i, i, "I", i)]).write.mode("append").parquet(landing)
+        stream = spark.readStream.schema(schema).parquet(landing)
+        stream_cdc(stream, table, ["k"], str(tmp_path / f"check{i}"), SPEC).awaitTermination()
+    assert state(table.read()) == {0: (0, 0), 1: (1, 1)}
+    assert sorted(table.current()["meta"].values()) == [0, 0]
+
+
 def test_any_arrival_order_gives_the_current_state(spark, tmp_path):
     rng = random.Random(3)
     rows = [(rng.randrange(12), rng.randrange(8), rng.choice("IULD"), i) for i in range(200)]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, cols, resolve
 from tidemark.functions.flags import flag_of, flag_rank, is_delete, is_live, is_upsert
+from tidemark.functions.stamps import floor_literal
 from tidemark.operators.feed import cdc_columns, keys_not_null, latest_per_key, not_deleted, since
 from tidemark.operators.layout import PART, with_part
 from tidemark.operators.merge import FLAG, align
@@ -89,14 +90,11 @@ def apply_feed(
     open_table(table, feed, spec, layout)
     _fit_columns(table, feed, spec, allow_new_columns)
     compare = late_policy == "compare" and not table.is_empty()
-    mark = table.watermark()
+    mark = table.watermark(spec.stamp)
     if compare:
-        rows = feed
-        if lookback is not None:
-            dtype = table.schema()[spec.stamp].dataType
-            rows = since(feed, (mark - F.lit(lookback)).cast(dtype), spec)
-    else:
-        rows = since(feed, mark, spec)
+        dtype = table.schema()[spec.stamp].dataType
+        mark = floor_literal(dtype) if lookback is None else (mark - F.lit(lookback)).cast(dtype)
+    rows = since(feed, mark, spec)
     changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
     return merge_into(spark, table, changes, keys, spec, compare=compare)
 

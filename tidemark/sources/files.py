@@ -92,6 +92,7 @@ def write_table(
     disposition: str = "empty",
     layout: Layout = Layout(),
     description: str = "",
+    stamp: str | None = None,
 ) -> None:
     """Write rows to a table, created if needed, under a write disposition."""
     if disposition not in DISPOSITIONS:
@@ -101,7 +102,7 @@ def write_table(
         if warehouse.spark.catalog.tableExists(name):
             raise ValueError(f"{name} exists in the catalog but is not a stored table")
         warehouse.create_dataset(warehouse.split(name)[0])
-        table.create(df.schema, layout, description)
+        table.create(df.schema, layout, description, stamp)
     if disposition == "empty" and not table.is_empty():
         raise TargetNotEmpty(f"table {name} already holds rows")
     if disposition == "append":
@@ -130,16 +131,20 @@ def load_tables(
         if skip_existing and warehouse.exists(target):
             log.warning("table %s already exists, skipped", target)
             return LoadResult(target, "skipped")
-        layout, description = Layout(), ""
+        kept: dict = {}
         if "/" in source:
             df = read_files(warehouse.spark, source, schema)
         else:
             df = warehouse.frame(source)
             stored = warehouse.table(source)
             if stored.exists():
-                layout, description = stored.layout(), stored.description()
+                kept = {
+                    "layout": stored.layout(),
+                    "description": stored.description(),
+                    "stamp": stored.stamp(),
+                }
         try:
-            write_table(warehouse, df, target, disposition, layout, description)
+            write_table(warehouse, df, target, disposition, **kept)
         except TargetNotEmpty as err:
             log.warning("%s, skipped", err)
             return LoadResult(target, "skipped")

@@ -89,6 +89,9 @@ class SnapshotTable:
     def description(self) -> str:
         return self.current()["description"]
 
+    def stamp(self) -> str | None:
+        return self.current()["stamp"]
+
     def is_empty(self) -> bool:
         return self.row_count() == 0
 
@@ -96,11 +99,16 @@ class SnapshotTable:
         """Stored rows, tombstones included."""
         return sum(p["rows"] for p in self.current()["parts"])
 
-    def watermark(self) -> Column | None:
-        """Highest stamp as a constant, from the version file; nothing is scanned."""
+    def watermark(self, stamp: str) -> Column | None:
+        """Highest stamp as a constant, from the version file: nothing is scanned, unless the
+        table was created without naming its stamp column."""
         manifest = self.current()
-        dtype = T.StructType.fromJson(manifest["schema"])[manifest["stamp"]].dataType
-        marks = [p["stamp"] for p in manifest["parts"] if p["stamp"] is not None]
+        dtype = T.StructType.fromJson(manifest["schema"])[stamp].dataType
+        if manifest["stamp"] == stamp:
+            marks = [p["stamp"] for p in manifest["parts"] if p["stamp"] is not None]
+        else:
+            high = self.read().agg(encode(F.max(col(stamp)), dtype)).first()[0]
+            marks = [] if high is None else [high]
         return decode(max(marks), dtype) if marks else floor_literal(dtype)
 
     # reading

@@ -22,7 +22,10 @@ def apply_batch(
     spec: FeedSpec = FeedSpec(),
     query: str = "stream",
 ) -> None:
-    """Merge one micro-batch. A batch that was committed before a failure is not applied again."""
+    """Merge one micro-batch. A batch that was committed before a failure is not applied again.
+
+    Batches are numbered per checkpoint, so ``query`` has to identify the checkpoint.
+    """
     done = table.current()["meta"].get(query)
     if done is not None and done >= batch_id:
         return
@@ -40,7 +43,6 @@ def stream_cdc(
     checkpoint: str,
     spec: FeedSpec = FeedSpec(),
     layout: Layout = Layout(),
-    query: str = "stream",
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start a query that merges a streaming feed into ``table``.
@@ -55,6 +57,10 @@ def stream_cdc(
         raise ValueError("a streaming target has to be created by stream_cdc")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # The identifier Spark keeps in the checkpoint.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            raise RuntimeError("the streaming query has no identifier")
         apply_batch(batch, batch_id, table, keys, spec, query)
 
     return (

@@ -146,14 +146,19 @@ def new_records(spark, sf):
 
 # merges
 
-def _fold_frames(spark, sf, flag, strategy, batches=len(CUTS), late_policy="drop"):
-    feed = feeds.lineitem_feed(spark, sf, flag)
+def _fold_frames(spark, sf, flag, strategy, batches=len(CUTS)):
+    """The merge expression batch after batch; each result but the last is written out, so that
+    no batch is computed twice."""
+    feed, root = feeds.lineitem_feed(spark, sf, flag), new_scratch(spark, "fold")
     target = ops.cdc_columns(feed).where("false")
     for i in range(batches):
         fresh = ops.new_records(feeds.visible(feed, i), target, LINEITEM_SPEC)
         changes = ops.latest_per_key(
             ops.keys_not_null(fresh, ["k"]), ["k"], LINEITEM_SPEC, method="aggregate")
-        target = merge_changes(target, changes, ["k"], LINEITEM_SPEC, late_policy, strategy)
+        target = merge_changes(target, changes, ["k"], LINEITEM_SPEC, strategy=strategy)
+        if i < batches - 1:
+            target.write.parquet(f"{root}/{i}")
+            target = spark.read.schema(target.schema).parquet(f"{root}/{i}")
     return target
 
 

@@ -182,11 +182,27 @@ def test_compound_and_awkward_keys(spark, tmp_path):
     assert ops.current_state(df.unionByName(gone), keys).count() == 3
 
 
-def test_catalog_merge_is_refused_by_plain_files(spark):
-    spark.sql("CREATE OR REPLACE TEMPORARY VIEW plain AS SELECT 1L AS k, 1L AS v")
-    with pytest.raises(Exception, match="(?i)merge|TABLE"):
-        merge_into_catalog(
-            spark, "plain", spark.sql("SELECT 1L AS k, 2L AS v, 'U' AS operation_flag"), ["k"])
+def test_catalog_merge_is_refused_by_plain_files(spark, tmp_path):
+    spark.sql(f"CREATE TABLE plain_target (k BIGINT, v BIGINT) USING parquet LOCATION '{tmp_path / 'p'}'")
+    changes = spark.sql("SELECT 1L AS k, 2L AS v, 'U' AS operation_flag")
+    with pytest.raises(Exception, match="UNSUPPORTED_FEATURE.TABLE_OPERATION"):
+        merge_into_catalog(spark, "default.plain_target", changes, ["k"])
+    spark.sql("DROP TABLE plain_target")
+
+
+def test_wide_table(spark, tmp_path):
+    """As many columns as the widest replicated table."""
+    wide = [f"v + {i} AS `c/{i}`" for i in range(472)]
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    rows = [(i % 50, i // 50, "IUL"[i % 3], i) for i in range(200)]
+    df = feed(spark, rows).selectExpr("*", *wide)
+    apply_feed(spark, df, table, ["k"], SPEC)
+    more = feed(spark, [(7, 9, "U", 1000), (8, 9, "D", 1), (99, 9, "I", 2)]).selectExpr("*", *wide)
+    apply_feed(spark, df.unionByName(more), table, ["k"], SPEC)
+    got = {r.k: (r.v, r["c/471"]) for r in table.read().select("k", "v", "`c/471`").collect()}
+    assert len(got) == 50 and got[7] == (1000, 1471) and got[99] == (2, 473) and 8 not in got
+    view = ops.current_state(df.unionByName(more), ["k"], SPEC)
+    assert len(view.columns) == 474 and view.count() == 50
 
 
 def test_wrong_arguments(spark):

@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, cols, resolve
-from tidemark.functions.flags import flag_of, flag_rank, is_delete, is_live, is_upsert
+from tidemark.functions.flags import flag_rank, is_delete, is_upsert
 from tidemark.functions.stamps import floor_literal
 from tidemark.operators.feed import cdc_columns, keys_not_null, latest_per_key, not_deleted, since
 from tidemark.operators.layout import PART, with_part
 from tidemark.operators.merge import FLAG, align
 from tidemark.session import staging
-from tidemark.sources.snapshot import SnapshotTable, empty_frame
+from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import FeedSpec, Layout, SettingsError
 
 # Keys of a change set are broadcast up to this many bytes; a larger set is shuffled.
@@ -124,9 +124,8 @@ def merge_into(
 
     if table.is_empty():
         rows = changes if tombstones else not_deleted(changes, spec)
-        picked = [col(resolve(rows.columns, [n])[0]).alias(n) for n in names]
-        flag = [flag_of(spec).alias(FLAG)] if tombstones else []
-        return table.overwrite(rows.select(*picked, *flag), keys, meta)
+        rows = align(rows, schema, spec)
+        return table.overwrite(rows if tombstones else rows.drop(FLAG), keys, meta)
 
     with staging(spark) as stage:
         layout = table.layout()
@@ -134,7 +133,7 @@ def merge_into(
         ranged = [k for k in keys if isinstance(schema[k].dataType, RANGED)]
         width = sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))
         staged = stage.put(
-            align(changes, empty_frame(spark, schema), spec).observe(
+            align(changes, schema, spec).observe(
                 size,
                 F.count(F.lit(1)).alias("rows"),
                 F.sum(width).alias("bytes"),
@@ -235,7 +234,7 @@ def _older(spec: FeedSpec, order: Sequence[str], tombstones: bool) -> Column:
     stamp, *ties = order
     new, old = [col(stamp)], [col(_OLD + stamp)]
     if tombstones:
-        new += [flag_rank(F.col(FLAG)), *cols(ties)]
+        new += [flag_rank(F.col(FLAG)), *map(col, ties)]
         old += [flag_rank(F.col(_OLD + FLAG)), *[col(_OLD + t) for t in ties]]
 
     def ranked(columns):

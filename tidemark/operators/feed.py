@@ -75,7 +75,7 @@ def new_records(feed: DataFrame, target: DataFrame, spec: FeedSpec = FeedSpec())
 
 def change_order(df: DataFrame, spec: FeedSpec, tiebreak: Sequence[str] = ()) -> list[Column]:
     names = resolve(df.columns, tiebreak or spec.tiebreak, "tiebreak column")
-    return [col(spec.stamp), flag_rank(flag_of(spec)), *cols(names)]
+    return [col(spec.stamp), flag_rank(flag_of(spec)), *map(col, names)]
 
 
 def latest_per_key(

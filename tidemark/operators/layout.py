@@ -45,7 +45,7 @@ def _hashable(dtype: T.DataType) -> bool:
     return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
-def _breaker(df: DataFrame, used: Sequence[str], keys: Sequence[str]) -> list[Column]:
+def _breaker(df: DataFrame, used: Sequence[str], keys: Sequence[str]) -> list:
     if keys:
         return cols(k for k in keys if k not in used)
     names = [f.name for f in df.schema.fields if _hashable(f.dataType)]
@@ -70,7 +70,7 @@ def spread(df: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame
     lead = [PART] if layout.partition is not None else []
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
     if not layout.cluster and adaptive:
-        return df.hint("rebalance", *cols(lead))
+        return df.hint("rebalance", *map(col, lead))
     lead += layout.cluster
     return df.repartitionByRange(*cols(lead), *_breaker(df, lead, keys))
 

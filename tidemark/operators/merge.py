@@ -6,22 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions.columns import col, cols, resolve
+from tidemark.functions.columns import col, cols, qualified, quote, resolve
 from tidemark.functions.flags import flag_of, is_delete, is_live, is_upsert
 from tidemark.spec import FeedSpec
 
 FLAG = "tm_flag"
 
 
-def align(changes: DataFrame, target: DataFrame, spec: FeedSpec) -> DataFrame:
+def align(changes: DataFrame, schema: T.StructType, spec: FeedSpec) -> DataFrame:
     """The target's columns in the target's types, plus the effective flag."""
-    names = resolve(changes.columns, target.columns)
+    names = resolve(changes.columns, schema.names)
     types = {f.name: f.dataType for f in changes.schema.toNullable().fields}
     picked = [
-        (col(have) if types[have] == field.dataType else col(have).cast(field.dataType))
-        .alias(field.name)
-        for have, field in zip(names, target.schema.toNullable().fields)
+        quote(have) if (have, types[have]) == (field.name, field.dataType)
+        else col(have).cast(field.dataType).alias(field.name)
+        for have, field in zip(names, schema.toNullable().fields)
     ]
     return changes.select(*picked, flag_of(spec).alias(FLAG))
 
@@ -54,7 +55,7 @@ def merge_changes(
     if late_policy not in ("drop", "compare"):
         raise ValueError(f"unknown late_policy {late_policy!r}")
     keys = resolve(target.columns, keys, "key")
-    changes = align(changes, target, spec)
+    changes = align(changes, target.schema, spec)
     if strategy == "anti" and late_policy == "drop":
         return _merge_anti(target, changes, keys)
     if strategy not in ("outer", "anti"):
@@ -95,13 +96,13 @@ def merge_into_catalog(
     """The same merge by the catalog itself, for tables of a catalog that supports MERGE."""
     target = spark.table(table)
     keys = resolve(target.columns, keys, "key")
-    source = align(changes, target, spec).alias("s")
+    source = align(changes, target.schema, spec).alias("s")
     matched = None
     for key in keys:
-        equal = F.col(f"{table}.{key}") == F.col(f"s.{key}")
+        equal = F.col(f"{qualified(table)}.{quote(key)}") == F.col(f"s.{quote(key)}")
         matched = equal if matched is None else matched & equal
     flag = F.col(f"s.{FLAG}")
-    values = {name: F.col(f"s.{name}") for name in target.columns}
+    values = {quote(name): F.col(f"s.{quote(name)}") for name in target.columns}
     (
         source.mergeInto(table, matched)
         .whenMatched(is_delete(flag)).delete()

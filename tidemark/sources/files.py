@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col, cols
+from tidemark.functions.columns import col, cols, quote
 from tidemark.sources.warehouse import Warehouse
 from tidemark.spec import Layout
 
@@ -80,7 +80,7 @@ def _wide_integers(df: DataFrame) -> DataFrame:
     """Integers found by inspection as 64-bit, so the type does not hang on the values seen."""
     return df.select(*[
         col(f.name).cast("long").alias(f.name) if isinstance(f.dataType, T.IntegerType)
-        else col(f.name)
+        else quote(f.name)
         for f in df.schema.fields
     ])
 

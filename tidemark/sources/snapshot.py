@@ -34,14 +34,16 @@ class CommitConflict(RuntimeError):
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    none = [F.lit(None).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields]
-    return spark.range(0).select(*none)
+    return spark.createDataFrame([], schema)
 
 
-def _typed(df: DataFrame, field: T.StructField) -> Column:
-    same = df.schema[field.name].dataType == field.dataType
-    value = col(field.name)
-    return value if same else value.cast(field.dataType).alias(field.name)
+def _typed(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[
+        quote(f.name) if types.get(f.name) == f.dataType
+        else col(f.name).cast(f.dataType).alias(f.name)
+        for f in fields
+    ])
 
 
 class SnapshotTable:
@@ -133,8 +135,11 @@ class SnapshotTable:
         return rows.select(*self._shown(schema))
 
     @staticmethod
-    def _shown(schema: T.StructType) -> list[Column]:
-        return [col(f.name).alias(f.name, metadata=f.metadata) for f in schema.fields]
+    def _shown(schema: T.StructType) -> list:
+        return [
+            col(f.name).alias(f.name, metadata=f.metadata) if f.metadata else quote(f.name)
+            for f in schema.fields
+        ]
 
     def stored(self, parts: Iterable[str | None] | None = None) -> DataFrame:
         """Rows as stored, with partition value (and flag, where tombstones are kept)."""
@@ -172,7 +177,7 @@ class SnapshotTable:
         rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
         if not partitioned:
             rows = rows.withColumn(PART, F.lit(None).cast("string"))
-        return rows.select(*[col(f.name) for f in schema.fields])
+        return rows.select(*cols(schema.names))
 
     # writing
 
@@ -267,13 +272,10 @@ class SnapshotTable:
         path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
 
-        def typed(rows):
-            return rows.select(*[_typed(rows, f) for f in fields])
-
         # Without this, timestamps would get no statistics to skip row groups by.
         self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
-        old = None if settled is None else typed(settled)
-        writer = arrange(typed(df), layout, keys, old).write
+        old = None if settled is None else _typed(settled, fields)
+        writer = arrange(_typed(df, fields), layout, keys, old).write
         if layout.partition is not None:
             writer = writer.partitionBy(PART)
         writer.parquet(path)

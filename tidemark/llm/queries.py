@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import id_planes, packing, simhash, token_counts
+from . import id_planes, langid, mixing, packing, simhash, token_counts
 from .common import table
 
 
@@ -37,11 +37,25 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), slim=True)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(remainder == 1, F.lit(False)))
+    models = langid.learn(docs.where(remainder != 1))
+    return langid.identify(docs, models, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op2_id_planes": op2_id_planes,
     "op3_token_counts": op3_token_counts,
     "op5_best_fit": op5_best_fit,
     "op7_simhash": op7_simhash,
+    "op9_entropy_balancing": op9_entropy_balancing,
+    "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import id_planes, langid, mixing, packing, simhash, token_counts
+from . import id_planes, langid, mixing, packing, quality, simhash, spotsigs, token_counts
 from .common import table
 
 
@@ -37,6 +37,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), slim=True)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -52,11 +61,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_id_planes": op2_id_planes,
     "op3_token_counts": op3_token_counts,
+    "op4_spotsigs": op4_spotsigs,
     "op5_best_fit": op5_best_fit,
     "op7_simhash": op7_simhash,
+    "op8_quality_rules": op8_quality_rules,
     "op9_entropy_balancing": op9_entropy_balancing,
     "op10_language_id": op10_language_id,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_quality_rules": quality.oracle()}

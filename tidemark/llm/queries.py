@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import id_planes, langid, mixing, packing, quality, simhash, spotsigs, token_counts
+from . import html_extract, id_planes, langid, mixing, packing, pii, quality, simhash, spotsigs, token_counts
 from .common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     back = id_planes.round_trip(docs, tokenizer_file("word_bpe_49k.json"), end_id=1)
@@ -32,6 +36,11 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_file("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.learn(docs), ["doc_id"])
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.linked_documents(table(spark, sf_dir, "documents"))
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -59,10 +68,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op2_id_planes": op2_id_planes,
     "op3_token_counts": op3_token_counts,
     "op4_spotsigs": op4_spotsigs,
     "op5_best_fit": op5_best_fit,
+    "op6_pii": op6_pii,
     "op7_simhash": op7_simhash,
     "op8_quality_rules": op8_quality_rules,
     "op9_entropy_balancing": op9_entropy_balancing,

@@ -1,9 +1,9 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors.
 
-A chain is an anchor (the last of the common words before it) and the next three content words,
-common words between them left out; the fingerprint is the set of a text's chains, as 32-bit
-hashes. A text without anchors gives the chains of all its words, one without words a chain of
-its raw characters. Likeness is Jaccard's, pruned by set length: sets whose lengths differ by more
+A chain is the two content words after an anchor, common words between them left out; the
+fingerprint is the set of a text's chains, as 32-bit hashes. A text with few anchors (another
+language, a list) gives the chains of all its content words, one without content words the chains
+of all words, one without words a chain of its raw characters. Likeness is Jaccard's, pruned by set length: sets whose lengths differ by more
 than the wanted likeness allows are never intersected. Only DataFrame functions are used.
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from .common import buckets, columns_of, written
 from .stopwords import ALL
 
+#: Content words to a chain beyond which a text has too few anchors.
+FEW = 12
 NO_LETTER = r"[^\p{L}\p{N}]+"
 
 
@@ -27,9 +29,12 @@ def with_signature(df: DataFrame, text: str, out: str, stop_words: list[str] = A
     df = df.withColumn("_c", F.expr(f"filter(transform(_w, (x, i) -> struct(x, i)), s -> s.x not in ({listed}))"))
     df = df.withColumn("_h", F.expr(
         "array_distinct(filter(transform(_c, (s, j) -> case when s.i - coalesce(get(_c, j - 1).i, -1) > 1"
-        " then hash(get(_w, s.i - 1), s.x, get(_c, j + 1).x, get(_c, j + 2).x) end), h -> h is not null))"))
-    every = F.expr("array_distinct(transform(_w, (x, i) -> hash('', x, get(_w, i + 1), get(_w, i + 2))))")
-    chosen = F.when(F.size("_h") > 0, F.col("_h")).when(F.size("_w") > 0, every).otherwise(F.array(F.hash(F.lit("raw"), F.col(text))))
+        " then hash(s.x, get(_c, j + 1).x) end), h -> h is not null))"))
+    content = F.expr("array_distinct(transform(_c, (s, j) -> hash(s.x, get(_c, j + 1).x)))")
+    every = F.expr("array_distinct(transform(_w, (x, i) -> hash(x, get(_w, i + 1))))")
+    chosen = (
+        F.when(F.size("_h") * FEW >= F.greatest(F.size("_c"), F.lit(1)), F.col("_h")).when(F.size("_c") > 0, content)
+        .when(F.size("_w") > 0, every).otherwise(F.array(F.hash(F.lit("raw"), F.col(text)))))
     return df.withColumn(out, F.sort_array(chosen)).drop("_w", "_c", "_h")
 
 

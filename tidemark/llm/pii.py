@@ -150,9 +150,9 @@ def describe(text: str, span: Span) -> tuple[str, str]:
     lead = text[max(0, a - 3) : a]
     kinds = len(set(s))
     votes = [
-        # pattern: a form that only personal data have; or plainly another one
+        # pattern: a form that only personal data have; a number of no known form
         "1" if kind in BASE or re.fullmatch(r"[0-9a-f]{32,128}|[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|[0-9]{3}-[0-9]{2}-[0-9]{4}|\(?[0-9]{3}\)?[ -][0-9]{3}-[0-9]{4}", s)
-        else "0" if re.fullmatch(r"(?:1[0-9]|20)[0-9]{2}[-/. ][0-9]{1,2}[-/. ][0-9]{1,2}(?:[ T].*)?|[0-9]+[./][0-9]+", s) else "-",
+        else "0" if kind == "number" else "-",
         # pattern: check digits
         "-" if kind not in ("card", "number") or not 13 <= digits <= 19
         else "1" if _luhn("".join(c for c in s if c.isdigit())) else "0",

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, numbered, ranked, written
+from .common import numbered, ranked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Newton steps; the first ones go about 1 a step, the last ones double the digits.
@@ -75,19 +75,8 @@ def _carry(most: int):
     return run
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int = 3, slim: bool = False) -> DataFrame:
-    """Documents with size, source_size, target, rate and copies (0 to ``most``).
-
-    ``slim`` leaves out all columns but doc_id and source, and so keeps texts out of the shuffle.
-
-    A group of the carrying step has one row for each size that occurs in a source, so it is
-    bounded by the longest text, not by the source. Copies left over within a size go to the
-    documents with the lowest hash of doc_id and text: reruns agree. Null texts have size 0 and
-    about one copy; null is a source of its own, the last. An empty table gives no row.
-    """
-    rows = sizes(docs).withColumn("_hash", F.xxhash64("doc_id", "text"))
-    if slim:
-        rows = rows.select("doc_id", "source", "size", "_hash")
+def _placed(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame:
+    """Rows of doc_id, source, size, _hash and any others with their copies and what led to them."""
     groups = written(rows.groupBy("source", "size").agg(F.count("*").alias("n")), "sizes")
     totals = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))
     solved = written(rates(targets(totals, weights, most)), "rates")
@@ -97,14 +86,34 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int
     plan = planned.join(known, planned.source.eqNullSafe(known._source)).select(
         "_source", F.col("size").alias("_size"), "source_size", "target", "rate",
         F.floor(F.col("total") / F.col("n")).alias("_each"), (F.col("total") % F.col("n")).alias("_more"))
-    placed = ranked(rows, ["source", "size"], "_hash", ["doc_id"])
     plan = written(plan, "plan")
+    placed = ranked(rows, ["source", "size"], "_hash", ["doc_id"])
+    more = F.when(F.col("_rank") < F.col("_more"), 1).otherwise(0)
     return placed.join(plan, placed.source.eqNullSafe(plan._source) & (placed["size"] == plan._size)).withColumn(
-        "copies", (F.col("_each") + F.when(F.col("_rank") < F.col("_more"), 1).otherwise(0)).cast("int")
-    ).drop("_hash", "_rank", "_source", "_size", "_each", "_more")
+        "copies", (F.col("_each") + more).cast("int"))
+
+
+def _sized(docs: DataFrame, whole: bool) -> DataFrame:
+    """doc_id, source, size and a hash; with ``whole`` also the row, packed so no name can clash."""
+    row = [F.struct(*docs.columns).alias("_row")] if whole else []
+    slim = docs.select(*row, "doc_id", "text", F.col("source").cast("string").alias("source"))
+    return sizes(slim).withColumn("_hash", F.xxhash64("doc_id", "text")).drop("text")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int = 3) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate and copies (0 to ``most``) of all documents.
+
+    A group of the carrying step has one row for each size that occurs in a source, so it is
+    bounded by the longest text, not by the source. Copies left over within a size go to the
+    documents with the lowest hash of doc_id and text: reruns agree. Null texts have size 0 and
+    about one copy; null is a source of its own, the last. Repeated rows count each; other
+    columns are left out, and so are texts, before anything is shuffled. An empty table gives
+    no row.
+    """
+    return _placed(_sized(docs, False), weights, most).select("doc_id", "source", "size", "source_size", "target", "rate", "copies")
 
 
-def take(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents themselves: each as often as its copies say, with the given columns."""
-    taken = mix(docs, **options).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+def take(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int = 3) -> DataFrame:
+    """The mixed documents themselves, all columns, each as often as its copies say."""
+    taken = _placed(_sized(docs, True), weights, most).where("copies > 0")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")

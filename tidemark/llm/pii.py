@@ -213,7 +213,7 @@ def _one_hot(features: list[str]) -> np.ndarray:
     return x
 
 
-def train(counts: dict[tuple[str, str], int], ridge: float = 1.0) -> np.ndarray:
+def train(counts: dict[tuple[str, str], int], ridge: float = 0.05) -> np.ndarray:
     """Weights of the span classifier from counts of (votes, features)."""
     votes: Counter = Counter()
     for (v, _), n in counts.items():

@@ -81,7 +81,7 @@ def test_learned_spans(spark, sf):
     weights = pii.learn(docs)
     found = pii.find(awkward(spark), weights, ["doc_id"]).collect()
     assert len(found) == len(AWKWARD) and {r.spans for r in found} == {""}
-    text = 'my token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" or +1 (407) 555-7710, see page 1234567 of 2123465659789240'
+    text = 'my token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" or +1 (407) 555-7710, see 2123465659789240'
     base, every = pii.spans_of(text, weights)
     assert [s[0] for s in base] == ["phone"] and [s[0] for s in every] == ["phone", "secret"]
     assert pii.masked(text, every).startswith('my token = "[SECRET]" or [PHONE], see')

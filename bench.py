@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -99,6 +100,7 @@ def jobs(spark):
 def main():
     spark = build_session("tidemark-bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": f"file://{tempfile.mkdtemp(prefix='tidemark-bench-')}",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g")})
     spark.sparkContext.setLogLevel("ERROR")
     drain(ops.current_state(feeds.lineitem_feed(spark, SF), ["k"], LINEITEM_SPEC))

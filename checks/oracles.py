@@ -42,17 +42,19 @@ def line_state(flag: str = CLEAN, columns: str = "k, n, p, q, quantity, price")
     return f"SELECT {columns} FROM ({latest}) WHERE coalesce(operation_flag, 'I') <> 'D'"
 
 
-def fold_sql(flag: str, late: bool = False, batches: int = len(CUTS)) -> str:
+def fold_sql(flag: str, late: bool = False, batches=range(len(CUTS))) -> str:
     """The merge applied batch after batch, as a chain of table expressions."""
     names = ", ".join(LINEITEM_COLUMNS)
     steps = [
         f"feed AS MATERIALIZED ({line_feed(flag)})",
         f"t0 AS (SELECT {names} FROM feed WHERE false)",
     ]
-    for i in range(1, batches + 1):
-        arrived = f"recordstamp < TIMESTAMP '{CUTS[i - 1]}'"
-        if late and i < len(CUTS):
-            arrived += f" AND n <> {LATE_LINE}"
+    for i, batch in enumerate(batches, 1):
+        arrived = "true"
+        if CUTS[batch]:
+            arrived = f"recordstamp < TIMESTAMP '{CUTS[batch]}'"
+            if late:
+                arrived += f" AND n <> {LATE_LINE}"
         fresh = (
             f"SELECT * FROM feed WHERE {arrived} AND k IS NOT NULL AND recordstamp >= "
             f"(SELECT coalesce(max(recordstamp), {FLOOR}) FROM t{i - 1})"
@@ -69,7 +71,7 @@ def fold_sql(flag: str, late: bool = False, batches: int = len(CUTS)) -> str:
             f"UNION ALL SELECT {names} FROM {s} WHERE operation_flag IN ('I', 'U', 'L') "
             f"AND EXISTS (SELECT 1 FROM {t} WHERE {t}.k = {s}.k))"
         )
-    return f"WITH {', '.join(steps)} SELECT {names} FROM t{batches}"
+    return f"WITH {', '.join(steps)} SELECT {names} FROM t{len(batches)}"
 
 
 DICTIONARY = """
@@ -164,8 +166,8 @@ def oracles() -> dict[str, str]:
         "new_records": (
             f"SELECT * FROM ({dirty}) WHERE recordstamp >= (SELECT coalesce(max(recordstamp), "
             f"{FLOOR}) FROM ({line_state(DIRTY, names)}) WHERE recordstamp < '2000-01-01')"),
-        "initial_population": fold_sql(DIRTY, batches=1),
-        "merge_one_batch": fold_sql(CLEAN, batches=2),
+        "initial_population": fold_sql(DIRTY, batches=[len(CUTS) - 1]),
+        "merge_one_batch": fold_sql(CLEAN, batches=[0, len(CUTS) - 1]),
         "merge_three_batches": fold_sql(CLEAN),
         "merge_three_batches_partitioned": fold_sql(CLEAN),
         "merge_null_and_unknown_flags": fold_sql(DIRTY),
@@ -240,6 +242,20 @@ def oracles() -> dict[str, str]:
             f"SELECT 'lines' AS table_name, count(*) AS row_count FROM ({line_state()}) "
             f"UNION ALL SELECT 'orders_feed', count(*) FROM ({orders_state}) WHERE {live} "
             f"UNION ALL SELECT 'events_feed', count(*) FROM ({events_state}) WHERE {live}"),
+        "scan_feed": f"SELECT *, 'path' AS via FROM ({dirty}) UNION ALL SELECT *, 'name' FROM ({dirty})",
+        "copy_dataset_content": (
+            "SELECT 'labels' AS table_name, doc_id AS id, CAST(quality AS VARCHAR) AS content FROM labels "
+            "UNION ALL SELECT 'pages', page_id, html FROM pages "
+            "UNION ALL SELECT 'conversations', conv_id, text FROM conversations"),
+        "multi_table_lines": line_state(CLEAN, names),
+        "multi_table_events": (
+            f"SELECT event_id, user_id, value, props FROM ({events_state}) WHERE {live}"),
+        "materialize_skipped": BY_STATUS,
+        "merge_zoned_stamp": fold_sql(CLEAN),
+        "current_state_zoned_stamp": line_state(),
+        "early_years_by_name": (
+            "SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate "
+            "- INTERVAL 1990 YEAR ELSE o_orderdate END AS day FROM orders"),
         "multi_table_orders": (
             f"SELECT custkey, orderkey, status, price, recordstamp FROM ({orders_state}) "
             f"WHERE {live}"),

@@ -31,6 +31,7 @@ from tidemark.plans.reporting import (
 from tidemark.plans.runner import run_cdc
 from tidemark.session import new_scratch
 from tidemark.sources import files
+from tidemark.sources.fs import Fs
 from tidemark.streaming.cdc import stream_cdc
 
 
@@ -40,6 +41,7 @@ class Place:
     def __init__(self, spark: SparkSession, sf: str):
         self.spark, self.sf, self.root = spark, sf, new_scratch(spark, "query")
         self.warehouse = Warehouse(spark, f"{self.root}/warehouse")
+        Fs(spark, self.root).delete_at_end(self.root)
         self.tag = uuid.uuid4().hex[:10]
 
     def dataset(self, name: str) -> str:
@@ -146,38 +148,47 @@ def new_records(spark, sf):
 
 # merges
 
-def _fold_frames(spark, sf, flag, strategy, batches=len(CUTS)):
+def _fold_frames(spark, sf, flag, strategy, batches=range(len(CUTS))):
     """The merge expression batch after batch; each result but the last is written out, so that
-    no batch is computed twice."""
+    no batch is computed twice, and so are the changes, which some strategies read repeatedly."""
     feed, root = feeds.lineitem_feed(spark, sf, flag), new_scratch(spark, "fold")
+    Fs(spark, root).delete_at_end(root)
+
+    def stored(df, name):
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
     target = ops.cdc_columns(feed).where("false")
-    for i in range(batches):
+    for i in batches:
         fresh = ops.new_records(feeds.visible(feed, i), target, LINEITEM_SPEC)
         changes = ops.latest_per_key(
             ops.keys_not_null(fresh, ["k"]), ["k"], LINEITEM_SPEC, method="aggregate")
+        if strategy == "anti":
+            changes = stored(changes, f"changes{i}")
         target = merge_changes(target, changes, ["k"], LINEITEM_SPEC, strategy=strategy)
-        if i < batches - 1:
-            target.write.parquet(f"{root}/{i}")
-            target = spark.read.schema(target.schema).parquet(f"{root}/{i}")
+        if i != batches[-1]:
+            target = stored(target, i)
     return target
 
 
-def _fold_stored(spark, sf, flag, batches=len(CUTS), late=False, late_policy="drop",
-                 layout=Layout()):
+def _fold_stored(spark, sf, flag, batches=range(len(CUTS)), late=False, late_policy="drop",
+                 layout=Layout(), feed=None):
     place = Place(spark, sf)
-    feed, state = feeds.lineitem_feed(spark, sf, flag), place.table()
-    for i in range(batches):
+    feed, state = feed or feeds.lineitem_feed(spark, sf, flag), place.table()
+    for i in batches:
         apply_feed(spark, feeds.visible(feed, i, late), state, ["k"], LINEITEM_SPEC,
                    late_policy, layout=layout)
     return state.read()
 
 
 def initial_population(spark, sf):
-    return _fold_stored(spark, sf, DIRTY, batches=1)
+    """The whole feed into a table that does not exist yet."""
+    return _fold_stored(spark, sf, DIRTY, batches=[len(CUTS) - 1])
 
 
 def merge_one_batch(spark, sf):
-    return _fold_frames(spark, sf, CLEAN, "outer", batches=2)
+    """An existing state and one batch with everything after it."""
+    return _fold_frames(spark, sf, CLEAN, "outer", batches=[0, len(CUTS) - 1])
 
 
 def merge_three_batches(spark, sf):
@@ -222,7 +233,7 @@ def stream_merge_final_state(spark, sf):
             before = F.expr(seen)
             arrived = arrived.where(~before)
         late = f" AND n <> {feeds.LATE_LINE}"
-        seen = f"(recordstamp < timestamp_ntz'{CUTS[i]}'{late})"
+        seen = f"coalesce(recordstamp < timestamp_ntz'{CUTS[i]}'{late}, false)" if CUTS[i] else "true"
         arrived.write.mode("append").parquet(landing)
         stream = spark.readStream.schema(feed.schema).parquet(landing)
         stream_cdc(stream, state, ["k"], f"{place.root}/checkpoint", LINEITEM_SPEC).awaitTermination()
@@ -570,7 +581,90 @@ def multi_table_orders(spark, sf):
     return place.warehouse.frame(f"{cdc}.orders_feed")
 
 
+def multi_table_lines(spark, sf):
+    _, cdc = _run_many(spark, sf)
+    return spark.table(f"{cdc}.lines")
+
+
+def multi_table_events(spark, sf):
+    _, cdc = _run_many(spark, sf)
+    return spark.table(f"{cdc}.events_feed")
+
+
+def scan_feed(spark, sf):
+    """The same feed by path and by name."""
+    place = Place(spark, sf)
+    path, raw = f"{place.root}/landing", place.dataset("raw")
+    feeds.lineitem_feed(spark, sf, DIRTY).write.parquet(path)
+    spark.sql(f"CREATE VIEW {raw}.lines AS SELECT * FROM parquet.`{path}`")
+    by_path = ops.scan_feed(spark, path).withColumn("via", F.lit("path"))
+    return by_path.unionByName(ops.scan_feed(spark, f"{raw}.lines").withColumn("via", F.lit("name")))
+
+
+def copy_dataset_content(spark, sf):
+    place = Place(spark, sf)
+    raw, dst = place.dataset("raw"), place.dataset("copied")
+    shown = {"labels": ("doc_id", "quality"), "pages": ("page_id", "html"),
+             "conversations": ("conv_id", "text")}
+    files.load_tables(place.warehouse, [f"{sf}/{n}.parquet" for n in shown],
+                      [f"{raw}.{n}" for n in shown])
+    files.copy_dataset(place.warehouse, raw, dst)
+    rows = [
+        spark.table(f"{dst}.{name}").select(
+            F.lit(name).alias("table_name"), F.col(key).alias("id"),
+            F.col(content).cast("string").alias("content"))
+        for name, (key, content) in shown.items()
+    ]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def materialize_skipped(spark, sf):
+    """Outside the reporting layer an object that exists is left as it is."""
+    place = Place(spark, sf)
+    src, cdc = place.sources("orders"), place.dataset("cdc")
+    first = {"type": "table", "name": "by_status", "sql": _by_status(src),
+             "table_setting": {"load_frequency": "@daily"}}
+    materialize(place.warehouse, first, cdc, "cdc", load=True)
+    other = {**first, "sql": f"SELECT o_orderkey FROM {src}.orders"}
+    materialize(place.warehouse, other, cdc, "cdc", load=True)
+    return spark.table(f"{cdc}.by_status")
+
+
+def _zoned(feed: DataFrame) -> DataFrame:
+    """The feed with stamps that mean instants, UTC being the session's zone."""
+    return feed.withColumn("recordstamp", F.col("recordstamp").cast("timestamp"))
+
+
+def merge_zoned_stamp(spark, sf):
+    rows = _fold_stored(spark, sf, CLEAN, feed=_zoned(feeds.lineitem_feed(spark, sf)))
+    return rows.withColumn("recordstamp", F.col("recordstamp").cast("timestamp_ntz"))
+
+
+def current_state_zoned_stamp(spark, sf):
+    return ops.current_state(_zoned(feeds.lineitem_feed(spark, sf)), ["k"], LINEITEM_SPEC)
+
+
+def early_years_by_name(spark, sf):
+    """A table by year with years below 1000, read by name after one year was rewritten."""
+    place = Place(spark, sf)
+    name = f"{place.dataset('raw')}.orders"
+    early = "CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate - INTERVAL 1990 YEARS ELSE o_orderdate END"
+    rows = table(spark, sf, "orders").selectExpr("o_orderkey", "o_totalprice", f"{early} AS day")
+    stored = place.warehouse.table(name).create(rows.schema, Layout(TimePartition("day", "year")))
+    stored.overwrite(rows)
+    stored.replace_parts(rows.where("year(day) = 5"), ["0005"])
+    return spark.table(name)
+
+
 QUERIES = {
+    "scan_feed": scan_feed,
+    "copy_dataset_content": copy_dataset_content,
+    "multi_table_lines": multi_table_lines,
+    "multi_table_events": multi_table_events,
+    "materialize_skipped": materialize_skipped,
+    "merge_zoned_stamp": merge_zoned_stamp,
+    "current_state_zoned_stamp": current_state_zoned_stamp,
+    "early_years_by_name": early_years_by_name,
     "current_state_lineitem": current_state_lineitem,
     "current_state_dirty_flags": current_state_dirty_flags,
     "current_state_by_aggregate": current_state_by_aggregate,

@@ -10,13 +10,14 @@ from tidemark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tidemark-tests",
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
             "spark.driver.memory": "4g",
             "spark.sql.sources.parallelPartitionDiscovery.threshold": "1000",
         },

@@ -122,6 +122,18 @@ def test_landing_partition_is_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(day" in plan
 
 
+def test_landing_column_must_be_a_time(spark):
+    rows = feed(spark, [(i, 24 * i, "I", i) for i in range(5)])
+    target = ops.cdc_columns(rows).where("k = 3")
+    for day, kind in (("CAST(date_format(recordstamp, 'yyyyMMdd') AS INT)", "int"),
+                      ("date_format(recordstamp, 'yyyy-MM-dd')", "string")):
+        with pytest.raises(SettingsError, match=kind):
+            ops.new_records(rows.withColumn("day", F.expr(day)), target, FeedSpec(landing=("day", "day")))
+    dated = rows.withColumn("day", F.to_date("recordstamp"))
+    found = ops.new_records(dated, target, FeedSpec(landing=("DAY", "day")))
+    assert {r.k for r in found.collect()} == {3, 4}
+
+
 def test_normalize_name(spark):
     names = ["/OPT/Z_TABLE", "PLAIN", "A/B/C", "//X", "/", None]
     df = spark.createDataFrame([(n,) for n in names], "n string")

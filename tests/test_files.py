@@ -69,6 +69,16 @@ def test_skip_existing_and_failures(spark, tmp_path, house):
         files.load_tables(house, [missing, good], names[1:])
 
 
+def test_append_loses_nothing(spark, house):
+    name = f"{house.tag}.appended"
+    files.write_table(house, spark.sql("SELECT 1 AS id, 2 AS x"), name)
+    for rows in ("SELECT 2 AS id, 5.9D AS x", "SELECT 2 AS id, 5 AS x, 'lost' AS y", "SELECT 2L AS id, 5 AS x"):
+        with pytest.raises(ValueError, match="lacks columns|would lose values"):
+            files.write_table(house, spark.sql(rows), name, "append")
+    files.write_table(house, spark.sql("SELECT 7 AS X, CAST(2 AS SMALLINT) AS ID"), name, "append")
+    assert sorted(map(tuple, house.frame(name).collect())) == [(1, 2), (2, 7)]
+
+
 def test_stop_early_leaves_waiting_jobs_out():
     started = []
 

@@ -2,12 +2,13 @@ import random
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests import model
 from tests.helpers import feed, state
-from tidemark import FeedSpec, Layout, SettingsError, SnapshotTable, TimePartition
+from tidemark import CommitConflict, FeedSpec, Layout, SettingsError, SnapshotTable, TimePartition, Warehouse
 from tidemark.operators import feed as ops
-from tidemark.operators.apply import apply_feed, merge_into
+from tidemark.operators.apply import apply_feed, apply_feed_to_catalog, merge_into
 from tidemark.operators.merge import merge_changes, merge_into_catalog
 
 SPEC = FeedSpec(tiebreak=("v",))
@@ -119,7 +120,7 @@ def test_empty_feed_empty_target_and_all_deleted(spark, tmp_path):
 
 def test_only_partitions_that_lose_rows_are_rewritten(spark, tmp_path):
     layout = LAYOUTS["day"]
-    table = SnapshotTable(spark, str(tmp_path / "t"), keep=10)
+    table = SnapshotTable(spark, str(tmp_path / "t"))
     rows = [(i, 24 * i, "I", i) for i in range(6)]
     apply_feed(spark, feed(spark, rows), table, ["k"], SPEC, layout=layout)
     before = {p["part"]: p["dirs"] for p in table.current()["parts"]}
@@ -134,12 +135,11 @@ def test_only_partitions_that_lose_rows_are_rewritten(spark, tmp_path):
     assert state(table.read())[1] == (121, 11)
 
 
-def test_new_rows_are_added_without_a_rewrite_until_folders_pile_up(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.apply.MAX_FOLDERS", 3)
-    table = SnapshotTable(spark, str(tmp_path / "t"), keep=2)
+def test_new_rows_are_added_without_a_rewrite_until_folders_pile_up(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
     table.create(ops.cdc_columns(feed(spark, [])).schema, stamp="recordstamp")
     for i, folders in enumerate([1, 2, 3, 1, 2]):
-        merge_into(spark, table, feed(spark, [(i, i, "I", i)]), ["k"], SPEC)
+        merge_into(spark, table, feed(spark, [(i, i, "I", i)]), ["k"], SPEC, max_folders=3)
         assert len(table.current()["parts"][0]["dirs"]) == folders
     assert state(table.read()) == {i: (i, i) for i in range(5)}
 
@@ -157,6 +157,70 @@ def test_new_feed_columns(spark, tmp_path):
         apply_feed(spark, wider.drop("v"), table, ["k"], FeedSpec())
 
 
+def test_adding_a_column_writes_no_stored_row(spark, tmp_path):
+    layout = LAYOUTS["day"]
+    house = Warehouse(spark, str(tmp_path / "house"))
+    house.create_dataset("widened")
+    table = house.table("widened.t")
+    apply_feed(spark, feed(spark, [(i, 24 * i, "I", i) for i in range(3)]), table, ["k"], SPEC, layout=layout)
+    before = {p["part"]: p["dirs"] for p in table.current()["parts"]}
+    wider = feed(spark, [(9, 24 * 9, "I", 9)]).selectExpr("*", "'x' AS extra")
+    apply_feed(spark, wider, table, ["k"], SPEC, allow_new_columns=True)
+    manifest = table.current()
+    after = {p["part"]: p["dirs"] for p in manifest["parts"]}
+    assert {k: after[k] for k in before} == before and len(after) == 4 and manifest["version"] == 3
+    want = {0: None, 1: None, 2: None, 9: "x"}
+    assert {r.k: r.extra for r in table.read().collect()} == want
+    assert {r.k: r.extra for r in spark.table("widened.t").collect()} == want
+    merge_into(spark, table, feed(spark, [(1, 24 * 20, "U", 5)]).selectExpr("*", "'y' AS extra"), ["k"], SPEC)
+    assert {r.k: r.extra for r in spark.table("widened.t").collect()} == {**want, 1: "y"}
+    assert table.drop_orphans() == []
+    spark.sql("DROP DATABASE widened CASCADE")
+
+
+def test_merge_conflicts_with_a_commit_in_between(spark, tmp_path, monkeypatch):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    apply_feed(spark, feed(spark, [(1, 1, "I", 1), (2, 1, "I", 2)]), table, ["k"], SPEC)
+    write, other = table._write, SnapshotTable(spark, table.path)
+
+    def and_another(*args):
+        merge_into(spark, other, feed(spark, [(2, 5, "U", 20), (3, 5, "I", 3)]), ["k"], SPEC)
+        return write(*args)
+
+    monkeypatch.setattr(table, "_write", and_another)
+    with pytest.raises(CommitConflict):
+        apply_feed(spark, feed(spark, [(1, 7, "U", 10)]), table, ["k"], SPEC)
+    assert state(other.read()) == {1: (1, 1), 2: (5, 20), 3: (5, 3)}
+
+
+def test_changed_types_are_refused_unless_every_value_fits(spark, tmp_path):
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    df = feed(spark, [(1, 1, "I", 1)])
+    apply_feed(spark, df, table, ["k"], SPEC)
+    for change in ("CAST(v AS DOUBLE) + 0.7", "CAST(v AS STRING)", "CAST(v AS DECIMAL(30, 2))"):
+        with pytest.raises(SettingsError, match="would lose values"):
+            apply_feed(spark, df.withColumn("v", F.expr(change)), table, ["k"], SPEC)
+        with pytest.raises(SettingsError):
+            merge_changes(ops.cdc_columns(df), df.withColumn("v", F.expr(change)), ["k"], SPEC)
+    narrower = feed(spark, [(1, 2, "U", 5)]).withColumn("v", F.expr("CAST(v AS SMALLINT)"))
+    apply_feed(spark, narrower, table, ["k"], SPEC)
+    assert state(table.read()) == {1: (2, 5)}
+
+
+def test_names_compare_without_case(spark, tmp_path):
+    df = feed(spark, [(1, 1, "I", 1), (2, 30, "I", 2), (1, 40, "D", 3)])
+    upper = df.toDF(*[c.upper() for c in df.columns])
+    table = SnapshotTable(spark, str(tmp_path / "t"))
+    layout = Layout(TimePartition("recordstamp", "day"), ("k",))
+    for _ in range(2):
+        apply_feed(spark, upper, table, ["k"], SPEC, layout=layout)
+    assert {(r.K, r.V) for r in table.read().collect()} == {(2, 2)}
+    assert [(r.K, r.V) for r in ops.current_state(upper, ["k"], SPEC).collect()] == [(2, 2)]
+    assert ops.new_records(upper, ops.cdc_columns(upper), SPEC).count() == 1
+    merged = merge_changes(ops.cdc_columns(upper), df.where("v = 3"), ["k"], SPEC, late_policy="compare")
+    assert merged.count() == 1
+
+
 def test_delete_when(spark, tmp_path):
     spec = FeedSpec(tiebreak=("v",), delete_when="is_deleted = true")
     table = SnapshotTable(spark, str(tmp_path / "t"))
@@ -190,6 +254,23 @@ def test_catalog_merge_is_refused_by_plain_files(spark, tmp_path):
     spark.sql("DROP TABLE plain_target")
 
 
+def test_catalog_targets_are_merged_by_the_catalog(spark, tmp_path, monkeypatch):
+    spark.sql(f"CREATE TABLE merge_target (k BIGINT, recordstamp TIMESTAMP, v BIGINT) USING parquet LOCATION '{tmp_path / 'p'}'")
+    ops.cdc_columns(feed(spark, [(1, 5, "I", 1)])).select("k", "recordstamp", "v").write.insertInto("merge_target")
+    seen = []
+
+    class Clauses:
+        def __getattr__(self, name):
+            return lambda *args: seen.append((name, *map(str, args))) or self
+
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.mergeInto", lambda self, *a: seen.append(self) or Clauses())
+    rows = feed(spark, [(1, 4, "U", 7), (1, 6, "D", 1), (2, 7, "I", 2)])
+    apply_feed_to_catalog(spark, rows, "spark_catalog.default.merge_target", ["k"], SPEC)
+    assert {(r.k, r.tm_flag) for r in seen[0].collect()} == {(1, "D"), (2, "I")}
+    assert [s[0] for s in seen[1:]] == ["whenMatched", "delete", "whenMatched", "update", "whenNotMatched", "insert", "merge"]
+    spark.sql("DROP TABLE merge_target")
+
+
 def test_wide_table(spark, tmp_path):
     """As many columns as the widest replicated table."""
     wide = [f"v + {i} AS `c/{i}`" for i in range(472)]
@@ -211,6 +292,8 @@ def test_wrong_arguments(spark):
         merge_changes(df, feed(spark, ACTIONS), ["k"], late_policy="later")
     with pytest.raises(ValueError, match="strategy"):
         merge_changes(df, feed(spark, ACTIONS), ["k"], strategy="magic")
+    with pytest.raises(ValueError, match="anti"):
+        merge_changes(df, feed(spark, ACTIONS), ["k"], late_policy="compare", strategy="anti")
 
 
 def test_partition_column_among_the_keys(spark, tmp_path):

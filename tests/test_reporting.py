@@ -211,6 +211,29 @@ def test_graph_failure_stops_children_and_keeps_tables(spark, house):
     assert spark.table(f"{d}.a").first().x == spark.table(f"{d}.b").first().x == 1
 
 
+def test_graph_failure_stops_what_is_queued(house, monkeypatch):
+    started = []
+
+    def refresh(warehouse, name, sql, params):
+        started.append(name)
+        raise RuntimeError("down")
+
+    monkeypatch.setattr(graph, "refresh_table", refresh)
+    monkeypatch.setattr(graph, "create_table_as_schema", lambda *a: None)
+    objects = [table(n, "SELECT 1 AS x", frequency="@daily", group=f"G {n}") for n in "abcd"]
+    with pytest.raises(RuntimeError, match="down"):
+        graph.refresh_graph(house, objects, house.tag, parallel=1)
+    assert len(started) == 1
+
+
+def test_graph_groups_run_side_by_side(house, monkeypatch):
+    meet = threading.Barrier(2, timeout=60)
+    monkeypatch.setattr(graph, "refresh_table", lambda *a: meet.wait())
+    monkeypatch.setattr(graph, "create_table_as_schema", lambda *a: None)
+    objects = [table(n, "SELECT 1 AS x", frequency="@daily", group=f"G {n}") for n in "ab"]
+    assert graph.refresh_graph(house, objects, house.tag) == {"g_a": ["a"], "g_b": ["b"]}
+
+
 @pytest.mark.parametrize("objects,message", [
     ([table("a", "", ["b"]), table("b", "", ["a"])], "cycle"),
     ([table("a", "", ["b"]),

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -56,20 +56,58 @@ def test_second_writer_fails(spark, tmp_path):
     assert not [n for n in table._fs.names(f"{table.path}/_versions") if n.endswith(".tmp")]
 
 
-def test_old_versions_and_their_folders_are_forgotten(spark, tmp_path):
-    table = make(spark, tmp_path / "t", DAY, keep=2)
+def test_only_old_versions_and_their_folders_are_forgotten(spark, tmp_path):
+    table = make(spark, tmp_path / "t", DAY)
     for i in range(4):
         table.replace_parts(rows(spark, 1 + i).where(f"id = {i}"), ["2020-01-01"] if i == 3 else [])
+    assert table.forget() == [] and table.versions() == [1, 2, 3, 4, 5]
+    assert table.forget(timedelta(0), keep=2) == [1, 2, 3]
     assert table.versions() == [4, 5]
     table.append(rows(spark, 1))
+    table.forget(timedelta(0), keep=2)
     found = {p.parent.name for p in Path(table.path).glob("base*/*/tm_part=*")}
     assert len(found) == 4
     assert ids(table.read()) == [0, 1, 2, 3]
     table.overwrite(rows(spark, 2))
     table.overwrite(rows(spark, 2))
+    table.forget(timedelta(0), keep=2)
     assert len(list(Path(table.path).glob("base*/*"))) == 2
 
 
+def test_reader_survives_later_commits(spark, tmp_path):
+    table = make(spark, tmp_path / "t")
+    table.overwrite(rows(spark, 3))
+    before = table.read()
+    for n in range(5):
+        table.overwrite(rows(spark, n))
+        table.forget()
+    assert ids(before) == [0, 1, 2]
+
+
+def test_commit_on_an_older_version_conflicts_and_loses_nothing(spark, tmp_path):
+    table = make(spark, tmp_path / "t")
+    table.overwrite(rows(spark, 3))
+    seen = table.current()
+    SnapshotTable(spark, table.path).overwrite(rows(spark, 5))
+    with pytest.raises(CommitConflict):
+        table.overwrite(rows(spark, 1), at=seen)
+    assert ids(table.read()) == [0, 1, 2, 3, 4]
+
+
+def test_append_goes_on_top_of_another_writers_version(spark, tmp_path, monkeypatch):
+    table, other = make(spark, tmp_path / "t"), SnapshotTable(spark, str(tmp_path / "t"))
+    write = table._write
+
+    def and_another(*args):
+        other.append(rows(spark, 2))
+        monkeypatch.setattr(table, "_write", write)
+        return write(*args)
+
+    monkeypatch.setattr(table, "_write", and_another)
+    table.append(rows(spark, 3))
+    assert ids(table.read()) == [0, 0, 1, 1, 2] and table.row_count() == 5
+
+
 @pytest.mark.parametrize("grain,first,count", [
     ("day", "2020-01-01", 10), ("month", "2020-01", 1), ("year", "2020", 1), ("hour", "2020-01-01-00", 10)])
 def test_time_partition_folders(spark, tmp_path, grain, first, count):
@@ -140,7 +178,7 @@ def test_cluster_orders_files_and_splits_a_frequent_value(spark, tmp_path):
 def test_timestamps_are_stored_with_statistics(spark, tmp_path):
     import pyarrow.parquet as pq
     df = rows(spark).select("id", F.col("t").cast("timestamp").alias("t"))
-    spark.conf.set("spark.sql.parquet.outputTimestampType", "INT96")
+    assert spark.conf.get("spark.sql.parquet.outputTimestampType") == "TIMESTAMP_MICROS"
     table = SnapshotTable(spark, str(tmp_path / "t"))
     table.create(df.schema).overwrite(df)
     file = next(Path(table.path).glob("base*/*/*.parquet"))

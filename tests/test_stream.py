@@ -1,10 +1,11 @@
 import random
+from datetime import timedelta
 
 from tests import model
 from tests.helpers import feed, state
 from tidemark import FeedSpec, SnapshotTable
 from tidemark.operators import feed as ops
-from tidemark.streaming.cdc import apply_batch, stream_cdc
+from tidemark.streaming.cdc import apply_batch, bury_for_good, stream_cdc
 from tidemark.operators.apply import open_table
 
 SPEC = FeedSpec(tiebreak=("v",))
@@ -30,6 +31,19 @@ def test_late_row_does_not_bring_back_a_deleted_key(spark, tmp_path):
     assert state(table.read()) == {1: (30, 5), 2: (10, 2)}
 
 
+def test_only_old_tombstones_are_dropped(spark, tmp_path):
+    table = target(spark, tmp_path / "t")
+    apply_batch(feed(spark, [(1, 1, "D", 1), (2, 1, "I", 2), (3, 90, "D", 3), (4, 100, "I", 4)]), 0, table, ["k"], SPEC)
+    assert table.row_count() == 4
+    bury_for_good(table, timedelta(hours=50), SPEC)
+    assert table.row_count() == 3 and state(table.read()) == {2: (1, 2), 4: (100, 4)}
+    version = table.current()["version"]
+    bury_for_good(table, timedelta(hours=50), SPEC)
+    assert table.current()["version"] == version
+    apply_batch(feed(spark, [(3, 80, "U", 9), (1, 0, "I", 5)]), 1, table, ["k"], SPEC)
+    assert state(table.read()) == {1: (0, 5), 2: (1, 2), 4: (100, 4)}
+
+
 def test_replayed_batch_is_not_applied_twice(spark, tmp_path):
     table = target(spark, tmp_path / "t")
     apply_batch(feed(spark, [(1, 1, "I", 1)]), 0, table, ["k"], SPEC)

@@ -12,17 +12,22 @@ from pyspark.sql import types as T
 from tidemark.functions.columns import col, cols, resolve
 from tidemark.functions.flags import flag_rank, is_delete, is_upsert
 from tidemark.functions.stamps import floor_literal
-from tidemark.operators.feed import cdc_columns, keys_not_null, latest_per_key, not_deleted, since
+from tidemark.operators.feed import (
+    cdc_columns,
+    keys_not_null,
+    latest_per_key,
+    new_records,
+    not_deleted,
+    since,
+)
 from tidemark.operators.layout import PART, with_part
-from tidemark.operators.merge import FLAG, align
+from tidemark.operators.merge import FLAG, align, check_lossless, merge_into_catalog
 from tidemark.session import staging
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import FeedSpec, Layout, SettingsError
 
 # Keys of a change set are broadcast up to this many bytes; a larger set is shuffled.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
-# A partition made of this many folders is rewritten as one when it is next touched.
-MAX_FOLDERS = 16
 
 # Key types whose range in the changes bounds the scan for stored rows.
 RANGED = (T.IntegerType, T.LongType, T.StringType)
@@ -43,29 +48,31 @@ def open_table(
     """Create the current-state table from the feed's columns unless it exists."""
     if table.exists():
         return table
-    return table.create(
-        cdc_columns(feed, spec).schema, layout, stamp=spec.stamp, tombstones=tombstones
-    )
+    schema = cdc_columns(feed, spec).schema
+    stamp = spec.spelled(schema.names).stamp
+    return table.create(schema, layout.spelled(schema), stamp=stamp, tombstones=tombstones)
 
 
-def _fit_columns(table: SnapshotTable, feed: DataFrame, spec: FeedSpec, allow_new: bool) -> None:
-    have = table.schema()
-    known = {f.name.lower() for f in have.fields}
+def _fitted(
+    table: SnapshotTable, at: dict, feed: DataFrame, spec: FeedSpec, allow_new: bool
+) -> dict:
+    """The version to commit on, with the columns the feed adds; changed types are refused."""
+    have = T.StructType.fromJson(at["schema"])
+    known = {f.name.lower(): f for f in have.fields}
     wanted = cdc_columns(feed, spec).schema
     new = [f for f in wanted.fields if f.name.lower() not in known]
-    gone = known - {f.name.lower() for f in wanted.fields}
+    gone = known.keys() - {f.name.lower() for f in wanted.fields}
     if gone:
         raise SettingsError(f"the feed lacks columns of the table: {sorted(gone)}")
+    check_lossless(wanted, have)
     if not new:
-        return
+        return at
     if not allow_new:
         raise SettingsError(
             f"the feed has columns the table lacks: {[f.name for f in new]}; "
             "pass allow_new_columns=True to add them"
         )
-    old = table.stored()
-    filled = old.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in new])
-    table.overwrite(filled, schema=T.StructType([*have.fields, *new]))
+    return table.with_columns(at, new)
 
 
 def apply_feed(
@@ -88,15 +95,44 @@ def apply_feed(
     if late_policy not in ("drop", "compare"):
         raise ValueError(f"unknown late_policy {late_policy!r}")
     open_table(table, feed, spec, layout)
-    _fit_columns(table, feed, spec, allow_new_columns)
-    compare = late_policy == "compare" and not table.is_empty()
-    mark = table.watermark(spec.stamp)
+    at = table.current()  # everything below is decided on this version and commits on it
+    spec = spec.spelled(T.StructType.fromJson(at["schema"]).names)
+    mark = table.watermark(spec.stamp, at)
+    at = _fitted(table, at, feed, spec, allow_new_columns)
+    compare = late_policy == "compare" and table.row_count(at) > 0
     if compare:
-        dtype = table.schema()[spec.stamp].dataType
+        dtype = T.StructType.fromJson(at["schema"])[spec.stamp].dataType
         mark = floor_literal(dtype) if lookback is None else (mark - F.lit(lookback)).cast(dtype)
     rows = since(feed, mark, spec)
     changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
-    return merge_into(spark, table, changes, keys, spec, compare=compare)
+    return merge_into(spark, table, changes, keys, spec, compare=compare, at=at)
+
+
+def apply_feed_to_catalog(
+    spark: SparkSession,
+    feed: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    spec: FeedSpec = FeedSpec(),
+    late_policy: str = "drop",
+) -> None:
+    """Bring a table of a catalog that supports MERGE up to date with ``feed``.
+
+    The catalog does the merge, so only the files it must change are written, and it keeps
+    concurrent writers apart. The watermark is the highest stamp of the table. ``compare`` reads
+    the whole feed and leaves rows alone that are not older than their change.
+    """
+    if late_policy not in ("drop", "compare"):
+        raise ValueError(f"unknown late_policy {late_policy!r}")
+    target = spark.table(name)
+    spec = spec.spelled(target.columns)
+    compare = late_policy == "compare"
+    if compare:
+        rows = since(feed, floor_literal(target.schema[spec.stamp].dataType), spec)
+    else:
+        rows = new_records(feed, target, spec)
+    changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
+    merge_into_catalog(spark, name, changes, keys, spec, compare)
 
 
 def merge_into(
@@ -108,27 +144,35 @@ def merge_into(
     compare: bool = False,
     meta: dict | None = None,
     broadcast_bytes: int = BROADCAST_KEY_BYTES,
+    at: dict | None = None,
+    max_folders: int | None = None,
 ) -> dict:
     """Merge changes, at most one per key, into the table; returns the committed manifest.
 
+    The merge is decided on version ``at``, the current one by default, and raises CommitConflict
+    if another writer commits meanwhile. A partition of ``max_folders`` folders or more is written
+    as one when it is touched; by default none is.
+
     Only partitions that lose a row are rewritten; new rows are added to the others as further
     folders. The table is read twice: its key columns, to find those partitions, then the
     partitions themselves. While the keys of the changes are small, neither read is shuffled, and
     what is kept of a partition is written by the tasks that read it.
     """
-    manifest = table.current()
+    manifest = at or table.current()
     tombstones = manifest["tombstones"]
-    schema = table.schema()
+    schema = T.StructType.fromJson(manifest["schema"])
+    spec = spec.spelled(schema.names)
+    check_lossless(changes.schema, schema)
     keys = resolve(schema.names, keys, "key")
     names = schema.names
 
-    if table.is_empty():
+    if table.row_count(manifest) == 0:
         rows = changes if tombstones else not_deleted(changes, spec)
         rows = align(rows, schema, spec)
-        return table.overwrite(rows if tombstones else rows.drop(FLAG), keys, meta)
+        return table.overwrite(rows if tombstones else rows.drop(FLAG), keys, meta, at=manifest)
 
-    with staging(spark) as stage:
-        layout = table.layout()
+    with staging(spark, table.path) as stage:
+        layout = Layout.from_json(manifest["layout"])
         size = Observation()
         ranged = [k for k in keys if isinstance(schema[k].dataType, RANGED)]
         width = sum((F.octet_length(col(k).cast("string")) + 16 for k in keys), F.lit(0))
@@ -144,7 +188,7 @@ def merge_into(
         )
         size = size.get
         if size["rows"] == 0:
-            return table.replace_parts(staged, (), keys, meta) if meta else manifest
+            return table.replace_parts(staged, (), keys, meta, at=manifest) if meta else manifest
         small = size["bytes"] <= broadcast_bytes
 
         def few(df):
@@ -155,7 +199,7 @@ def merge_into(
         parts = None
         if layout.partition and layout.partition.column in keys:
             parts = {r[0] for r in with_part(staged, layout).select(PART).distinct().collect()}
-        target = table.stored(parts)
+        target = table.stored(parts, manifest)
         for i, k in enumerate(ranged):
             target = target.where(col(k).between(size[f"low{i}"], size[f"high{i}"]))
         order = [spec.stamp, *resolve(names, spec.tiebreak)] if compare else []
@@ -191,16 +235,16 @@ def merge_into(
             .select("end.*").distinct().collect()
         )
         if not touched:
-            return table.replace_parts(staged.limit(0), (), keys, meta) if meta else manifest
+            return table.replace_parts(staged.limit(0), (), keys, meta, at=manifest) if meta else manifest
         folders = {p["part"]: len(p["dirs"]) for p in manifest["parts"]}
-        crowded = {r["part"] for r in touched if folders.get(r["part"], 0) >= MAX_FOLDERS}
+        crowded = {r["part"] for r in touched if max_folders and folders.get(r["part"], 0) >= max_folders}
         losing = {r["part"] for r in touched if r["loses"]} - crowded
 
         stored = [*names, FLAG] if tombstones else names
         gone = decided.where(F.col(_HIT)).select(*cols(keys))
 
         def kept(parts):
-            return table.stored(parts).join(few(gone), keys, "left_anti").select(*cols(stored))
+            return table.stored(parts, manifest).join(few(gone), keys, "left_anti").select(*cols(stored))
 
         rows = decided.where(F.col(_ACTION) == "write").select(*cols(stored))
         settled = None
@@ -210,7 +254,7 @@ def merge_into(
             settled = kept(losing)
         elif losing:  # the join has mixed the rows of all partitions
             rows = rows.unionByName(kept(losing))
-        return table.replace_parts(rows, losing | crowded, keys, meta, settled=settled)
+        return table.replace_parts(rows, losing | crowded, keys, meta, settled=settled, at=manifest)
 
 
 def _action(spec: FeedSpec, order: Sequence[str], tombstones: bool, compare: bool) -> Column:

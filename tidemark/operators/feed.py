@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import col, cols, qualified, quote, resolve
 from tidemark.functions.flags import flag_of, flag_rank, is_live
 from tidemark.functions.stamps import decode, encode, floor_literal
-from tidemark.spec import DELETE_FLAG, FeedSpec
+from tidemark.spec import DELETE_FLAG, TIME_TYPES, FeedSpec, SettingsError
 
 _RANK = "tm_rank"
 _ROW = "tm_row"
@@ -29,7 +29,7 @@ def cdc_columns(df: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
 
 def view_columns(df: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Columns shown by the runtime view: as above, and without the stamp."""
-    return df.drop(spec.op, spec.deleted, spec.stamp)
+    return df.drop(*spec.excluded, spec.stamp)
 
 
 def keys_not_null(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -44,7 +44,7 @@ def not_deleted(df: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
 
 def watermark(target: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     """One row with the highest stamp, or the floor for an empty table."""
-    dtype = target.schema[spec.stamp].dataType
+    dtype = target.schema[spec.spelled(target.columns).stamp].dataType
     high = F.max(col(spec.stamp))
     floor = floor_literal(dtype)
     return target.agg((high if floor is None else F.coalesce(high, floor)).alias("watermark"))
@@ -56,8 +56,12 @@ def since(feed: DataFrame, mark: Column | None, spec: FeedSpec = FeedSpec()) ->
         return feed.where(col(spec.stamp).isNotNull())
     out = feed.where(col(spec.stamp) >= mark)
     if spec.landing:
-        column, grain = spec.landing
-        start = F.date_trunc(grain, mark).cast(feed.schema[column].dataType)
+        column, grain = spec.spelled(feed.columns).landing
+        dtype = feed.schema[column].dataType
+        if not isinstance(dtype, TIME_TYPES):
+            raise SettingsError(
+                f"landing column {column!r} must be a date or timestamp, not {dtype.simpleString()}")
+        start = F.date_trunc(grain, mark).cast(dtype)
         out = out.where(col(column) >= start)
     return out
 
@@ -68,7 +72,7 @@ def new_records(feed: DataFrame, target: DataFrame, spec: FeedSpec = FeedSpec())
     The single watermark value is fetched first: as a constant it prunes partitions of the feed,
     which a subquery cannot.
     """
-    dtype = target.schema[spec.stamp].dataType
+    dtype = target.schema[spec.spelled(target.columns).stamp].dataType
     value = watermark(target, spec).select(encode(F.col("watermark"), dtype)).first()[0]
     return since(feed, None if value is None else decode(value, dtype), spec)
 
@@ -129,7 +133,7 @@ def current_state_sql(
     name: str, columns: Sequence[str], keys: Sequence[str], spec: FeedSpec = FeedSpec()
 ) -> str:
     """The same as SQL text, for a view that is stored in the catalog."""
-    hidden = {spec.op.lower(), spec.deleted.lower(), spec.stamp.lower()}
+    hidden = {c.lower() for c in (*spec.excluded, spec.stamp)}
     shown = ", ".join(quote(c) for c in columns if c.lower() not in hidden)
     keys = resolve(columns, keys, "key")
     op, stamp = quote(spec.op), quote(spec.stamp)

@@ -10,11 +10,52 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, cols, qualified, quote, resolve
 from tidemark.functions.flags import flag_of, is_delete, is_live, is_upsert
-from tidemark.spec import FeedSpec
+from tidemark.spec import FeedSpec, SettingsError
 
 FLAG = "tm_flag"
 
 
+# Whole numbers by size.
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _holds(wide: T.DataType, narrow: T.DataType) -> bool:
+    """Whether every value of ``narrow`` is kept by a cast to ``wide``."""
+    if wide == narrow or isinstance(narrow, T.NullType):
+        return True
+    if isinstance(narrow, _WHOLE):
+        digits = (3, 5, 10, 19)[[type(narrow) is t for t in _WHOLE].index(True)]
+        if isinstance(wide, _WHOLE):
+            return _WHOLE.index(type(wide)) >= _WHOLE.index(type(narrow))
+        if isinstance(wide, T.DecimalType):
+            return wide.precision - wide.scale >= digits
+        return isinstance(wide, T.DoubleType) and digits <= 10 or isinstance(wide, T.FloatType) and digits <= 5
+    if isinstance(narrow, T.DecimalType) and isinstance(wide, T.DecimalType):
+        return wide.scale >= narrow.scale and wide.precision - wide.scale >= narrow.precision - narrow.scale
+    if isinstance(narrow, T.FloatType):
+        return isinstance(wide, T.DoubleType)
+    if isinstance(wide, T.StringType):
+        return isinstance(narrow, (T.StringType, T.CharType, T.VarcharType, T.DateType, T.BooleanType))
+    if isinstance(wide, T.ArrayType) and isinstance(narrow, T.ArrayType):
+        return _holds(wide.elementType, narrow.elementType)
+    if isinstance(wide, T.MapType) and isinstance(narrow, T.MapType):
+        return _holds(wide.keyType, narrow.keyType) and _holds(wide.valueType, narrow.valueType)
+    if isinstance(wide, T.StructType) and isinstance(narrow, T.StructType):
+        return len(wide) == len(narrow) and all(_holds(a.dataType, b.dataType) for a, b in zip(wide, narrow))
+    return isinstance(wide, T.TimestampNTZType) and isinstance(narrow, T.DateType)
+
+
+def check_lossless(given: T.StructType, stored: T.StructType) -> None:
+    """Raise if a given column's type does not fit into the stored column of the same name."""
+    types = {f.name.lower(): f.dataType for f in stored.fields}
+    for f in given.fields:
+        wide = types.get(f.name.lower())
+        if wide is not None and not _holds(wide, f.dataType):
+            raise SettingsError(
+                f"column {f.name!r} is {f.dataType.simpleString()} and would lose values as "
+                f"{wide.simpleString()}, the table's type")
+
+
 def align(changes: DataFrame, schema: T.StructType, spec: FeedSpec) -> DataFrame:
     """The target's columns in the target's types, plus the effective flag."""
     names = resolve(changes.columns, schema.names)
@@ -54,11 +95,15 @@ def merge_changes(
     """
     if late_policy not in ("drop", "compare"):
         raise ValueError(f"unknown late_policy {late_policy!r}")
+    if strategy == "anti" and late_policy == "compare":
+        raise ValueError("strategy 'anti' cannot compare stamps; use 'outer'")
     keys = resolve(target.columns, keys, "key")
+    spec = spec.spelled(target.columns)
+    check_lossless(changes.schema, target.schema)
     changes = align(changes, target.schema, spec)
-    if strategy == "anti" and late_policy == "drop":
+    if strategy == "anti":
         return _merge_anti(target, changes, keys)
-    if strategy not in ("outer", "anti"):
+    if strategy != "outer":
         raise ValueError(f"unknown strategy {strategy!r}")
     return _merge_outer(target, changes, keys, spec, late_policy == "compare")
 
@@ -91,11 +136,17 @@ def _merge_anti(target, changes, keys):
 
 
 def merge_into_catalog(
-    spark, table: str, changes: DataFrame, keys: Sequence[str], spec: FeedSpec = FeedSpec()
+    spark,
+    table: str,
+    changes: DataFrame,
+    keys: Sequence[str],
+    spec: FeedSpec = FeedSpec(),
+    compare: bool = False,
 ) -> None:
     """The same merge by the catalog itself, for tables of a catalog that supports MERGE."""
     target = spark.table(table)
     keys = resolve(target.columns, keys, "key")
+    check_lossless(changes.schema, target.schema)
     source = align(changes, target.schema, spec).alias("s")
     matched = None
     for key in keys:
@@ -103,10 +154,15 @@ def merge_into_catalog(
         matched = equal if matched is None else matched & equal
     flag = F.col(f"s.{FLAG}")
     values = {quote(name): F.col(f"s.{quote(name)}") for name in target.columns}
+    newer = F.lit(True)
+    if compare:
+        stamp = quote(spec.spelled(target.columns).stamp)
+        before, after = F.col(f"{qualified(table)}.{stamp}"), F.col(f"s.{stamp}")
+        newer = before.isNull() | F.coalesce(after >= before, F.lit(False))
     (
         source.mergeInto(table, matched)
-        .whenMatched(is_delete(flag)).delete()
-        .whenMatched(is_upsert(flag)).update(values)
+        .whenMatched(is_delete(flag) & newer).delete()
+        .whenMatched(is_upsert(flag) & newer).update(values)
         .whenNotMatched(is_live(flag)).insert(values)
         .merge()
     )

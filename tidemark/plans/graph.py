@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from graphlib import CycleError, TopologicalSorter
+from threading import Event
 
 from tidemark.plans.reporting import create_table_as_schema, object_name, object_sql, refresh_table
 from tidemark.sources.warehouse import Warehouse
@@ -73,21 +74,28 @@ def refresh_graph(
     params: Mapping | None = None,
     parallel: int = PARALLEL_REFRESHES,
 ) -> dict[str, list[str]]:
-    """Refresh each table once all its parents are done; independent ones run side by side.
+    """Refresh each table once all its parents are done; independent ones, of one group or of
+    several, run side by side.
 
     Returns the tables of each group in the order they were finished. Groups are checked before
     any of them starts. A failure stops everything not yet started; what was refreshed stays.
     """
     groups = group_objects(select_objects(objects))
     checked = {name: check_group(name, members) for name, members in groups.items()}
-    done: dict[str, list[str]] = {}
-    for name, members in groups.items():
-        order, _ = checked[name]
-        done[name] = _refresh_group(warehouse, members, order, dataset, params, parallel)
-    return done
+    members = {key: obj for group in groups.values() for key, obj in group.items()}
+    group_of = {key: name for name, group in groups.items() for key in group}
 
+    failed = Event()
+
+    def run(key: str) -> None:
+        if failed.is_set():  # nothing queued starts after a failure
+            return
+        try:
+            refresh(key)
+        except Exception:
+            failed.set()
+            raise
 
-def _refresh_group(warehouse, members, order, dataset, params, parallel) -> list[str]:
     def refresh(key: str) -> None:
         obj = members[key]
         name, sql = f"{dataset}.{object_name(obj)}", object_sql(obj)
@@ -96,16 +104,21 @@ def _refresh_group(warehouse, members, order, dataset, params, parallel) -> list
             create_table_as_schema(warehouse, name, sql, layout, obj.get("description"), params)
         refresh_table(warehouse, name, sql, params)
 
-    finished: list[str] = []
+    done: dict[str, list[str]] = {name: [] for name in groups}
     running = {}
-    with ThreadPoolExecutor(parallel) as pool:
-        while order.is_active():
-            for key in order.get_ready():
-                running[pool.submit(refresh, key)] = key
+    pool = ThreadPoolExecutor(parallel)
+    try:
+        while True:
+            for order, _ in checked.values():
+                for key in order.get_ready():
+                    running[pool.submit(run, key)] = key
+            if not running:
+                return done
             ready, _ = wait(running, return_when=FIRST_COMPLETED)
             for future in ready:
                 key = running.pop(future)
                 future.result()
-                finished.append(key)
-                order.done(key)
-    return finished
+                done[group_of[key]].append(key)
+                checked[group_of[key]][0].done(key)
+    finally:
+        pool.shutdown(cancel_futures=True)

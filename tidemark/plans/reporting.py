@@ -66,17 +66,26 @@ def query_params(config: Mapping) -> dict:
     for section, values in sections.items():
         if isinstance(values, Mapping):
             for layer, dataset in (values.get("datasets") or {}).items():
-                found[f"{section.lower()}_datasets_{layer.lower()}"] = dataset
+                found[f"{_section(section)}_datasets_{layer.lower()}"] = dataset
             if "currencies" in values:
-                found[f"{section.lower()}_currencies"] = values["currencies"]
+                found[f"{_section(section)}_currencies"] = values["currencies"]
     system = config.get("SAP") or {}
     for name, (part, key) in SYSTEM_PARAMS.items():
         found[name] = (system.get(part) or {}).get(key) if part else system.get(key)
     flavour = str(system.get("SQLFlavor") or "").lower() or None
     found.update(sql_flavour=flavour, sql_flavor=flavour)
+    found.update({
+        f"deploy_{key[6:].lower()}": value for key, value in config.items()
+        if key.startswith("deploy") and isinstance(value, bool)
+    })
     return {name: value for name, value in found.items() if value is not None}
 
 
+def _section(name: str) -> str:
+    """A section's name in parameters: ``OracleEBS`` reads as two words, the others as one."""
+    return {"oracleebs": "oracle_ebs"}.get(name.lower(), name.lower())
+
+
 def create_view(
     warehouse: Warehouse,
     name: str,

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from tidemark.functions.columns import qualified
-from tidemark.operators.apply import apply_feed, open_table
+from tidemark.operators.apply import apply_feed, apply_feed_to_catalog, open_table
 from tidemark.operators.feed import current_state_sql
 from tidemark.operators.keys import primary_keys_of
 from tidemark.sources.files import run_jobs
@@ -73,12 +73,14 @@ def run_cdc(
 
     All entries are checked before work starts, and the keys of all tables come from one pass over
     the data dictionary. Tables run side by side; a failure of any is raised after all are done.
-    Without ``load``, missing tables are created and left empty.
+    Without ``load``, missing tables are created and left empty. A ``target`` that names a catalog
+    too (``catalog.dataset``) holds tables of a catalog that supports MERGE, made beforehand.
     """
     spark = warehouse.spark
     entries = entries_for(settings, flavour)
     check_table_entries(entries)
-    warehouse.create_dataset(target)
+    if "." not in target:
+        warehouse.create_dataset(target)
     dictionary = warehouse.frame(f"{raw}.{DICTIONARY}")
     keys = primary_keys_of(dictionary, [e["base_table"] for e in entries])
     missing = sorted(t for t, k in keys.items() if not k)
@@ -95,6 +97,10 @@ def run_cdc(
             text = current_state_sql(source, feed.columns, keys[base], chosen)
             spark.sql(f"CREATE OR REPLACE VIEW {qualified(name)} AS {text}")
             return TableRun(base, name, "view", None)
+        if "." in target:  # catalog.dataset: the catalog merges
+            if load:
+                apply_feed_to_catalog(spark, feed, name, keys[base], chosen, late_policy)
+            return TableRun(base, name, "table", spark.table(name).count())
         table, layout = warehouse.table(name), check_table_entry(entry)
         if load:
             apply_feed(spark, feed, table, keys[base], chosen, late_policy, layout=layout)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from contextlib import contextmanager
 
@@ -29,28 +28,29 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach. A machine-local one is made only where none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
+    """Folder every executor can reach: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Where neither is set, a session on one machine uses its warehouse; on a cluster that is an error.
+    """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if not current:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        current = context.getCheckpointDir()
-    return current.rstrip("/")
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not configured:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = spark.conf.get("spark.sql.warehouse.dir")
+    return configured.rstrip("/")
 
 
-def new_scratch(spark: SparkSession, label: str = "work") -> str:
-    return f"{shared_dir(spark)}/tidemark-{label}-{uuid.uuid4().hex[:12]}"
+def new_scratch(spark: SparkSession, label: str = "work", root: str | None = None) -> str:
+    return f"{root or shared_dir(spark)}/_stage/{label}-{uuid.uuid4().hex[:12]}"
 
 
 class Stage:
     """Intermediate results written as Parquet, so that lineage ends there and sizes are known."""
 
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = new_scratch(spark, "stage")
+        self.root = new_scratch(spark, "stage", root)
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -59,10 +59,12 @@ class Stage:
 
 
 @contextmanager
-def staging(spark: SparkSession):
+def staging(spark: SparkSession, root: str | None = None):
+    """A folder for intermediate results, under ``root`` (a table's own folder is shared by
+    definition) or the shared folder, removed at the end."""
     from tidemark.sources.fs import Fs
 
-    stage = Stage(spark)
+    stage = Stage(spark, root)
     try:
         yield stage
     finally:

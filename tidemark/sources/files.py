@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Event
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col, cols, quote
+from tidemark.functions.columns import col, cols, quote, resolve
+from tidemark.operators.merge import check_lossless
 from tidemark.sources.warehouse import Warehouse
+from tidemark.session import staging
 from tidemark.spec import Layout
 
 log = logging.getLogger(__name__)
 
 PARALLEL_JOBS = 5
+_SHARE = "tm_share"
 
 # Format by file extension, and the data types a mapping file may name.
 FORMATS = {"parquet": "parquet", "csv": "csv", "json": "json", "avro": "avro"}
@@ -106,7 +110,13 @@ def write_table(
     if disposition == "empty" and not table.is_empty():
         raise TargetNotEmpty(f"table {name} already holds rows")
     if disposition == "append":
-        table.append(df.select(*cols(table.schema().names)))
+        stored = table.schema()
+        names = resolve(df.columns, stored.names)
+        extra = sorted(set(df.columns) - set(names))
+        if extra:
+            raise ValueError(f"table {name} lacks columns of the rows to append: {extra}")
+        check_lossless(df.schema, stored)
+        table.append(df.select(*cols(names)).toDF(*stored.names))
     else:
         table.overwrite(df, schema=df.schema)
 
@@ -172,14 +182,20 @@ def run_jobs(tasks: Sequence[Callable], parallel: int, stop_early: bool = True)
     Returns each one's result, or the exception it raised, in order. With ``stop_early`` those
     not yet started when one fails are left out, as None.
     """
+    failed = Event()
+
+    def run(task: Callable):
+        if stop_early and failed.is_set():
+            return None
+        try:
+            return task()
+        except Exception:
+            failed.set()
+            raise
+
     with ThreadPoolExecutor(parallel) as pool:
-        futures = [pool.submit(task) for task in tasks]
-        if stop_early:
-            done, waiting = wait(futures, return_when=FIRST_EXCEPTION)
-            if any(f.exception() for f in done):
-                for f in waiting:
-                    f.cancel()
-    return [None if f.cancelled() else f.exception() or f.result() for f in futures]
+        futures = [pool.submit(run, task) for task in tasks]
+    return [f.exception() or f.result() for f in futures]
 
 
 def copy_table(
@@ -212,16 +228,24 @@ def extract_table(
     """Write a table to files. Several URIs share its rows out between them."""
     uris = [uris] if isinstance(uris, str) else list(uris)
     df = warehouse.frame(name)
-    for i, uri in enumerate(uris):
-        rows = df
-        if len(uris) > 1:
-            share = F.pmod(F.xxhash64(F.to_json(F.struct(*cols(df.columns)))), F.lit(len(uris)))
-            rows = df.where(share == i)
+    def save(rows: DataFrame, uri: str) -> None:
         writer = rows.write.format(fmt)
         if fmt == "csv":
             writer = writer.option("header", True)
         writer.options(**options).save(uri)
 
+    if len(uris) == 1:
+        return save(df, uris[0])
+    # One pass over the table: a staged copy, cut by a random share that is fixed by writing it.
+    with staging(warehouse.spark, warehouse.root) as stage:
+        share = F.floor(F.rand(seed=1) * len(uris)).cast("int")
+        path = f"{stage.root}/shares"
+        df.withColumn(_SHARE, share).write.partitionBy(_SHARE).parquet(path)
+        schema = df.schema.add(_SHARE, T.IntegerType())
+        copy = warehouse.spark.read.schema(schema).parquet(path)
+        for i, uri in enumerate(uris):
+            save(copy.where(col(_SHARE) == i).drop(_SHARE), uri)
+
 
 def data_type(name: str) -> T.DataType:
     found = TYPES.get(name.strip().upper())

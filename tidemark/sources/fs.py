@@ -30,6 +30,10 @@ class Fs:
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
+    def delete_at_end(self, path: str) -> None:
+        """Remove a folder when the session's JVM ends."""
+        self._fs.deleteOnExit(self._path(path))
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

@@ -2,16 +2,20 @@
 
 ``<table>/<base>/tm_gen=<token>/[tm_part=<value>/]*.parquet`` hold the rows; a commit adds
 ``<table>/_versions/<n>.json``, which lists the folders that make up version ``n``. Readers take
-the highest version, so they see either the old rows or the new ones. One writer per table; a
-second one fails when it tries to commit the same version. All files of a base folder have the
-same columns: a change of columns starts a new one.
+the highest version, so they see either the old rows or the new ones. A commit names the version
+its rows were decided on and fails if another one has followed meanwhile; only plain appends are
+put on top of it. All files of a base folder have the same columns: added columns start a further
+base folder, and rows of the older ones read as NULL there. Versions and folders are removed by
+``forget`` alone, by age, so a reader that started before some commits can finish.
 """
 
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterable, Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +32,10 @@ from tidemark.spec import Layout
 GEN = "tm_gen"
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
 
+# How long replaced rows stay readable, and how many versions stay in any case.
+RETENTION = timedelta(days=7)
+KEEP = 3
+
 
 class CommitConflict(RuntimeError):
     """Another writer has committed this version."""
@@ -47,8 +55,8 @@ def _typed(df: DataFrame, fields: Sequence[T.StructField]) -> DataFrame:
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, path: str, name: str | None = None, keep: int = 3):
-        self.spark, self.path, self.name, self.keep = spark, path.rstrip("/"), name, keep
+    def __init__(self, spark: SparkSession, path: str, name: str | None = None):
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
         self._fs = Fs(spark, self.path)
         self._text: tuple[int | None, str] = (None, "")
 
@@ -97,27 +105,28 @@ class SnapshotTable:
     def is_empty(self) -> bool:
         return self.row_count() == 0
 
-    def row_count(self) -> int:
+    def row_count(self, at: dict | None = None) -> int:
         """Stored rows, tombstones included."""
-        return sum(p["rows"] for p in self.current()["parts"])
+        return sum(p["rows"] for p in (at or self.current())["parts"])
 
-    def watermark(self, stamp: str) -> Column | None:
+    def watermark(self, stamp: str, at: dict | None = None) -> Column | None:
         """Highest stamp as a constant, from the version file: nothing is scanned, unless the
         table was created without naming its stamp column."""
-        manifest = self.current()
+        manifest = at or self.current()
         dtype = T.StructType.fromJson(manifest["schema"])[stamp].dataType
         if manifest["stamp"] == stamp:
             marks = [p["stamp"] for p in manifest["parts"] if p["stamp"] is not None]
         else:
-            high = self.read().agg(encode(F.max(col(stamp)), dtype)).first()[0]
+            high = self.read(at=manifest).agg(encode(F.max(col(stamp)), dtype)).first()[0]
             marks = [] if high is None else [high]
         return decode(max(marks), dtype) if marks else floor_literal(dtype)
 
     # reading
 
-    def read(self, low=None, high=None) -> DataFrame:
-        """Current rows. ``low``/``high`` bound the partition column and prune partitions."""
-        manifest = self.current()
+    def read(self, low=None, high=None, at: dict | None = None) -> DataFrame:
+        """Current rows, or those of version ``at``. ``low``/``high`` bound the partition column
+        and prune partitions."""
+        manifest = at or self.current()
         rows = self._frame(manifest, manifest["parts"])
         layout = Layout.from_json(manifest["layout"])
         schema = T.StructType.fromJson(manifest["schema"])
@@ -141,9 +150,11 @@ class SnapshotTable:
             for f in schema.fields
         ]
 
-    def stored(self, parts: Iterable[str | None] | None = None) -> DataFrame:
+    def stored(
+        self, parts: Iterable[str | None] | None = None, at: dict | None = None
+    ) -> DataFrame:
         """Rows as stored, with partition value (and flag, where tombstones are kept)."""
-        manifest = self.current()
+        manifest = at or self.current()
         chosen = manifest["parts"]
         if parts is not None:
             wanted = set(parts)
@@ -166,15 +177,20 @@ class SnapshotTable:
                 live.setdefault(token, []).append(p["part"])
         if not live:
             return empty_frame(self.spark, schema)
-        paths = []
-        root = f"{self.path}/{manifest['base']}"
+        paths: dict[str, list[str]] = {}
         for token, values in live.items():
-            base = f"{root}/{GEN}={token}"
+            base = manifest["bases"].get(token, manifest["base"])
+            folder = f"{self.path}/{base}/{GEN}={token}"
             if not partitioned or len(values) == manifest["gens"][token]:
-                paths.append(base)
+                found = [folder]
             else:
-                paths += [f"{base}/{PART}={_NULL_DIR if v is None else v}" for v in values]
-        rows = self.spark.read.schema(schema).option("basePath", root).parquet(*paths)
+                found = [f"{folder}/{PART}={_NULL_DIR if v is None else v}" for v in values]
+            paths.setdefault(base, []).extend(found)
+        rows = None
+        for base, found in paths.items():
+            reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/{base}")
+            part = reader.parquet(*found)
+            rows = part if rows is None else rows.unionByName(part)
         if not partitioned:
             rows = rows.withColumn(PART, F.lit(None).cast("string"))
         return rows.select(*cols(schema.names))
@@ -207,17 +223,27 @@ class SnapshotTable:
             "tombstones": tombstones,
             "parts": [],
             "gens": {},
+            "bases": {},
             "meta": {},
         })
         return self
 
     def overwrite(self, df: DataFrame, keys: Sequence[str] = (), meta: dict | None = None,
-                  schema: T.StructType | None = None) -> dict:
+                  schema: T.StructType | None = None, at: dict | None = None) -> dict:
         """All rows replaced in one commit."""
-        return self.replace_parts(df, None, keys, meta, schema)
+        return self.replace_parts(df, None, keys, meta, schema, at=at)
 
     def append(self, df: DataFrame, keys: Sequence[str] = (), meta: dict | None = None) -> dict:
-        return self.replace_parts(df, (), keys, meta)
+        """Add rows; a version that others commit meanwhile is kept, and these rows put on top."""
+        return self.replace_parts(df, (), keys, meta, rebase=True)
+
+    def with_columns(self, manifest: dict, new: Sequence[T.StructField]) -> dict:
+        """The version to commit on when columns are added: no stored row is touched."""
+        have = T.StructType.fromJson(manifest["schema"])
+        bases = {t: manifest["bases"].get(t, manifest["base"]) for t in manifest["gens"]}
+        schema = T.StructType([*have.fields, *new]).toNullable()
+        base = f"base{manifest['version'] + 1:08d}"
+        return {**manifest, "schema": schema.jsonValue(), "bases": bases, "base": base}
 
     def replace_parts(
         self,
@@ -227,10 +253,17 @@ class SnapshotTable:
         meta: dict | None = None,
         schema: T.StructType | None = None,
         settled: DataFrame | None = None,
+        at: dict | None = None,
+        rebase: bool = False,
     ) -> dict:
         """Commit: drop the named partitions (all for ``None``), then add the rows of ``df``, and
-        those of ``settled``, which keep the arrangement they were stored in."""
-        manifest = self.current()
+        those of ``settled``, which keep the arrangement they were stored in.
+
+        ``at`` is the version the rows were decided on, the current one by default. If another
+        version has followed it, CommitConflict is raised and nothing changes; with ``rebase`` the
+        rows are added to that version instead, as long as its columns and layout are the same.
+        """
+        manifest = dict(at or self.current())
         version = manifest["version"] + 1
         token = f"{version:08d}_{uuid.uuid4().hex[:8]}"
         if schema is not None:
@@ -239,10 +272,23 @@ class SnapshotTable:
             schema = schema.toNullable()
             before = T.StructType.fromJson(manifest["schema"])
             if [(f.name, f.dataType) for f in before] != [(f.name, f.dataType) for f in schema]:
-                manifest["base"] = f"base{version:08d}"
-                manifest["gens"] = {}
+                manifest.update(base=f"base{version:08d}", gens={}, bases={})
             manifest["schema"] = schema.jsonValue()
         added = self._write(df, settled, manifest, token, keys)
+        while True:
+            new = self._joined(manifest, added, token, parts, meta)
+            try:
+                self._commit(new)
+                return new
+            except CommitConflict:
+                following = self.current()
+                same = all(following[k] == manifest[k] for k in ("schema", "layout", "base"))
+                if not (rebase and same):
+                    raise
+                manifest = following
+
+    @staticmethod
+    def _joined(manifest: dict, added: list[dict], token: str, parts, meta: dict | None) -> dict:
         gone = {p["part"] for p in manifest["parts"]} if parts is None else set(parts)
         kept = {p["part"]: p for p in manifest["parts"] if p["part"] not in gone}
         for new in added:
@@ -258,27 +304,24 @@ class SnapshotTable:
             kept[new["part"]] = new
         gens = {**manifest["gens"], token: len(added)}
         used = {token for p in kept.values() for token in p["dirs"]}
-        manifest.update(
-            version=version,
-            parts=list(kept.values()),
-            gens={t: n for t, n in gens.items() if t in used},
-            meta={**manifest["meta"], **(meta or {})},
-        )
-        self._commit(manifest)
-        return manifest
+        return {
+            **manifest,
+            "version": manifest["version"] + 1,
+            "parts": list(kept.values()),
+            "gens": {t: n for t, n in gens.items() if t in used},
+            "bases": {t: b for t, b in manifest["bases"].items() if t in used},
+            "meta": {**manifest["meta"], **(meta or {})},
+        }
 
     def _write(self, df, settled, manifest: dict, token: str, keys: Sequence[str]) -> list[dict]:
         layout = Layout.from_json(manifest["layout"])
         path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
-
-        # Without this, timestamps would get no statistics to skip row groups by.
-        self.spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
         old = None if settled is None else _typed(settled, fields)
         writer = arrange(_typed(df, fields), layout, keys, old).write
         if layout.partition is not None:
             writer = writer.partitionBy(PART)
-        writer.parquet(path)
+        writer.parquet(path)  # session.SETTINGS: timestamps as micros, else no statistics to skip by
         return self._measure(manifest, token)
 
     def _measure(self, manifest: dict, token: str) -> list[dict]:
@@ -302,20 +345,27 @@ class SnapshotTable:
         target = self._version_path(manifest["version"])
         temporary = f"{self.path}/_versions/.{uuid.uuid4().hex}.tmp"
         try:
-            self._fs.create_new(target, temporary, json.dumps(manifest))
+            self._fs.create_new(target, temporary, json.dumps({**manifest, "committed": time.time()}))
         except Exception as err:
             if self._fs.exists(target):
                 raise CommitConflict(f"{self.path}: version {manifest['version']} exists") from err
             raise
         self.publish()
-        self._forget()
 
-    def _forget(self) -> None:
-        """Drop versions beyond the last ``keep``, with the folders only they used."""
+    def forget(self, age: timedelta = RETENTION, keep: int = KEEP) -> list[int]:
+        """Drop versions replaced at least ``age`` ago, but not the last ``keep``, with the folders
+        only they used; returns them. Readers and writers that take longer than ``age`` would lose
+        their files."""
         found = self.versions()
-        old, kept = found[: -self.keep], found[-self.keep:]
+        limit = time.time() - age.total_seconds()
+        old = []
+        for version, following in zip(found, found[1:]):
+            if following > found[-max(1, keep)] or self.manifest(following)["committed"] > limit:
+                break
+            old.append(version)
+        kept = found[len(old):]
         if not old:
-            return
+            return []
 
         def folders(versions):
             out = set()
@@ -324,7 +374,7 @@ class SnapshotTable:
                 partitioned = Layout.from_json(m["layout"]).partition is not None
                 for p in m["parts"]:
                     for token in p["dirs"]:
-                        gen = f"{m['base']}/{GEN}={token}"
+                        gen = f"{m['bases'].get(token, m['base'])}/{GEN}={token}"
                         value = _NULL_DIR if p["part"] is None else p["part"]
                         out.add((gen, f"{gen}/{PART}={value}" if partitioned else gen))
             return out
@@ -335,13 +385,14 @@ class SnapshotTable:
             self._fs.delete(f"{self.path}/{folder if gen in gens else gen}")
         for v in old:
             self._fs.delete(self._version_path(v))
+        return old
 
     def drop_orphans(self) -> list[str]:
         """Remove folders left by failed writes; only for a table nobody is writing to."""
         used = set()
         for v in self.versions():
             m = self.manifest(v)
-            used |= {f"{m['base']}/{GEN}={token}" for token in m["gens"]}
+            used |= {f"{m['bases'].get(token, m['base'])}/{GEN}={token}" for token in m["gens"]}
         orphans = []
         for base in self._fs.names(self.path):
             if base.startswith("base"):
@@ -379,24 +430,37 @@ class SnapshotTable:
                 for f in schema.fields
             )
             return f"SELECT {nulls} WHERE false"
-        partitioned = Layout.from_json(manifest["layout"]).partition is not None
+        layout = Layout.from_json(manifest["layout"])
+        partitioned = layout.partition is not None
+        # Spark reads years as numbers here and would lose their leading zeros.
+        year = partitioned and getattr(layout.partition, "grain", "") == "year"
+        part = f"lpad(CAST({PART} AS STRING), 4, '0')" if year else f"CAST({PART} AS STRING)"
         live: dict[str, list] = {}
         for p in manifest["parts"]:
             for token in p["dirs"]:
                 live.setdefault(token, []).append(p["part"])
-        tests = []
+        tests: dict[str, list[str]] = {}
         for token, values in live.items():
             test = f"{GEN} = '{token}'"
             if partitioned and len(values) != manifest["gens"][token]:
                 given = [f"'{v}'" for v in values if v is not None]
-                among = [f"CAST({PART} AS STRING) IN ({', '.join(given)})"] if given else []
+                among = [f"{part} IN ({', '.join(given)})"] if given else []
                 if None in values:
                     among.append(f"{PART} IS NULL")
                 test = f"({test} AND ({' OR '.join(among)}))"
-            tests.append(test)
-        where = " OR ".join(tests)
-        if manifest["tombstones"]:
-            where = f"({where}) AND coalesce({FLAG}, 'I') <> 'D'"
-        names = ", ".join(quote(f.name) for f in schema.fields)
-        root = f"{self.path}/{manifest['base']}"
-        return f"SELECT {names} FROM parquet.{quote(root)} WHERE {where}"
+            tests.setdefault(manifest["bases"].get(token, manifest["base"]), []).append(test)
+        selects = []
+        for base, found in tests.items():
+            where = " OR ".join(found)
+            if manifest["tombstones"]:
+                where = f"({where}) AND coalesce({FLAG}, 'I') <> 'D'"
+            root = f"{self.path}/{base}"
+            older = base != manifest["base"]
+            have = {c.lower() for c in self.spark.read.parquet(root).columns} if older else set()
+            names = ", ".join(
+                quote(f.name) if not older or f.name.lower() in have
+                else f"CAST(NULL AS {f.dataType.simpleString()}) AS {quote(f.name)}"
+                for f in schema.fields
+            )
+            selects.append(f"SELECT {names} FROM parquet.{quote(root)} WHERE {where}")
+        return " UNION ALL ".join(selects)

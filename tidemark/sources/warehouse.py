@@ -13,8 +13,8 @@ class Warehouse:
     """Datasets are databases of the session catalog; each table's name is a view of its current
     version, replaced in one step by every commit."""
 
-    def __init__(self, spark: SparkSession, root: str, keep: int = 3):
-        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
         self._fs = Fs(spark, self.root)
 
     def create_dataset(self, dataset: str) -> None:
@@ -23,7 +23,7 @@ class Warehouse:
 
     def table(self, name: str) -> SnapshotTable:
         dataset, table = self.split(name)
-        return SnapshotTable(self.spark, f"{self.root}/{dataset}/{table}", name, self.keep)
+        return SnapshotTable(self.spark, f"{self.root}/{dataset}/{table}", name)
 
     @staticmethod
     def split(name: str) -> tuple[str, str]:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -48,6 +48,13 @@ class FeedSpec:
         """Naming used by the other family of sources."""
         return cls(op="OperationalFlag", deleted="IsDeleted", **kw)
 
+    def spelled(self, names: Sequence[str]) -> FeedSpec:
+        """With stamp and flag columns as ``names`` spells them; names compare without case."""
+        by_lower = {n.lower(): n for n in names}
+        found = {k: by_lower.get(getattr(self, k).lower(), getattr(self, k)) for k in ("stamp", "op", "deleted", "load_time")}
+        landing = self.landing and (by_lower.get(self.landing[0].lower(), self.landing[0]), self.landing[1])
+        return replace(self, landing=landing, **found)
+
     @property
     def excluded(self) -> tuple[str, ...]:
         return (self.load_time, self.op, self.deleted)
@@ -85,6 +92,14 @@ class Layout:
             _cluster_from(cluster) if cluster else (),
         )
 
+    def spelled(self, schema: T.StructType) -> Layout:
+        """With column names as ``schema`` spells them; names compare without case."""
+        by_lower = {n.lower(): n for n in schema.names}
+        part = self.partition
+        if part is not None:
+            part = replace(part, column=by_lower.get(part.column.lower(), part.column))
+        return Layout(part, tuple(by_lower.get(c.lower(), c) for c in self.cluster))
+
     def check(self, schema: T.StructType) -> Layout:
         """Raise unless the columns exist in ``schema`` with fitting types; returns self."""
         fields = {f.name: f.dataType for f in schema.fields}

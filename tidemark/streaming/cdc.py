@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.columns import col
+from tidemark.functions.flags import is_delete
 from tidemark.functions.stamps import floor_literal
 from tidemark.operators.apply import merge_into, open_table
 from tidemark.operators.feed import keys_not_null, latest_per_key, since
+from tidemark.operators.layout import PART
+from tidemark.operators.merge import FLAG
 from tidemark.sources.snapshot import SnapshotTable
 from tidemark.spec import FeedSpec, Layout
 
@@ -29,6 +35,7 @@ def apply_batch(
     done = table.current()["meta"].get(query)
     if done is not None and done >= batch_id:
         return
+    spec = spec.spelled(batch.columns)
     rows = since(batch, floor_literal(batch.schema[spec.stamp].dataType), spec)
     changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
     merge_into(
@@ -36,6 +43,26 @@ def apply_batch(
     )
 
 
+def bury_for_good(table: SnapshotTable, age: timedelta, spec: FeedSpec = FeedSpec()) -> dict:
+    """Drop the tombstones stamped more than ``age`` before the table's highest stamp.
+
+    Rows later than that would bring their keys back, so ``age`` has to exceed the longest delay
+    of a row. Only partitions that hold such tombstones are rewritten.
+    """
+    at = table.current()
+    if not at["tombstones"]:
+        raise ValueError("the table keeps no tombstones")
+    stamp = spec.spelled(table.schema().names).stamp
+    mark = table.watermark(stamp, at)
+    old = is_delete(F.col(FLAG)) & (col(stamp) < mark - F.lit(age))
+    rows = table.stored(at=at)
+    parts = {r[0] for r in rows.where(old).select(PART).distinct().collect()}
+    if not parts:
+        return at
+    kept = table.stored(parts, at).where(~F.coalesce(old, F.lit(False))).drop(PART)
+    return table.replace_parts(kept, parts, at=at)
+
+
 def stream_cdc(
     feed: DataFrame,
     table: SnapshotTable,
@@ -50,7 +77,7 @@ def stream_cdc(
     What is new is known from the stream's own offsets, so rows are compared with the stored row
     rather than with the highest stamp: a late row changes its key only if nothing newer did.
     Deleted keys stay in the table as tombstones, hidden from readers, so that a late row does not
-    bring them back.
+    bring them back, until ``bury_for_good`` drops old ones.
     """
     open_table(table, feed, spec, layout, tombstones=True)
     if not table.current()["tombstones"]:

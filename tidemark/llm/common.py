@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import shared_dir
+
 #: ASCII white space as the contracts name it: space and tab to carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -25,16 +26,10 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see, removed when the session's JVM ends.
 
-    It lies in spark.checkpoint.dir. Where that is unset, a local session takes a temporary
-    folder; on a cluster that is an error, since executors would not share it.
+    It lies in spark.checkpoint.dir, or where the library's own shared folder is.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-llm-")
-    path = f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}"
     jpath = context._jvm.org.apache.hadoop.fs.Path(path)
     fs = jpath.getFileSystem(context._jsc.hadoopConfiguration())
     fs.mkdirs(jpath)

@@ -19,6 +19,8 @@ from .stopwords import ALL
 
 #: Content words to a chain beyond which a text has too few anchors.
 FEW = 12
+#: Ranges of documents to a shuffle partition: many small ones fall on partitions more evenly.
+SPREAD = 8
 NO_LETTER = r"[^\p{L}\p{N}]+"
 
 
@@ -58,7 +60,7 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     only one row of each range is handled twice. Null ids come last, equal ids by text.
     """
     spark = rows.sparkSession
-    n = buckets(spark)
+    n = SPREAD * buckets(spark)
     cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
     cuts = sorted(set(cuts))
     edges = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")

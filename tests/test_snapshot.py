@@ -264,3 +264,19 @@ def test_layout_settings(spark):
                 Layout(TimePartition("d", "hour"))):
         with pytest.raises(SettingsError):
             bad.check(schema)
+
+
+def test_ranges_of_clustered_writes_follow_the_input(spark, tmp_path, monkeypatch):
+    import tidemark.operators.layout as layouts
+
+    counts = {}
+    for n in (1_000, 20_000):
+        rows(spark, n).write.parquet(str(tmp_path / f"in{n}"))
+        df = spark.read.parquet(str(tmp_path / f"in{n}"))
+        assert layouts.ranges_for(df) is None
+        monkeypatch.setattr(layouts, "TARGET_BYTES", 2_000)
+        joined = df.join(df.selectExpr("id AS other"), F.col("id") == F.col("other"))
+        assert layouts.ranges_for(joined) < 3 * layouts.ranges_for(df)
+        counts[n] = cluster_by(df, ["g"], ["id"]).rdd.getNumPartitions()
+        monkeypatch.undo()
+    assert 2 < counts[1_000] < counts[20_000] / 5

@@ -13,6 +13,8 @@ from tidemark.functions.stamps import bucket_text, range_bucket, time_bucket
 from tidemark.spec import MAX_CLUSTER_COLUMNS, Layout, RangePartition, SettingsError, TimePartition
 
 PART = "tm_part"
+# Input that one task of a clustered write sorts into a file.
+TARGET_BYTES = 256 * 1024 * 1024
 
 
 def partition_by_time(df: DataFrame, column: str, grain: str, name: str = PART) -> DataFrame:
@@ -59,11 +61,26 @@ def with_part(df: DataFrame, layout: Layout) -> DataFrame:
     return df.withColumn(PART, bucket_text(col(part.column), dtype, part))
 
 
+def input_bytes(df: DataFrame) -> int:
+    """What the frame's sources hold, as the optimizer knows it: never a product of join sides."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def ranges_for(df: DataFrame, target_bytes: int | None = None) -> int | None:
+    """Ranges of about ``target_bytes`` (``TARGET_BYTES``) of input; None if the session's number
+    of shuffle partitions, which adaptive execution may lower but not raise, is enough."""
+    wanted = -(-input_bytes(df) // (target_bytes or TARGET_BYTES))
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted if default < wanted < 1 << 31 else None
+
+
 def spread(df: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame:
     """Distribute rows over tasks by partition and cluster columns.
 
     A large partition, or a frequent cluster value, is split over several tasks: by adaptive
-    execution, or by ranges that the keys (or a hash of the row) continue.
+    execution, or by ranges that the keys (or a hash of the row) continue. The number of ranges
+    follows the input's size.
     """
     if layout.partition is None and not layout.cluster:
         return df
@@ -72,7 +89,9 @@ def spread(df: DataFrame, layout: Layout, keys: Sequence[str] = ()) -> DataFrame
     if not layout.cluster and adaptive:
         return df.hint("rebalance", *map(col, lead))
     lead += layout.cluster
-    return df.repartitionByRange(*cols(lead), *_breaker(df, lead, keys))
+    count = ranges_for(df)
+    return df.repartitionByRange(
+        *([count] if count else []), *cols(lead), *_breaker(df, lead, keys))
 
 
 def in_order(df: DataFrame, layout: Layout) -> DataFrame:

@@ -18,7 +18,7 @@ from itertools import chain
 import numpy as np
 
 #: Chunks kept per worker before the dictionary starts anew; bounds a worker's memory.
-MAX_CHUNKS = 1_000_000
+MAX_CHUNKS = 900_000
 MAX_CHARS = 30_000_000
 
 LETTER = "a-zA-ZÀ-ÖØ-öø-ÿ"
@@ -189,13 +189,18 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def slices(texts: list[str | None], chars: int = 4_000_000):
-    """Ranges of rows of about so many characters, so that a batch's ids stay small."""
+def text_slices(column, chars: int = 1_500_000):
+    """A string column of a record batch as lists of about so many characters: begin, end, texts.
+
+    Only one list lives at a time, so memory is bounded by this size or the longest text.
+    """
+    import pyarrow.compute as pc
+
     begin = size = 0
-    for k, t in enumerate(texts):
-        if size and size + len(t or "") > chars:
-            yield begin, k
+    for k, n in enumerate(pc.utf8_length(column).fill_null(0).to_pylist()):
+        if size and size + n > chars:
+            yield begin, k, column.slice(begin, k - begin).to_pylist()
             begin, size = k, 0
-        size += len(t or "")
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(column):
+        yield begin, len(column), column.slice(begin).to_pylist()

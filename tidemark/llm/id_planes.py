@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buckets, columns_of, shared_folder, written
-from .encode import encoder, slices
+from .encode import encoder, text_slices
 
 MAGIC = b"IDPLANE1"
 SHARDS = "shard int, file string, n_docs long, n_ids long, n_bytes long"
@@ -170,13 +170,13 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block: in
         coder, writer, name = encoder(tokenizer), None, ""
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            ids = batch.column(0).to_pylist()
+            for a, b, texts in text_slices(batch.column(1)):
                 if writer is None:
                     name = f"{path}/{shard:06d}-{uuid.uuid4().hex}.ids"
                     stream = _open(name, write=True)
                     writer = ShardWriter(stream, block, bits)
-                got, lengths = coder.encode(texts[a:b])
+                got, lengths = coder.encode(texts)
                 got = np.insert(got.astype(np.uint32), np.cumsum(lengths), end_id)
                 writer.add(ids[a:b], (lengths + 1).tolist(), got)
         if writer is not None:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns_of, ranked, written
-from .encode import encoder, slices
+from .encode import encoder, text_slices
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, _salt long"
 
@@ -37,9 +37,9 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int)
 
         coder, serial = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                got, lengths = coder.encode(texts[a:b])
+            ids = batch.column(0).to_pylist()
+            for a, b, texts in text_slices(batch.column(1)):
+                got, lengths = coder.encode(texts)
                 ends = np.cumsum(lengths + 1)
                 raw = memoryview(np.insert(got.astype("<u4"), np.cumsum(lengths), end_id).tobytes())
                 out = []

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import columns_of
-from .encode import encoder, slices
+from .encode import encoder, text_slices
 
 SECTIONS = "doc_id long, section int, start long, n_chars long, n_tokens long, n_crossing long"
 
@@ -56,10 +56,10 @@ def attribute_tokens(docs: DataFrame, tokenizer: str, rule: str = "most", ends:
     def count(batches):
         coder = encoder(tokenizer)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids = batch.column(0).to_pylist()
             cuts = batch.column(2).to_pylist() if ends else None
-            for a, b in slices(texts):
-                yield one(coder, ids[a:b], texts[a:b], cuts[a:b] if cuts else None)
+            for a, b, texts in text_slices(batch.column(1)):
+                yield one(coder, ids[a:b], texts, cuts[a:b] if cuts else None)
 
     def one(coder, ids, texts, cuts):
         raw = [(t or "").encode() for t in texts]

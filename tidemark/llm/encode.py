@@ -41,7 +41,6 @@ class _Rules:
         self.cut = re.compile(rf"(?<=[{SAFE}])(?=[ \n][{SAFE}])")
         self.controls = re.compile(r"[\x00\x1c-\x1f]")
         self.plain = re.compile(rf"[{SAFE} \n]+\Z")
-        self.gaps = re.compile(r"[ \n][ \n]|\A[ \n]|[ \n]\Z")
         short = "'s|'t|'re|'ve|'m|'ll|'d"
         low = "a-zß-öø-ÿ"
         if self.words:
@@ -65,7 +64,8 @@ class _Rules:
         """
         if self.words:
             return ["\0" + text] if self.controls.search(text) else text.split()
-        if self.plain.match(text) and not self.gaps.search(text):
+        gaps = "  " in text or "\n\n" in text or " \n" in text or "\n " in text
+        if not gaps and text[0] not in " \n" and text[-1] not in " \n" and self.plain.match(text):
             keys = text.replace("\n", " \n").split(" ")
             keys[0] = "\0" + keys[0]
             return keys

@@ -39,6 +39,14 @@ def test_fingerprints():
         assert simhash.fingerprint(text) == brute_fingerprint(text)
 
 
+def test_long_texts_are_fingerprinted_in_parts(monkeypatch):
+    text = " ".join(f"w{k * k % 97}\n" for k in range(600))
+    want = [brute_fingerprint(t) for t in (text, "a b", "a", "  ", "a b c")]
+    for part in (1, 7, 50):
+        monkeypatch.setattr(simhash, "_PART", part)
+        assert [simhash.fingerprint(t) for t in (text, "a b", "a", "  ", "a b c")] == want
+
+
 @pytest.mark.parametrize("crowd", [32, 2])
 def test_links_lose_none(spark, monkeypatch, crowd):
     monkeypatch.setattr(simhash, "CROWD", crowd)

@@ -26,6 +26,18 @@ def test_cached_ids_equal_those_of_whole_texts(name):
         assert [ids[e - k : e].tolist() for e, k in zip(ends, n)] == [w.ids for w in whole]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_long_texts_are_encoded_in_parts(name, monkeypatch):
+    rng = random.Random(4)
+    text = "".join(rng.choice("  \na Bé'És1#_,") for _ in range(5000))
+    coder = encoder(tokenizer_file(name))
+    want = coder.rules.tokenizer.encode(text, add_special_tokens=False).ids
+    monkeypatch.setattr("tidemark.llm.encode.LONG", 300)
+    assert len(list(coder.rules.parts(text))) > 5
+    ids, n = coder.encode(["x", text, None])
+    assert n.tolist() == [n[0], len(want), 0] and ids[n[0] :].tolist() == want
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_planes_round_trip(bits, tmp_path):
     rng = np.random.default_rng(1)

@@ -20,6 +20,8 @@ import numpy as np
 #: Chunks kept per worker before the dictionary starts anew; bounds a worker's memory.
 MAX_CHUNKS = 900_000
 MAX_CHARS = 30_000_000
+#: Characters beyond which one text is encoded in parts.
+LONG = 1_000_000
 
 LETTER = "a-zA-ZÀ-ÖØ-öø-ÿ"
 SAFE = "!-~À-ÖØ-öø-ÿ"
@@ -56,6 +58,13 @@ class _Rules:
             for t, i in vocab.items():
                 self.lengths[i] = len(t)  # one character stands for one byte
 
+    def parts(self, text: str):
+        begin = 0
+        while len(text) - begin > LONG and (m := self.cut.search(text, begin + LONG)):
+            yield text[begin : m.start()]
+            begin = m.start()
+        yield text[begin:]
+
     def keys(self, text: str) -> list[str]:
         """The chunks of a text in order; without word ends, a chunk's first space is left out.
 
@@ -163,7 +172,17 @@ class Encoder:
         self.chars += sum(map(len, keys))
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts one after the other (uint16), and how many each text has."""
+        """All ids of the texts one after the other (uint16), and how many each text has.
+
+        A very long text is taken in parts that end where no pre-token can cross.
+        """
+        if not any(t and len(t) > LONG for t in texts):
+            return self._encode(texts)
+        found = [[self._encode([p])[0] for p in self.rules.parts(t or "")] for t in texts]
+        ids = np.concatenate([np.zeros(0, np.uint16), *chain.from_iterable(found)])
+        return ids, np.array([sum(map(len, x)) for x in found], np.int64)
+
+    def _encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.chunks.index) > MAX_CHUNKS or self.chars > MAX_CHARS:
             self.clear()
         lists = [self.rules.keys(t) if t else [] for t in texts]

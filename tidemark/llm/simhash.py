@@ -13,6 +13,8 @@ cut into k + 1 parts, of which one must be equal, and that part joins the key. T
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -22,29 +24,46 @@ from .common import columns_of, written
 
 #: An entry shared by more different fingerprints than this is split by a further part.
 CROWD = 32
-#: Shingles hashed at a time, so that long texts need little memory.
-_CHUNK = 200_000
+#: Bytes of a text taken at a time, so that long texts need little memory.
+_PART = 1_000_000
+_BREAK = re.compile(rb"[ \t-\r]")
 
 
-def fingerprint(text: str | None, n: int = 3) -> int:
-    """Majority bits of the XXH64 (seed 42) of all n-word shingles; unsigned; 0 without words."""
+def _ones(words: list[bytes], n: int) -> tuple[np.ndarray, int]:
+    """How many shingle hashes have each bit set, and how many shingles there are."""
     from xxhash import xxh64_intdigest as digest
 
-    words = (text or "").encode().lower().split()  # bytes: ASCII case and ASCII white space only
-    if not words:
-        return 0
     line = memoryview(b" ".join(words))
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = min(n, len(words))
-    ones, total = np.zeros(64, np.int64), len(words) - n + 1
-    for k in range(0, total, _CHUNK):
-        m = min(_CHUNK, total - k)
-        hashes = np.fromiter((digest(line[a:b], 42) for a, b in zip(starts[k : k + m].tolist(), ends[k + n - 1 : k + n - 1 + m].tolist())), np.uint64, m)
-        for j in range(0, m, 250):  # counts of one block fit into a byte
-            bits = np.unpackbits(hashes[j : j + 250].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            ones += bits.sum(axis=0, dtype=np.uint8)
-    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0])
+    total = len(words) - n + 1
+    spans = zip(starts[:total].tolist(), ends[n - 1 :].tolist())
+    hashes = np.fromiter((digest(line[a:b], 42) for a, b in spans), np.uint64, total)
+    ones = np.zeros(64, np.int64)
+    for j in range(0, total, 250):  # counts of one block fit into a byte
+        bits = np.unpackbits(hashes[j : j + 250].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        ones += bits.sum(axis=0, dtype=np.uint8)
+    return ones, total
+
+
+def fingerprint(text: str | None, n: int = 3) -> int:
+    """Majority bits of the XXH64 (seed 42) of all n-word shingles; unsigned; 0 without words.
+
+    Long texts are taken in parts that overlap by n - 1 words: every shingle counts once.
+    """
+    raw = (text or "").encode().lower()  # bytes: ASCII case and ASCII white space only
+    ones, total, carry, at = np.zeros(64, np.int64), 0, [], 0
+    while at < len(raw):
+        m = _BREAK.search(raw, at + _PART)
+        end = m.start() if m else len(raw)
+        words = carry + raw[at:end].split()
+        if len(words) >= n:
+            more, count = _ones(words, n)
+            ones, total = ones + more, total + count
+        carry, at = words[-(n - 1) :] if n > 1 else [], end
+    if not total and carry:
+        ones, total = _ones(carry, len(carry))
+    return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0]) if total else 0
 
 
 def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:

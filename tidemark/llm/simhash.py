@@ -116,7 +116,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     number of edges never grows, and the rounds grow with the logarithm of the longest path.
     Every round is written to the shared folder.
     """
-    edges = written(edges.select("a", "b").where("a <> b"), "edges")
+    edges, before = written(edges.select("a", "b").where("a <> b"), "edges"), None
+    digest = [F.count("*"), F.sum(F.hash("a", "b").cast("long"))]
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -124,11 +125,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        new = written(small.where("a <> b").distinct(), "edges")
-        digest = [F.count("*"), F.sum(F.hash("a", "b").cast("long"))]
-        before = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().agg(*digest).first()
-        edges = new
-        if tuple(before) == tuple(new.agg(*digest).first()):
+        edges = written(small.where("a <> b").distinct(), "edges")
+        after = tuple(edges.agg(*digest).first())
+        before, settled = after, after == before
+        if settled or not after[0]:
             roots = edges.select(F.col("b").alias("a"), "b").distinct()
             return edges.union(roots).toDF("node", "root")
     raise RuntimeError(f"components did not settle in {rounds} rounds")

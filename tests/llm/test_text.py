@@ -173,6 +173,10 @@ def test_language_id(spark, sf):
     out = {r.doc_id: r for r in langid.identify(awkward(spark).drop("rejected", "lang_pred", "score"), models, ["doc_id"]).collect()}
     assert out[3].lang_pred == out[4].lang_pred == out[5].lang_pred == "und" and out[3].score == 0.0 and out[3].rejected
     assert out[1].lang_pred == "en" and all(0 <= r.score <= 1 for r in out.values())
+    kept = langid.accept(awkward(spark), models)
+    assert kept.columns == awkward(spark).columns
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(str(r.doc_id) for r in langid.identify(
+        awkward(spark).drop("rejected"), models, ["doc_id"]).where("not rejected").collect())
     none = langid.learn(empty(spark))
     assert none.langs == [] and langid.identify(awkward(spark), none, ["doc_id"]).where("lang_pred <> 'und'").count() == 0
     small = langid.learn(spark.read.parquet(f"{sf}/documents.parquet"), max_cells=16_000)

@@ -146,6 +146,8 @@ def _open(path: str, write: bool = False):
     """A stream of any store that Arrow knows (file, hdfs, s3, gs, ...)."""
     from pyarrow.fs import FileSystem
 
+    if path.startswith("file:/") and not path.startswith("file://"):
+        path = f"file://{path[5:]}"  # the way Hadoop writes local paths
     fs, inner = FileSystem.from_uri(path)
     return fs.open_output_stream(inner) if write else fs.open_input_file(inner)
 

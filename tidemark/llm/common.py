@@ -34,7 +34,7 @@ def shared_folder(spark: SparkSession) -> str:
     fs = jpath.getFileSystem(context._jsc.hadoopConfiguration())
     fs.mkdirs(jpath)
     fs.deleteOnExit(jpath)
-    return path
+    return fs.makeQualified(jpath).toString()  # with its scheme, for readers that aren't Spark's
 
 
 def written(df: DataFrame, name: str = "t") -> DataFrame:

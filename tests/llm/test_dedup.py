@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tests.llm.helpers import AWKWARD, awkward, empty
+from tests.llm.helpers import AWKWARD, DOCS, awkward, empty
 from tidemark.llm import quality, queries, simhash, spotsigs
 
 
@@ -91,6 +91,17 @@ def test_linked_documents_and_keep_one(spark):
     assert simhash.linked_documents(empty(spark)).count() == 0 and simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_keep_one_goes_by_row(spark):
+    texts = [" ".join(f"w{k}x{j}" for j in range(30)) for k in range(6)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (None, texts[2])]  # several null ids
+    rows += [(7, texts[3]), (7, texts[4]), (5, texts[4]), (9, texts[5]), (9, texts[5])]  # an id on two texts, a repeated row
+    docs = spark.createDataFrame([(d, t, None, "a", 1) for d, t in rows], DOCS)
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id or 0), r.text) for r in got.collect()) == sorted(
+        [(0, t) for t in texts[:3]] + [(7, texts[3]), (5, texts[4]), (9, texts[5])])
+
+
 def test_simhash_on_a_whole_table(spark, sf):
     rows = queries.op7_simhash(spark, sf).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

@@ -29,8 +29,7 @@ _PART = 1_000_000
 _BREAK = re.compile(rb"[ \t-\r]")
 
 
-def _ones(words: list[bytes], n: int) -> tuple[np.ndarray, int]:
-    """How many shingle hashes have each bit set, and how many shingles there are."""
+def _hashes(words: list[bytes], n: int) -> np.ndarray:
     from xxhash import xxh64_intdigest as digest
 
     line = memoryview(b" ".join(words))
@@ -38,31 +37,36 @@ def _ones(words: list[bytes], n: int) -> tuple[np.ndarray, int]:
     starts = np.concatenate([[0], ends[:-1] + 1])
     total = len(words) - n + 1
     spans = zip(starts[:total].tolist(), ends[n - 1 :].tolist())
-    hashes = np.fromiter((digest(line[a:b], 42) for a, b in spans), np.uint64, total)
-    ones = np.zeros(64, np.int64)
-    for j in range(0, total, 250):  # counts of one block fit into a byte
-        bits = np.unpackbits(hashes[j : j + 250].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.uint8)
-    return ones, total
+    return np.fromiter((digest(line[a:b], 42) for a, b in spans), np.uint64, total)
 
 
-def fingerprint(text: str | None, n: int = 3) -> int:
-    """Majority bits of the XXH64 (seed 42) of all n-word shingles; unsigned; 0 without words.
+def shingle_hashes(text: str | None, n: int):
+    """XXH64 (seed 42) of all n-word shingles, in arrays; a shorter text is one shingle.
 
     Long texts are taken in parts that overlap by n - 1 words: every shingle counts once.
     """
     raw = (text or "").encode().lower()  # bytes: ASCII case and ASCII white space only
-    ones, total, carry, at = np.zeros(64, np.int64), 0, [], 0
+    some, carry, at = False, [], 0
     while at < len(raw):
         m = _BREAK.search(raw, at + _PART)
         end = m.start() if m else len(raw)
         words = carry + raw[at:end].split()
         if len(words) >= n:
-            more, count = _ones(words, n)
-            ones, total = ones + more, total + count
+            some = True
+            yield _hashes(words, n)
         carry, at = words[-(n - 1) :] if n > 1 else [], end
-    if not total and carry:
-        ones, total = _ones(carry, len(carry))
+    if not some and carry:
+        yield _hashes(carry, len(carry))
+
+
+def fingerprint(text: str | None, n: int = 3) -> int:
+    """Majority bits of the hashes of all n-word shingles; unsigned; 0 without words."""
+    ones, total = np.zeros(64, np.int64), 0
+    for hashes in shingle_hashes(text, n):
+        total += len(hashes)
+        for j in range(0, len(hashes), 250):  # counts of one block fit into a byte
+            bits = np.unpackbits(hashes[j : j + 250].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones += bits.sum(axis=0, dtype=np.uint8)
     return int(np.packbits(2 * ones > total, bitorder="little").view("<u8")[0]) if total else 0
 
 
@@ -134,6 +138,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
+def _rooted(groups: DataFrame, bits: int) -> DataFrame:
+    """The groups, one for each fingerprint, with the root fingerprint of their component."""
+    found = components(links(groups, bits))
+    return groups.join(found, groups.fp == found.node, "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
+
+
 def linked_documents(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id reachable) of every document.
 
@@ -142,19 +152,44 @@ def linked_documents(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
     """
     rows = written(fingerprints(docs, n), "fingerprints")
     groups = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "groups")
-    found = components(links(groups, bits))
-    rooted = groups.join(found, groups.fp == found.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(groups, bits)
     named = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     by_fp = rooted.join(named, "root").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
-    """The documents without all but the smallest doc_id of each component.
+def row_key(docs: DataFrame) -> DataFrame:
+    """The documents with _key: null ids last, then doc_id, hash of text, hash of the whole row.
 
-    Rows that repeat a doc_id count as copies: one of them stays, the first by the text's hash.
+    Rows with one key are the same row repeated.
     """
-    kept = linked_documents(docs, bits, n).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs.doc_id.eqNullSafe(kept._kept), "left_semi")
-    again = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")
-    return rows.withColumn("_again", F.row_number().over(again)).where("_again = 1").drop("_again")
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return docs.withColumn("_key", F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), *plain).alias("r")))
+
+
+def first_rows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The row of docs for each struct ``first`` (key, times): a row that repeats is taken once."""
+    key = ["_none", "_id", "_h", "_r"]
+    kept = firsts.select(*[F.col(f"first.key.{k[1:]}").alias(k) for k in key], F.col("first.times").alias("_times"))
+    rows = row_key(docs)
+    on = rows["_key.h"].eqNullSafe(kept._h) & (rows["_key.r"] == kept._r) & rows["_key.id"].eqNullSafe(kept._id)
+    once = rows.join(kept.where("_times = 1"), on, "left_semi").drop("_key")
+    # copies of one row meet as one row from each task
+    more = rows.join(kept.where("_times > 1"), on, "left_semi").groupBy("_key").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+    return once.unionByName(more.select("_row.*"))
+
+
+def keep_one(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
+    """One row of each component: the smallest doc_id, nulls last, then the first by its text's hash."""
+
+    def make(batches):
+        for batch in batches:
+            found = [fingerprint(t, n) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["_key", "fp"])
+
+    keyed = row_key(docs).select("_key", F.col("text").cast("string").alias("text"))
+    rows = keyed.mapInArrow(make, keyed.select("_key").schema.add("fp", "long"))
+    times = rows.groupBy("fp", "_key").agg(F.count("*").alias("times"))
+    groups = written(times.groupBy("fp").agg(F.min(F.struct(F.col("_key").alias("key"), "times")).alias("first")), "groups")
+    return first_rows(docs, _rooted(groups, bits).groupBy("root").agg(F.min("first").alias("first")))

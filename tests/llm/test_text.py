@@ -158,6 +158,38 @@ def test_kneser_ney_is_a_distribution():
         assert np.allclose(p.sum(axis=0) + unseen, 1, atol=1e-3), context
 
 
+def test_models_keep_all_grams(spark):
+    import random
+
+    rng = random.Random(1)
+    rows, seen = [], {}
+    for k in range(95):  # so many languages that 1,000 grams of each were kept once
+        letters = [chr(0x4E00 + 40 * k + j) for j in range(30)]
+        text = "".join(rng.choice(letters) for _ in range(1100))
+        rows.append((k, text, f"l{k:02}"))
+        seen[f"l{k:02}"] = np.unique(langid.grams_of([text])[0], return_counts=True)
+    models = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(models.levels[4].values) == sum(len(g) for g, _ in seen.values())
+    grams, n = seen["l07"]
+    p = np.exp(models.log_probabilities(grams))[:, 7]
+    assert (n == 1).sum() > 1000 and (p > np.exp(models.log_probabilities(grams, 3)[:, 7]) * 0.2).all()
+    alone = langid._kneser_ney(["l07"], np.zeros(len(grams), np.int64), grams, n)
+    assert (alone.levels[4].values < 0).all() and len(alone.levels[4].values) == len(grams)
+
+
+def test_bounded_models_are_distributions():
+    g, n = np.unique(langid.grams_of(["abcab cabba bcaab ccba abab acbb", "bca cab aabb"] * 2)[0], return_counts=True)
+    for bound in (None, 12, 3):
+        models = langid._kneser_ney(["x"], np.zeros(len(g), np.int64), g, n, bound)
+        assert bound is None or len(models.levels[4].values) == bound
+        alphabet = np.array([ord(c) for c in "abc "], np.uint64)
+        for context in ("abc", "cab", " ca", "bb ", "\x01\x01\x01"):
+            head = sum(ord(c) << (16 * (3 - k)) for k, c in enumerate(context))
+            p = np.exp(models.log_probabilities(alphabet | np.uint64(head)))
+            unseen = np.exp(models.log_probabilities(np.array([ord("q") | head], np.uint64)))
+            assert np.allclose(p.sum() + unseen, 1, atol=1e-3), (bound, context)
+
+
 def test_folding_and_independence_of_neighbours():
     alone, _ = langid.grams_of(["Ab  c!1"])
     both, counts = langid.grams_of(["x y", "Ab  c!1", ""])

@@ -174,6 +174,16 @@ def test_spotsigs_queries(spark):
     assert one.near_next == 1.0
 
 
+def test_spotsigs_passage_gives_same_chains_beside_prose(spark):
+    items = " ".join(f"item{k}" for k in range(60))  # no anchor
+    prose = " ".join(f"the word{k} of thing{k}" for k in range(200))
+    texts = [items, f"{items} the {prose}", f"{prose} the {items}", "the " + " ".join(f"x{k}" for k in range(12)), "the " + " ".join(f"x{k}" for k in range(13))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sigs = {r.doc_id: set(r.sig) for r in spotsigs.with_signature(docs, "text", "sig").collect()}
+    assert len(sigs[0]) == 60 and len(sigs[0] & sigs[1]) >= 59 and sigs[0] <= sigs[2] and len(sigs[1]) > 400
+    assert len(sigs[3]) == 1 and len(sigs[4]) == 13
+
+
 @pytest.mark.parametrize("least", [0.8, 0.5])
 def test_spotsigs_pairs_lose_none(spark, least):
     rng = random.Random(8)

@@ -1,9 +1,11 @@
 """SpotSigs fingerprints: chains of content words that follow common-word anchors.
 
 A chain is the two content words after an anchor, common words between them left out; the
-fingerprint is the set of a text's chains, as 32-bit hashes. A text with few anchors (another
-language, a list) gives the chains of all its content words, one without content words the chains
-of all words, one without words a chain of its raw characters. Likeness is Jaccard's, pruned by set length: sets whose lengths differ by more
+fingerprint is the set of a text's chains, as 32-bit hashes. In a long stretch without anchors
+(another language, a list) a chain starts at every content word, so that a passage gives the same
+chains whatever the rest of the text is. A text without such chains gives the chains of all its
+content words, one without content words the chains of all words, one without words a chain of its
+raw characters. Likeness is Jaccard's, pruned by set length: sets whose lengths differ by more
 than the wanted likeness allows are never intersected. Only DataFrame functions are used.
 """
 
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import buckets, columns_of, written
 from .stopwords import ALL
 
-#: Content words to a chain beyond which a text has too few anchors.
+#: Content words in a row beyond which a stretch has too few anchors.
 FEW = 12
 #: Ranges of documents to a shuffle partition: many small ones fall on partitions more evenly.
 SPREAD = 8
@@ -29,15 +31,20 @@ def with_signature(df: DataFrame, text: str, out: str, stop_words: list[str] = A
     listed = ", ".join("'" + w.replace("'", "''") + "'" for w in stop_words)
     df = df.withColumn("_w", F.array_remove(F.split(F.lower(text), NO_LETTER), ""))
     df = df.withColumn("_c", F.expr(f"filter(transform(_w, (x, i) -> struct(x, i)), s -> s.x not in ({listed}))"))
+    # common words before each content word: equal along a stretch; a long one reaches half its length to one side
+    df = df.withColumn("_s", F.expr("transform(_c, (s, j) -> s.i - j)"))
+    half = (FEW + 1) // 2
+    stretch = (f"(get(_s, j - {half}) = s.i - j or get(_s, j + {half}) = s.i - j)"
+               f" and exists(sequence(0, {FEW}), d -> coalesce(get(_s, j - d) = get(_s, j - d + {FEW}), false))")
     df = df.withColumn("_h", F.expr(
-        "array_distinct(filter(transform(_c, (s, j) -> case when s.i - coalesce(get(_c, j - 1).i, -1) > 1"
+        f"array_distinct(filter(transform(_c, (s, j) -> case when s.i - coalesce(get(_c, j - 1).i, -1) > 1 or {stretch}"
         " then hash(s.x, get(_c, j + 1).x) end), h -> h is not null))"))
     content = F.expr("array_distinct(transform(_c, (s, j) -> hash(s.x, get(_c, j + 1).x)))")
     every = F.expr("array_distinct(transform(_w, (x, i) -> hash(x, get(_w, i + 1))))")
     chosen = (
-        F.when(F.size("_h") * FEW >= F.greatest(F.size("_c"), F.lit(1)), F.col("_h")).when(F.size("_c") > 0, content)
+        F.when(F.size("_h") > 0, F.col("_h")).when(F.size("_c") > 0, content)
         .when(F.size("_w") > 0, every).otherwise(F.array(F.hash(F.lit("raw"), F.col(text)))))
-    return df.withColumn(out, F.sort_array(chosen)).drop("_w", "_c", "_h")
+    return df.withColumn(out, F.sort_array(chosen)).drop("_w", "_c", "_s", "_h")
 
 
 def likeness(a: str, b: str, least: float = 0.0) -> Column:

@@ -32,6 +32,20 @@ def test_second_pass_takes_nearest_decided_neighbours():
     assert html_extract.second_pass(b[:3], ["short", "near", "short"]) == [False, True, False]
 
 
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "site-content with-sidebar", "post ad-free", "post comments-open", "single-post social-icons-on", "page legal"])
+def test_layout_classes_leave_the_article(name):
+    menu = '<div class="sidebar"><a href="/">It is a link to the news of the day</a></div>'
+    page = f'<body>{menu}<div class="{name}"><p>{PROSE}</p><p>{PROSE}</p><div class="comments">The best of all.</div></div>{menu}</body>'
+    assert html_extract.main_text(page) == f"{PROSE} {PROSE}"
+
+
+def test_unusual_prose_is_left_to_the_second_pass():
+    other = "Talo vanha seisoi kukkulalla kylmänä talvena kaupungin ihmisten tarinoita kuunnellessa tulen äärellä. " * 3
+    assert html_extract.main_text(f"<p>{other}</p>") == other.strip()
+    short = 'Brief text with <a href="/">one</a> link and more.'
+    assert html_extract.main_text(f"<p>{PROSE} {PROSE}</p><p>{short}</p><p>{PROSE} {PROSE}</p>").count("Brief text with one link") == 1
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<<<", "<p", "</p>", "<!--", "<script>x", "a" * 10_000, "<div " * 5000, "<b>" * 5000, '<a href="x>', "&#xD800;&bogus;&#99999999;"])
 def test_broken_pages(html):
     assert isinstance(html_extract.main_text(html), str)

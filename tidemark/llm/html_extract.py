@@ -1,11 +1,12 @@
 """Main text of web pages by two passes of block rules.
 
-A page is cut into blocks at block-level tags, while scripts, styles, forms and the parts that
-markup itself declares to be menus, headers, footers, sidebars, notices, adverts or comments are
-left out. The first pass decides each block by itself from stop-word density, length and link
-density: good, bad, or ambiguous. The second gives each ambiguous block the label of its nearest
-decided neighbours. Inside an article or main element, prose in a language without stop words
-here and lists are ambiguous instead of bad, and neighbours are sought in the same element only.
+A page is cut into blocks at block-level tags, while scripts, styles, forms and the elements that
+markup itself declares to be menus, headers or footers are left out. Classes and ids only hint at
+menus, sidebars, notices, adverts or comments: such an element is bad if it is link-dense or holds
+less than half of the page's text, and else its blocks are ambiguous at best. The first pass
+decides each block by itself from stop-word density, length and link density: good, bad, or
+ambiguous. The second gives each ambiguous block the label of its nearest decided neighbours; they
+are sought in the same article, main or hinted element only.
 """
 
 from __future__ import annotations
@@ -43,9 +44,11 @@ LANDMARK = {"article", "main"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section", "table", "ul", "figure", "details"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar"}
 HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|banner|cookies?|consent|gdpr|notices?|nav|navbar|navigation|menu|menus|"
+    r"(?:^|[_-])(?:ads?|adverts?|advertisements?|adsense|sponsor(?:ed|s)?|promo(?:s|tion|tions)?|banner|cookies?|consent|gdpr|notices?|nav|navbar|navigation|menu|menus|"
     r"breadcrumbs?|sidebar|side-?bar|widgets?|footer|site-?header|page-?header|masthead|topbar|toolbar|comments?|commentlist|disqus|replies|respond|discussion|share|sharing|"
-    r"social|related|recommend(?:ed|ations)?|newsletter|subscribe|subscription|signup|login|modal|popup|overlay|pagination|pager|skip-?link|legal|copyright|disclaimer)(?:$|[\s_-])")
+    r"social|related|recommend(?:ed|ations)?|newsletter|subscribe|subscription|signup|login|modal|popup|overlay|pagination|pager|skip-?link|legal|copyright|disclaimer)(?:$|[_-])")
+#: Tokens that say how a page is laid out or what it lacks, not what an element is.
+LAYOUT = re.compile(r"(?:^|[_-])(?:has|no|not|non|with|without|is|hide|hidden)[_-]|[_-](?:open|opened|closed|free|less|on|off|enabled|disabled|none|left|right|active|visible)$")
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 TOKEN = re.compile(r"<!--(?:.*?-->|>|.*\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/><]*)((?:[^><\"']|\"[^\"<]*\"|'[^'<]*'|[\"'])*+)>?", re.S)
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -59,6 +62,7 @@ class Block:
     linked: int
     heading: bool
     landmark: int  # number of the article or main element; 0 outside
+    hints: tuple[int, ...] = ()  # numbers of the elements around it whose class or id is a hint
 
 
 def _declared(tag: str, attributes: str, inside: bool) -> bool:
@@ -70,35 +74,48 @@ def _declared(tag: str, attributes: str, inside: bool) -> bool:
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         value = (a or b or c).lower()
         name = name.lower()
-        if name in ("class", "id") and HINT.search(value) or name == "role" and value in ROLES:
+        if name == "role" and value in ROLES:
             return True
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none", value):
             return True
     return False
 
 
+def _hinted(tag: str, attributes: str) -> bool:
+    """Whether a whole class or id token hints that an element is no main text."""
+    if not attributes.strip() or tag in ("html", "body", "article", "main"):
+        return False
+    return any(
+        HINT.search(token) and not LAYOUT.search(token)
+        for name, a, b, c in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id") for token in (a or b or c).lower().split())
+
+
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order, white space made single."""
     out: list[Block] = []
-    stack: list[tuple[str, bool]] = []  # element, left out
+    stack: list[tuple[str, bool, bool]] = []  # element, left out, hinted
     parts: list[str] = []
     linked = links = hidden = landmarks = 0
     inside: list[int] = []
+    around: list[int] = []
+    hints = 0
     heading, at, n = False, 0, len(html)
 
     def end_block():
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, linked, heading, inside[-1] if inside else 0))
+            out.append(Block(text, linked, heading, inside[-1] if inside else 0, tuple(around)))
         parts.clear()
         linked = 0
 
     def close(tag: str):
         nonlocal hidden, links, heading
         while stack:
-            name, gone = stack.pop()
+            name, gone, hint = stack.pop()
             hidden -= gone
+            if hint:
+                around.pop()
             if name == "a":
                 links -= 1
             if name in LANDMARK and inside:
@@ -125,12 +142,12 @@ def blocks_of(html: str) -> list[Block]:
             continue
         tag, attributes = m.group(2).lower(), m.group(3)
         if m.group(1):
-            if tag == "br" or tag == "p" and not any(name == "p" for name, _ in stack):
+            if tag == "br" or tag == "p" and not any(name == "p" for name, *_ in stack):
                 end_block()
                 continue
             if tag not in INLINE:
                 end_block()
-            if any(name == tag for name, _ in stack):
+            if any(name == tag for name, *_ in stack):
                 close(tag)
                 if tag[:1] == "h" and tag[1:].isdigit():
                     heading = False
@@ -145,13 +162,17 @@ def blocks_of(html: str) -> list[Block]:
             end_block()
         if tag in VOID or attributes.endswith("/") and tag in ("path", "use"):
             continue
-        if tag in CLOSES_P and any(name == "p" for name, _ in stack[-12:]):
+        if tag in CLOSES_P and any(name == "p" for name, *_ in stack[-12:]):
             close("p")
         elif tag in ("li", "dt", "dd", "tr", "td", "th", "option") and stack and stack[-1][0] == tag:
             close(tag)
         gone = _declared(tag, attributes, bool(inside))
-        stack.append((tag, gone))
+        hint = tag not in INLINE and not gone and not hidden and _hinted(tag, attributes)
+        stack.append((tag, gone, hint))
         hidden += gone
+        if hint:
+            hints += 1
+            around.append(hints)
         if tag == "a":
             links += 1
         if tag in LANDMARK:
@@ -166,18 +187,29 @@ def blocks_of(html: str) -> list[Block]:
 def first_pass(block: Block, rules: Rules) -> str:
     """The label of a block by itself."""
     size = len(block.text)
-    doubtful = SHORT if block.landmark else BAD
     if block.linked > rules.links * size:
         return BAD
     if "\N{COPYRIGHT SIGN}" in block.text and not block.landmark:
         return BAD
     if size < rules.short:
-        return BAD if block.linked and not block.landmark else SHORT
+        return SHORT
     words = LETTERS.findall(block.text.lower())
     density = sum(w in rules.stop_words for w in words) / len(words) if words else 0.0
     if density >= rules.stop_high:
-        return GOOD if size >= rules.long or block.landmark else NEAR
-    return NEAR if density >= rules.stop_low else doubtful
+        return GOOD if (size >= rules.long or block.landmark) and not block.hints else NEAR
+    return NEAR if density >= rules.stop_low else SHORT
+
+
+def unwanted(blocks: list[Block], rules: Rules) -> set[int]:
+    """The hinted elements that are link-dense or hold less than half of the page's unlinked text."""
+    size: dict[int, int] = {}
+    linked: dict[int, int] = {}
+    for b in blocks:
+        for h in b.hints:
+            size[h] = size.get(h, 0) + len(b.text)
+            linked[h] = linked.get(h, 0) + b.linked
+    whole = sum(len(b.text) - b.linked for b in blocks)
+    return {h for h in size if linked[h] > rules.links * size[h] or 2 * (size[h] - linked[h]) < whole}
 
 
 def second_pass(blocks: list[Block], labels: list[str]) -> list[bool]:
@@ -185,26 +217,28 @@ def second_pass(blocks: list[Block], labels: list[str]) -> list[bool]:
 
     Where decided neighbours differ, an ambiguous block with some stop words or a heading before
     good text is good, and any other takes the nearer one's label, the earlier one's in a tie.
-    Without decided neighbours a block inside an article or main element is good, others bad.
+    Without decided neighbours a block is good if it has some stop words, lies inside an article or
+    main element or is long, others are bad.
     """
     n = len(blocks)
+    group = [(b.landmark, b.hints[-1:]) for b in blocks]
     before, after = [(-1, "")] * n, [(-1, "")] * n
-    last: dict[int, tuple[int, str]] = {}
+    last: dict[tuple, tuple[int, str]] = {}
     for k in range(n):
-        before[k] = last.get(blocks[k].landmark, (-1, ""))
+        before[k] = last.get(group[k], (-1, ""))
         if labels[k] in (GOOD, BAD):
-            last[blocks[k].landmark] = (k, labels[k])
+            last[group[k]] = (k, labels[k])
     last = {}
     for k in reversed(range(n)):
-        after[k] = last.get(blocks[k].landmark, (-1, ""))
+        after[k] = last.get(group[k], (-1, ""))
         if labels[k] in (GOOD, BAD):
-            last[blocks[k].landmark] = (k, labels[k])
+            last[group[k]] = (k, labels[k])
     keep = []
     for k, label in enumerate(labels):
         if label not in (GOOD, BAD):
             (i, a), (j, b) = before[k], after[k]
             if not a and not b:
-                label = GOOD if blocks[k].landmark or label == NEAR else BAD
+                label = GOOD if blocks[k].landmark or label == NEAR or len(blocks[k].text) >= Rules.long else BAD
             elif not a or not b or a == b:
                 label = a or b
             elif label == NEAR or blocks[k].heading and b == GOOD:
@@ -220,6 +254,8 @@ def main_text(html: str | None, rules: Rules = Rules()) -> str:
     if not html:
         return ""
     blocks = blocks_of(html)
+    gone = unwanted(blocks, rules)
+    blocks = [b for b in blocks if gone.isdisjoint(b.hints)]
     kept = second_pass(blocks, [first_pass(b, rules) for b in blocks])
     return " ".join(b.text for b, k in zip(blocks, kept) if k)
 

@@ -104,6 +104,19 @@ def test_learned_spans(spark, sf):
     assert not pii.learn(empty(spark)).any() and pii.find(empty(spark), weights, []).count() == 0
 
 
+def test_long_keys_are_whole_candidates(spark, sf):
+    import random
+
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    weights = pii.learn(spark.read.parquet(f"{sf}/documents.parquet"))
+    for size in (512, 513, 716, 5000):
+        key = "".join(rng.choice(letters) for _ in range(size))
+        text = f'my key = "{key}" and more'
+        assert pii.candidates(text, []) == [("secret", 10, 10 + size)]
+        assert pii.masked(text, pii.spans_of(text, weights)[1]) == 'my key = "[SECRET]" and more'
+
+
 def test_em_finds_the_reliable_labeler():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.4

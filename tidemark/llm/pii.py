@@ -93,8 +93,7 @@ _WORDED = re.compile(r"(?<![\w.])[\w.+-]{1,64}\s?[\[(]?\s?(?:at|AT)\s?[\])]?\s?[
 _TITLED = re.compile(rf"\b(?:{'|'.join(TITLES)})\.?\s(?P<name>[A-ZÀ-ÞŒ][^\W\d_]+(?:\s[A-ZÀ-ÞŒ][^\W\d_]+)?)")
 _KEY_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+/=-")
 _NUMBER = re.compile(r"[0-9](?:[\x20()./-]{0,2}[0-9]){5,}")
-#: Longest run taken as one candidate; longer ones are data, not keys.
-_LONGEST = 512
+_KEY_RUN = re.compile(r"[A-Za-z0-9_+/=-]*")
 
 
 def candidates(text: str, taken: list[Span]) -> list[Span]:
@@ -109,15 +108,12 @@ def candidates(text: str, taken: list[Span]) -> list[Span]:
         if m.start() < done:
             continue
         begin, end = m.span()
-        floor = max(done, begin - _LONGEST)
-        while begin > floor and text[begin - 1] in _KEY_CHARS:
+        while begin > done and text[begin - 1] in _KEY_CHARS:
             begin -= 1
-        ceiling = min(len(text), end + _LONGEST)
-        while end < ceiling and text[end] in _KEY_CHARS:
-            end += 1
+        end = _KEY_RUN.match(text, end).end()
         run = text[begin:end]
         done = end
-        if 16 <= len(run) <= _LONGEST and sum(c.isdigit() for c in run) >= 3 and sum(c.isalpha() for c in run) >= 3:
+        if len(run) >= 16 and sum(c.isdigit() for c in run) >= 3 and sum(c.isalpha() for c in run) >= 3:
             out.append(("secret", begin, end))
         elif n := _NUMBER.match(text, m.start()):
             done = max(done, n.end())
@@ -169,14 +165,14 @@ def describe(text: str, span: Span) -> tuple[str, str]:
         "0" if kinds <= 4 else "1" if kinds >= 12 and digits else "-",
     ]
     features = [
-        str(KINDS.index(kind)), str(min(7, len(s) // 6)), str(min(4, 5 * digits // max(1, len(s)))),
+        str(KINDS.index(kind)), str(8 if len(s) > 512 else min(7, len(s) // 6)), str(min(4, 5 * digits // max(1, len(s)))),
         str(int(bool(CUES & set(before)))), str(int(bool(NO_CUES & set(before)))),
         str(int(lead.rstrip().endswith(("=", ":", '"', "'", "<")))), str(min(3, kinds // 5)), str("-01".index(votes[1]))]
     return "".join(votes), "".join(features)
 
 
 LABELERS = 7
-SIZES = (len(KINDS), 8, 5, 2, 2, 2, 4, 3)
+SIZES = (len(KINDS), 9, 5, 2, 2, 2, 4, 3)
 
 
 def estimate(patterns: dict[str, int], rounds: int = 200) -> tuple[np.ndarray, np.ndarray, float, dict[str, float]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, mixing, near, packing, pii
+from tidemark.llm import langid, mixing, packing, pii, simhash
 from tidemark.llm.common import table, written
 from tidemark.llm.queries import tokenizer_file
 
@@ -17,9 +17,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, that with the smallest id.
 
-    Alike are texts with Jaccard likeness of 0.8 or more on five-word shingles.
+    Alike are texts whose SimHash fingerprints of three-word shingles differ in at most two bits.
     """
-    return near.keep_one(docs)
+    return simhash.keep_one(docs, bits=2, n=3)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -29,5 +29,12 @@ def awkward(spark: SparkSession):
     return df.withColumns({c: F.lit("x") for c in ("size", "_rank", "_bucket", "target", "copies", "sig", "rejected", "_t", "n_words", "kept", "_hash", "_text", "lang_pred", "score", "fp", "a", "spans", "_position", "rate")})
 
 
+def clashing(spark: SparkSession):
+    """The same with further names that operators use inside, and one with a dot."""
+    names = ("h", "_key", "node", "a.b", "c0", "_row", "root", "first", "_id", "_lines", "item", "_copy", "_other", "held_out", "entropy")
+    df = awkward(spark)
+    return df.select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+
+
 def empty(spark: SparkSession):
     return spark.createDataFrame([], DOCS)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, DOCS, awkward, empty
 import corpus_pipeline
-from tidemark.llm import near, quality, queries, simhash, spotsigs
+from tidemark.llm import quality, queries, simhash, spotsigs
 
 
 def brute_fingerprint(text):
@@ -103,40 +103,16 @@ def test_keep_one_goes_by_row(spark):
         [(0, t) for t in texts[:3]] + [(7, texts[3]), (5, texts[4]), (9, texts[5])])
 
 
-@pytest.mark.parametrize("crowd", [32, 2])
-def test_pipeline_finds_edited_copies(spark, monkeypatch, crowd):
-    monkeypatch.setattr(near, "CROWD", crowd)
-    rng = random.Random(3)
-    line = "this common line stands in every one of these texts and says nothing at all".split()
-    rows, base = [], []
-    for k in range(8):
-        text = [f"v{rng.randrange(400)}" for _ in range(rng.randint(60, 160))] + line
-        base.append(text)
-        for edits in (0, 1, 2, 3, 4, 6, 9):
-            other = list(text)
-            for _ in range(edits):
-                other[rng.randrange(len(text) - 15)] = f"e{rng.randrange(10**6)}"
-            rows.append(" ".join(other))
-    rows += [" ".join(base[0]).upper(), "", None, " \t", "a b", "A  B", "a c"]
-    docs = [(k if k % 5 else None, t, "en", "a", 1) for k, t in enumerate(rows)]
-    sets = [frozenset(near.shingle_set(t).tolist()) for t in rows]
-    plain = [{tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))} if (w := (t or "").lower().split()) else set() for t in rows]
-    assert [len(s) for s in sets] == [len(p) for p in plain]
-    root = list(range(len(rows)))
-    for i in range(len(rows)):
-        for j in range(i):
-            either = plain[i] | plain[j]
-            if plain[i] == plain[j] or 5 * len(plain[i] & plain[j]) >= 4 * len(either):
-                root = [root[j] if r == root[i] else r for r in root]
-    table = spark.createDataFrame(docs, DOCS)
-    got = corpus_pipeline.near_duplicates(spark, table, "").collect()
-    at = {(d[0], d[1]): root[k] for k, d in enumerate(docs)}
-    assert sorted(at[r.doc_id, r.text] for r in got) == sorted(set(root)) and len(got) < len(rows) - 15
-    for r in got:
-        ids = [d[0] for k, d in enumerate(docs) if root[k] == at[r.doc_id, r.text] and d[0] is not None]
-        assert r.doc_id == (min(ids) if ids else None)
-    assert corpus_pipeline.near_duplicates(spark, empty(spark), "").count() == 0
-    assert near.keep_one(awkward(spark)).columns == awkward(spark).columns
+def test_near_duplicate_stage_on_a_whole_table(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = docs.collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in rows}
+    roots = brute_components(fps.values())
+    least = {}
+    for d, f in fps.items():
+        least[roots[f]] = min(d, least.get(roots[f], d))
+    got = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert got.columns == docs.columns and sorted(got.collect()) == sorted(r for r in rows if r.doc_id in set(least.values()))
 
 
 def test_simhash_on_a_whole_table(spark, sf):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from tests.llm.helpers import AWKWARD, PROSE, awkward, empty
+from tests.llm.helpers import AWKWARD, PROSE, awkward, clashing, empty
 from tidemark.llm import html_extract, langid, mixing, pii, queries
 from tidemark.llm.common import written
 
@@ -258,7 +258,23 @@ def test_pipeline(spark, sf):
 
 
 def test_pipeline_stages_take_awkward_tables(spark):
-    rows = awkward(spark).select("doc_id", "text", "lang", "source", "n_chars")
-    for source in (rows, rows.where("false")):
+    rows = clashing(spark)
+    for source in (rows, rows.where("false"), rows.select("doc_id", "text", "lang", "source", "n_chars")):
         for name, stage in corpus_pipeline.STAGES:
-            written(stage(spark, source, ""), name).count()
+            out = written(stage(spark, source, ""), name)
+            if name != "best_fit_packing":
+                assert out.columns == source.columns
+                assert out.count() >= 1 or source is not rows
+            else:
+                assert (out.count() == 0) == source.isEmpty()
+
+
+def test_cut_texts_have_the_grams_of_whole_ones():
+    texts = ["Ab  c!1 de" * 7, "", " . .", None and "", "xyz", "a" + " " * 30 + "b" * 9]
+    texts = [t or "" for t in texts]
+    for chars in (1, 2, 3, 7, 40):
+        got = [[] for _ in texts]
+        for owner, grams, counts in langid._grams(texts, chars):
+            for k, part in zip(owner.tolist(), np.split(grams, np.cumsum(counts)[:-1])):
+                got[k] += part.tolist()
+        assert got == [langid.grams_of([t])[0].tolist() for t in texts], chars

@@ -23,6 +23,16 @@ def columns_of(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[df[n] if n in have else F.lit(None).alias(n) for n in names])
 
 
+def by_position(docs: DataFrame, *names: str) -> tuple[DataFrame, list]:
+    """The rows with columns c0, c1, ... in place of their names, which then can neither clash with
+    others nor hold a dot, and the columns that had the given names (null where there was none).
+
+    ``toDF(*docs.columns)`` gives the names back.
+    """
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return plain, [F.col(f"c{docs.columns.index(n)}") if n in docs.columns else F.lit(None) for n in names]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see, removed when the session's JVM ends.
 
@@ -37,11 +47,16 @@ def shared_folder(spark: SparkSession) -> str:
     return fs.makeQualified(jpath).toString()  # with its scheme, for readers that aren't Spark's
 
 
-def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """The same rows from Parquet in the shared folder: cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str = "t", small_groups: bool = False) -> DataFrame:
+    """The same rows from Parquet in the shared folder: cuts lineage and survives lost executors.
+
+    ``small_groups`` is for rows of megabytes: row groups of 16 MB, looked at after every row, so
+    that neither writer nor reader holds many of them.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}"
-    df.write.parquet(path)
+    options = {"parquet.block.size": 1 << 24, "parquet.page.size.row.check.min": 1} if small_groups else {}
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

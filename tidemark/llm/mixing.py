@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import numbered, ranked, written
+from .common import by_position, numbered, ranked, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Newton steps; the first ones go about 1 a step, the last ones double the digits.
@@ -95,8 +95,9 @@ def _placed(rows: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame
 
 def _sized(docs: DataFrame, whole: bool) -> DataFrame:
     """doc_id, source, size and a hash; with ``whole`` also the row, packed so no name can clash."""
-    row = [F.struct(*docs.columns).alias("_row")] if whole else []
-    slim = docs.select(*row, "doc_id", "text", F.col("source").cast("string").alias("source"))
+    plain, (doc_id, text, source) = by_position(docs, "doc_id", "text", "source")
+    row = [F.struct(*plain.columns).alias("_row")] if whole else []
+    slim = plain.select(*row, doc_id.alias("doc_id"), text.cast("string").alias("text"), source.cast("string").alias("source"))
     return sizes(slim).withColumn("_hash", F.xxhash64("doc_id", "text")).drop("text")
 
 
@@ -114,6 +115,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int
 
 
 def take(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), most: int = 3) -> DataFrame:
-    """The mixed documents themselves, all columns, each as often as its copies say."""
+    """The mixed documents themselves, all columns, each as often as its copies say.
+
+    Nulls, empty and repeated rows count as in ``mix``; texts are moved whole, with their rows. All
+    columns stay, whatever their names; an empty table gives no row.
+    """
     taken = _placed(_sized(docs, True), weights, most).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*")
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_row.*").toDF(*docs.columns)

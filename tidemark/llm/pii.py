@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from .common import by_position
+from .encode import text_slices
 from .stopwords import ALL
 
 BASE = ("email", "ip", "card", "phone")
@@ -236,8 +238,8 @@ def learn(docs: DataFrame) -> np.ndarray:
     def run(batches):
         held: Counter = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
+            for _, _, texts in text_slices(batch.column(0)):
+                for text in filter(None, texts):
                     base = base_spans(text)
                     held.update(describe(text, s) for s in base + candidates(text, base))
         yield pa.RecordBatch.from_pydict({
@@ -274,13 +276,14 @@ def find(docs: DataFrame, weights: np.ndarray, keep: list[str], least: float = 0
 
     def run(batches):
         for batch in batches:
-            found = [spans_of(t, weights, least) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            counts = [Counter(k for k, _, _ in base) for base, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *[pa.array([c[k] for c in counts], pa.int64()) for k in BASE],
-                 pa.array([hashlib.sha256(digest(base).encode()).hexdigest() for base, _ in found], pa.string()),
-                 pa.array([digest(every) for _, every in found], pa.string())],
-                names=[*keep, *[f"n_{k}" for k in BASE], "base_sha256", "spans"])
+            for a, b, texts in text_slices(batch.column(batch.num_columns - 1)):
+                found = [spans_of(t, weights, least) for t in texts]
+                counts = [Counter(k for k, _, _ in base) for base, _ in found]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.slice(a, b - a).columns[:-1], *[pa.array([c[k] for c in counts], pa.int64()) for k in BASE],
+                     pa.array([hashlib.sha256(digest(base).encode()).hexdigest() for base, _ in found], pa.string()),
+                     pa.array([digest(every) for _, every in found], pa.string())],
+                    names=[*keep, *[f"n_{k}" for k in BASE], "base_sha256", "spans"])
 
     schema = StructType(rows.schema.fields[:-1] + [StructField(f"n_{k}", LongType()) for k in BASE]
                         + [StructField("base_sha256", StringType()), StructField("spans", StringType())])
@@ -300,14 +303,23 @@ def masked(text: str | None, spans: list[Span]) -> str | None:
 
 
 def mask(docs: DataFrame, weights: np.ndarray, least: float = 0.5) -> DataFrame:
-    """The documents with personal data replaced in text, and n_chars counted anew."""
-    schema = docs.schema
+    """The documents with personal data replaced in text, and n_chars counted anew.
+
+    A null or empty text stays as it is; rows that repeat are masked each; very long texts are
+    masked whole, one at a time. All other columns stay, whatever their names. An empty table
+    gives no row.
+    """
+    plain, (text,) = by_position(docs.withColumn("text", F.col("text").cast("string")), "text")
     at = docs.columns.index("text")
 
     def run(batches):
         for batch in batches:
-            texts = [masked(t, spans_of(t, weights, least)[1]) for t in batch.column(at).to_pylist()]
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-
-    out = docs.mapInArrow(run, schema)
-    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
+            for a, b, texts in text_slices(batch.column(at)):
+                part = batch.slice(a, b - a)
+                texts = [masked(t, spans_of(t, weights, least)[1]) for t in texts]
+                yield part.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+
+    out = plain.mapInArrow(run, plain.schema)
+    if "n_chars" in docs.columns:
+        out = out.withColumn(f"c{docs.columns.index('n_chars')}", F.length(text).cast("long"))
+    return out.toDF(*docs.columns)

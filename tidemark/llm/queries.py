@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, id_planes, langid, mixing, packing, pii, quality, simhash, spotsigs, token_counts
+from . import (
+    bisectors, geometric, html_extract, id_planes, langid, line_dedup, mixing, packing, pii, quality, simhash, spotsigs, token_counts,
+)
 from .common import table
 
 
@@ -67,6 +69,19 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, models, ["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_geometric_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return geometric.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_lines(table(spark, sf_dir, "documents"), least_chars=40, least_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_bisectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bisectors.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2)
+
+
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_id_planes": op2_id_planes,
@@ -78,7 +93,15 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_entropy_balancing": op9_entropy_balancing,
     "op10_language_id": op10_language_id,
+    "op11_geometric_blocks": op11_geometric_blocks,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_bisectors": op13_bisectors,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {"op8_quality_rules": quality.oracle()}
+ORACLES: dict[str, str] = {
+    "op8_quality_rules": quality.oracle(),
+    "op11_geometric_blocks": geometric.oracle(),
+    "op12_line_dedup": line_dedup.oracle(),
+    "op13_bisectors": bisectors.oracle(),
+}

@@ -20,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import columns_of, written
+from .common import by_position, columns_of, written
+from .encode import text_slices
 
 #: An entry shared by more different fingerprints than this is split by a further part.
 CROWD = 32
@@ -75,8 +76,9 @@ def fingerprints(docs: DataFrame, n: int = 3) -> DataFrame:
 
     def make(batches):
         for batch in batches:
-            found = [fingerprint(t.as_py(), n) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            for a, b, texts in text_slices(batch.column(1)):
+                found = np.array([fingerprint(t, n) for t in texts], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
 
     rows = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(make, "doc_id long, fp long")
@@ -121,7 +123,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Every round is written to the shared folder.
     """
     edges, before = written(edges.select("a", "b").where("a <> b"), "edges"), None
-    digest = [F.count("*"), F.sum(F.hash("a", "b").cast("long"))]
+    edge = F.xxhash64("a", "b")  # two digests of 64 bits and more tell whether a round changed anything
+    digest = [F.count("*"), F.sum(edge.cast("decimal(38,0)")), F.bit_xor(F.xxhash64(F.lit(1), "b", "a"))]
     for _ in range(rounds):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
@@ -158,38 +161,46 @@ def linked_documents(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def row_key(docs: DataFrame) -> DataFrame:
-    """The documents with _key: null ids last, then doc_id, hash of text, hash of the whole row.
+def row_key(plain: DataFrame, doc_id, text) -> DataFrame:
+    """Rows named ``by_position`` with _key: null ids last, then doc_id, hash of text, hash of the row.
 
     Rows with one key are the same row repeated.
     """
-    plain = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
-    return docs.withColumn("_key", F.struct(
-        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("h"), F.xxhash64(F.lit(1), *plain).alias("r")))
+    fields = [F.col(f.name) for f in plain.schema if "map<" not in f.dataType.simpleString()]
+    return plain.withColumn("_key", F.struct(
+        doc_id.isNull().alias("none"), doc_id.alias("id"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(1), *fields).alias("r")))
 
 
-def first_rows(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """The row of docs for each struct ``first`` (key, times): a row that repeats is taken once."""
+def first_rows(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The keyed row for each struct ``first`` (key, times): a row that repeats is taken once."""
     key = ["_none", "_id", "_h", "_r"]
     kept = firsts.select(*[F.col(f"first.key.{k[1:]}").alias(k) for k in key], F.col("first.times").alias("_times"))
-    rows = row_key(docs)
     on = rows["_key.h"].eqNullSafe(kept._h) & (rows["_key.r"] == kept._r) & rows["_key.id"].eqNullSafe(kept._id)
     once = rows.join(kept.where("_times = 1"), on, "left_semi").drop("_key")
     # copies of one row meet as one row from each task
-    more = rows.join(kept.where("_times > 1"), on, "left_semi").groupBy("_key").agg(F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_row"))
+    more = rows.join(kept.where("_times > 1"), on, "left_semi").groupBy("_key").agg(F.first(F.struct(*once.columns)).alias("_row"))
     return once.unionByName(more.select("_row.*"))
 
 
 def keep_one(docs: DataFrame, bits: int = 2, n: int = 3) -> DataFrame:
-    """One row of each component: the smallest doc_id, nulls last, then the first by its text's hash."""
+    """One row of each component: the smallest doc_id, nulls last, then the first by its text's hash.
+
+    Texts whose fingerprints of n-word shingles differ in at most ``bits`` bits link; null, empty
+    and blank texts share fingerprint 0. A row that repeats is kept once. Very long texts are
+    fingerprinted in parts. All columns stay, whatever their names; an empty table gives no row.
+    """
+    plain, (doc_id, text) = by_position(docs, "doc_id", "text")
 
     def make(batches):
         for batch in batches:
-            found = [fingerprint(t, n) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["_key", "fp"])
+            for a, b, texts in text_slices(batch.column(1)):
+                found = np.array([fingerprint(t, n) for t in texts], np.uint64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(found.view(np.int64))], names=["_key", "fp"])
 
-    keyed = row_key(docs).select("_key", F.col("text").cast("string").alias("text"))
-    rows = keyed.mapInArrow(make, keyed.select("_key").schema.add("fp", "long"))
+    keyed = row_key(plain, doc_id, text.cast("string"))
+    slim = keyed.select("_key", text.cast("string").alias("text"))
+    rows = slim.mapInArrow(make, slim.select("_key").schema.add("fp", "long"))
     times = rows.groupBy("fp", "_key").agg(F.count("*").alias("times"))
     groups = written(times.groupBy("fp").agg(F.min(F.struct(F.col("_key").alias("key"), "times")).alias("first")), "groups")
-    return first_rows(docs, _rooted(groups, bits).groupBy("root").agg(F.min("first").alias("first")))
+    firsts = _rooted(groups, bits).groupBy("root").agg(F.min("first").alias("first"))
+    return first_rows(keyed, firsts).toDF(*docs.columns)

@@ -28,9 +28,9 @@ from .common import columns_of, written
 from .encode import text_slices
 
 #: Postings and documents of a shard, at most (one document more than that is a shard of its own).
-POSTINGS, DOCUMENTS = 200_000, 2_000
+POSTINGS, DOCUMENTS = 100_000, 1_000
 #: Documents of a block, about; a list of fewer is one block without a summary.
-BLOCK = 64
+BLOCK = 128
 #: Different terms of the items that are searched for at a time.
 TERMS = 200_000
 #: Summaries hold impacts in steps of this size, rounded up.

@@ -42,7 +42,7 @@ def line_state(flag: str = CLEAN, columns: str = "k, n, p, q, quantity, price")
     return f"SELECT {columns} FROM ({latest}) WHERE coalesce(operation_flag, 'I') <> 'D'"
 
 
-def fold_sql(flag: str, late: bool = False, batches=range(len(CUTS))) -> str:
+def fold_sql(flag: str, late: bool = False, batches=range(len(CUTS)), first: str = "feed") -> str:
     """The merge applied batch after batch, as a chain of table expressions."""
     names = ", ".join(LINEITEM_COLUMNS)
     steps = [
@@ -56,7 +56,7 @@ def fold_sql(flag: str, late: bool = False, batches=range(len(CUTS))) -> str:
             if late:
                 arrived += f" AND n <> {LATE_LINE}"
         fresh = (
-            f"SELECT * FROM feed WHERE {arrived} AND k IS NOT NULL AND recordstamp >= "
+            f"SELECT * FROM {first if i == 1 else 'feed'} WHERE {arrived} AND k IS NOT NULL AND recordstamp >= "
             f"(SELECT coalesce(max(recordstamp), {FLOOR}) FROM t{i - 1})"
         )
         s, t = f"s{i}", f"t{i - 1}"
@@ -175,7 +175,35 @@ def oracles() -> dict[str, str]:
         "merge_fold_anti": fold_sql(DIRTY),
         "merge_late_rows_dropped": fold_sql(CLEAN, late=True),
         "merge_late_rows_compared": line_state(CLEAN, names),
+        "merge_three_batches_bucketed": fold_sql(CLEAN),
+        "merge_dirty_flags_bucketed": fold_sql(DIRTY),
+        "merge_three_batches_filtered": fold_sql(CLEAN),
+        "merge_added_column": fold_sql(
+            CLEAN, batches=[0, len(CUTS) - 1],
+            first="(SELECT * REPLACE (CAST(NULL AS DOUBLE) AS price) FROM feed)"),
+        "current_state_on_read": line_state(),
+        "merge_on_read_dirty_flags": fold_sql(DIRTY),
         "stream_merge_final_state": line_state(CLEAN, names),
+        "stream_dirty_flags": line_state(DIRTY, names),
+        "stream_merge_compared": line_state(CLEAN, names),
+        "stream_buried_tombstones": (
+            f"WITH l AS ({latest_sql(line_feed(), 'k', LINE_TIES)}) "
+            "SELECT operation_flag = 'D' AS deleted, count(*) AS row_count FROM l "
+            "WHERE operation_flag <> 'D' OR recordstamp >= (SELECT max(recordstamp) FROM l) "
+            "- INTERVAL 365 DAY GROUP BY 1"),
+        "scan_feed_stream": dirty,
+        "multi_stream_run": (
+            f"SELECT 'lineitem_feed' AS table_name, count(*) AS row_count FROM ({line_state()}) "
+            f"UNION ALL SELECT 'orders_feed', count(*) FROM ({orders_state}) WHERE {live} "
+            f"UNION ALL SELECT 'events_feed', count(*) FROM ({events_state}) WHERE {live} "
+            "UNION ALL SELECT 'broken_feed failed', 0"),
+        "multi_table_hourly": (
+            f"SELECT 'lines' AS table_name, count(*) AS row_count FROM ({line_state()})"),
+        "primary_key_lists": (
+            "SELECT tabname, string_agg(fieldname, ',' ORDER BY position, fieldname) AS keys FROM ("
+            f"SELECT {normal('tabname')} AS tabname, {normal('fieldname')} AS fieldname, "
+            f"min(position) AS position FROM ({DICTIONARY}) WHERE keyflag = 'X' "
+            "AND fieldname <> '.INCLUDE' GROUP BY 1, 2) GROUP BY 1"),
         "normalize_names": (
             f"SELECT tabname, {normal('tabname')} AS table_name, fieldname, "
             f"{normal('fieldname')} AS field_name FROM ({DICTIONARY})"),

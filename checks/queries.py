@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +11,22 @@ from pyspark.sql import functions as F
 from checks import feeds
 from checks.feeds import CLEAN, CUTS, DIRTY, LINEITEM_COLUMNS, LINEITEM_SPEC, ORDERS_SPEC, table
 from checks.oracles import BY_STATUS
-from tidemark import FeedSpec, Layout, RangePartition, SnapshotTable, TimePartition, Warehouse
+from tidemark import (
+    FeedSpec,
+    KeyBuckets,
+    Layout,
+    RangePartition,
+    SnapshotTable,
+    TimePartition,
+    Warehouse,
+)
 from tidemark.functions.columns import normalize_name
 from tidemark.functions.flags import flag_rank
 from tidemark.operators import feed as ops
-from tidemark.operators.apply import apply_feed
-from tidemark.operators.keys import key_fields
+from tidemark.operators.apply import apply_feed, fresh_state
+from tidemark.operators.keys import key_fields, primary_key_lists
 from tidemark.operators.layout import PART, partition_by_range, partition_by_time
-from tidemark.operators.merge import merge_changes
+from tidemark.operators.merge import FLAG, merge_changes
 from tidemark.plans.graph import refresh_graph
 from tidemark.plans.reporting import (
     create_table_as_schema,
@@ -28,11 +36,11 @@ from tidemark.plans.reporting import (
     run_query,
     run_script,
 )
-from tidemark.plans.runner import run_cdc
+from tidemark.plans.runner import await_streams, run_cdc, stream_tables
 from tidemark.session import new_scratch
 from tidemark.sources import files
 from tidemark.sources.fs import Fs
-from tidemark.streaming.cdc import stream_cdc
+from tidemark.streaming.cdc import bury_for_good, stream_cdc, stream_with_state
 
 
 class Place:
@@ -221,11 +229,52 @@ def merge_late_rows_compared(spark, sf):
     return _fold_stored(spark, sf, CLEAN, late=True, late_policy="compare")
 
 
-def stream_merge_final_state(spark, sf):
+def merge_three_batches_bucketed(spark, sf):
+    """Dealt to buckets by key: each batch rewrites only buckets that lose a row."""
+    return _fold_stored(spark, sf, CLEAN, layout=Layout(KeyBuckets(("k",), 16)))
+
+
+def merge_dirty_flags_bucketed(spark, sf):
+    """Clustered within buckets whose number follows from the first load's bytes."""
+    return _fold_stored(spark, sf, DIRTY, layout=Layout(KeyBuckets(("k",)), ("k", "n")))
+
+
+def merge_three_batches_filtered(spark, sf):
+    """With Bloom filters on the keys."""
+    return _fold_stored(spark, sf, CLEAN, layout=Layout(bloom=("k",)))
+
+
+def merge_added_column(spark, sf):
+    """The feed gets a column after the first load; rows it does not touch have NULL there."""
+    feed, state = feeds.lineitem_feed(spark, sf), Place(spark, sf).table()
+    apply_feed(spark, feeds.visible(feed, 0).drop("price"), state, ["k"], LINEITEM_SPEC)
+    apply_feed(spark, feed, state, ["k"], LINEITEM_SPEC, allow_new_columns=True)
+    return state.read()
+
+
+def _fresh(spark, sf, flag, layout=Layout()):
+    """Two batches are stored, the rest of the feed is seen by the reader only."""
+    feed, state = feeds.lineitem_feed(spark, sf, flag), Place(spark, sf).table()
+    for i in range(2):
+        apply_feed(spark, feeds.visible(feed, i), state, ["k"], LINEITEM_SPEC, layout=layout)
+    return state, feed
+
+
+def current_state_on_read(spark, sf):
+    state, feed = _fresh(spark, sf, CLEAN, Layout(KeyBuckets(("k",), 8)))
+    return fresh_state(state, feed, ["k"], LINEITEM_SPEC)
+
+
+def merge_on_read_dirty_flags(spark, sf):
+    state, feed = _fresh(spark, sf, DIRTY)
+    return fresh_state(state, feed, ["k"], LINEITEM_SPEC, columns=LINEITEM_COLUMNS)
+
+
+def _stream_arrivals(spark, sf, start, flag=CLEAN):
     """Three arrivals, the last with late rows, each taken in by a run of the same stream."""
     place = Place(spark, sf)
     landing, state = f"{place.root}/landing", place.table()
-    feed = feeds.lineitem_feed(spark, sf)
+    feed = feeds.lineitem_feed(spark, sf, flag)
     seen = None
     for i in range(len(CUTS)):
         arrived = feeds.visible(feed, i, late=True)
@@ -235,9 +284,77 @@ def stream_merge_final_state(spark, sf):
         late = f" AND n <> {feeds.LATE_LINE}"
         seen = f"coalesce(recordstamp < timestamp_ntz'{CUTS[i]}'{late}, false)" if CUTS[i] else "true"
         arrived.write.mode("append").parquet(landing)
-        stream = spark.readStream.schema(feed.schema).parquet(landing)
-        stream_cdc(stream, state, ["k"], f"{place.root}/checkpoint", LINEITEM_SPEC).awaitTermination()
-    return state.read()
+        stream = ops.stream_feed(spark, landing, feed.schema, max_files=100)
+        start(stream, state, ["k"], f"{place.root}/checkpoint", LINEITEM_SPEC).awaitTermination()
+    return state
+
+
+def _in_buckets(*args):
+    return stream_with_state(*args, layout=Layout(KeyBuckets(("k",), 8)))
+
+
+def stream_merge_final_state(spark, sf):
+    """Which change of a key counts is decided in the stream's state."""
+    return _stream_arrivals(spark, sf, _in_buckets).read()
+
+
+def stream_dirty_flags(spark, sf):
+    return _stream_arrivals(spark, sf, stream_with_state, DIRTY).read()
+
+
+def stream_merge_compared(spark, sf):
+    """Each change is compared with the stored row; deleted keys stay as tombstones."""
+    return _stream_arrivals(spark, sf, stream_cdc).read()
+
+
+def stream_buried_tombstones(spark, sf):
+    """What is stored after tombstones of more than a year before the highest stamp were dropped."""
+    state = _stream_arrivals(spark, sf, stream_cdc)
+    bury_for_good(state, timedelta(days=365), LINEITEM_SPEC)
+    dead = (F.col(FLAG) == "D").alias("deleted")
+    return state.stored().groupBy(dead).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def scan_feed_stream(spark, sf):
+    """A landing folder read as a stream, three files a trigger."""
+    place = Place(spark, sf)
+    landing, out = f"{place.root}/landing", f"{place.root}/out"
+    feed = feeds.lineitem_feed(spark, sf, DIRTY)
+    feed.repartition(8).write.parquet(landing)
+    stream = ops.stream_feed(spark, landing, feed.schema, max_files=3)
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{place.root}/checkpoint")
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+    return spark.read.schema(feed.schema).parquet(out)
+
+
+def multi_stream_run(spark, sf):
+    """Three tables kept by streams of their own, beside a fourth whose files cannot be read."""
+    place = Place(spark, sf)
+    cdc, landing = place.dataset("cdc"), f"{place.root}/landing"
+    sources = {
+        "lineitem_feed": feeds.lineitem_feed(spark, sf),
+        "orders_feed": feeds.orders_feed(spark, sf),
+        "events_feed": feeds.events_feed(spark, sf),
+        "broken_feed": feeds.orders_feed(spark, sf).withColumn("price", F.lit("text")),
+    }
+    for name, rows in sources.items():
+        rows.write.parquet(f"{landing}/{name}")
+    schemas = {name: rows.schema for name, rows in sources.items()}
+    schemas["broken_feed"] = schemas["orders_feed"]
+    dictionary = spark.sql(
+        "SELECT * FROM VALUES ('LINEITEM_FEED', 'K', 'X', 1), ('ORDERS_FEED', 'CUSTKEY', 'X', 1), "
+        "('EVENTS_FEED', 'USER_ID', 'X', 1), ('BROKEN_FEED', 'CUSTKEY', 'X', 1) "
+        "AS t(tabname, fieldname, keyflag, position)")
+    settings = [{"base_table": name, "load_frequency": "@hourly"} for name in sources]
+    specs = {"lineitem_feed": LINEITEM_SPEC, "orders_feed": ORDERS_SPEC, "broken_feed": ORDERS_SPEC}
+    streams = await_streams(stream_tables(
+        place.warehouse, settings, landing, schemas, dictionary, cdc, f"{place.root}/checkpoints",
+        specs=specs, buckets=4))
+    counts = [
+        _count(spark.table(s.target), s.base_table if s.error is None else f"{s.base_table} failed")
+        for s in streams
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).unionByName(counts[3])
 
 
 # keys
@@ -268,6 +385,11 @@ def primary_keys(spark, sf):
     return key_fields(_dictionary(spark, sf))
 
 
+def primary_key_lists_query(spark, sf):
+    lists = primary_key_lists(_dictionary(spark, sf))
+    return lists.select("tabname", F.array_join("keys", ",").alias("keys"))
+
+
 # layouts
 
 def _bucket_counts(df: DataFrame) -> DataFrame:
@@ -545,7 +667,7 @@ def mapped_read_all_text(spark, sf):
 
 # many tables
 
-def _run_many(spark, sf) -> tuple[Place, str]:
+def _run_many(spark, sf, frequencies=None) -> tuple[Place, str]:
     place = Place(spark, sf)
     raw, cdc = place.dataset("raw"), place.dataset("cdc")
     place.feed_view(raw, "lineitem_feed", feeds.lineitem_fields(), "lineitem")
@@ -565,10 +687,17 @@ def _run_many(spark, sf) -> tuple[Place, str]:
     ]}
     specs = {"lineitem_feed": LINEITEM_SPEC, "orders_feed": ORDERS_SPEC}
     for _ in range(2):  # the second run finds nothing new
-        run_cdc(place.warehouse, settings, raw, cdc, "ecc", specs=specs)
+        run_cdc(place.warehouse, settings, raw, cdc, "ecc", specs=specs, frequencies=frequencies)
     return place, cdc
 
 
+def multi_table_hourly(spark, sf):
+    """Only the entries that are due every hour."""
+    place, cdc = _run_many(spark, sf, ["@hourly"])
+    (only,) = place.warehouse.tables(cdc)
+    return _count(spark.table(f"{cdc}.{only}"), only)
+
+
 def multi_table_run(spark, sf):
     _, cdc = _run_many(spark, sf)
     names = ("lines", "orders_feed", "events_feed")
@@ -689,7 +818,20 @@ QUERIES = {
     "merge_fold_anti": merge_fold_anti,
     "merge_late_rows_dropped": merge_late_rows_dropped,
     "merge_late_rows_compared": merge_late_rows_compared,
+    "merge_three_batches_bucketed": merge_three_batches_bucketed,
+    "merge_dirty_flags_bucketed": merge_dirty_flags_bucketed,
+    "merge_three_batches_filtered": merge_three_batches_filtered,
+    "merge_added_column": merge_added_column,
+    "current_state_on_read": current_state_on_read,
+    "merge_on_read_dirty_flags": merge_on_read_dirty_flags,
     "stream_merge_final_state": stream_merge_final_state,
+    "stream_dirty_flags": stream_dirty_flags,
+    "stream_merge_compared": stream_merge_compared,
+    "stream_buried_tombstones": stream_buried_tombstones,
+    "scan_feed_stream": scan_feed_stream,
+    "multi_stream_run": multi_stream_run,
+    "multi_table_hourly": multi_table_hourly,
+    "primary_key_lists": primary_key_lists_query,
     "normalize_names": normalize_names,
     "primary_keys": primary_keys,
     "partition_day_counts": _grain_counts("orders", "o_orderdate", "day"),

@@ -28,3 +28,17 @@ def state(df):
     out = {r[0]: (r[1], r[2]) for r in rows}
     assert len(out) == len(rows), "a key occurs twice"
     return out
+
+
+def scanned_rows(df):
+    """Rows that the file scans of a query gave, after row groups were skipped."""
+    session = df.sparkSession
+    before = session.conf.get("spark.sql.adaptive.enabled")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        leaves = execution.executedPlan().collectLeaves()
+        return [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())]
+    finally:
+        session.conf.set("spark.sql.adaptive.enabled", before)

@@ -9,22 +9,30 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import col, cols, resolve
-from tidemark.functions.flags import flag_rank, is_delete, is_upsert
-from tidemark.functions.stamps import floor_literal
+from tidemark.functions.columns import col, cols, qualified, resolve, text_literal
+from tidemark.functions.flags import flag_of, flag_rank, is_delete, is_live, is_upsert
+from tidemark.functions.stamps import decode, encode, floor_literal
 from tidemark.operators.feed import (
     cdc_columns,
+    current_state,
     keys_not_null,
     latest_per_key,
-    new_records,
     not_deleted,
     since,
+    watermark,
 )
-from tidemark.operators.layout import PART, with_part
-from tidemark.operators.merge import FLAG, align, check_lossless, merge_into_catalog
+from tidemark.operators.layout import PART, sized, with_part
+from tidemark.operators.merge import FLAG, align, check_lossless, merge_changes, merge_into_catalog
 from tidemark.session import staging
 from tidemark.sources.snapshot import SnapshotTable
-from tidemark.spec import FeedSpec, Layout, SettingsError
+from tidemark.spec import (
+    FeedSpec,
+    KeyBuckets,
+    Layout,
+    RangePartition,
+    SettingsError,
+    partition_columns,
+)
 
 # Keys of a change set are broadcast up to this many bytes; a larger set is shuffled.
 BROADCAST_KEY_BYTES = 64 * 1024 * 1024
@@ -32,6 +40,13 @@ BROADCAST_KEY_BYTES = 64 * 1024 * 1024
 # Key types whose range in the changes bounds the scan for stored rows.
 RANGED = (T.IntegerType, T.LongType, T.StringType)
 
+# Up to so many changes, the values of clustered and Bloom-filtered keys bound it one by one;
+# session.SETTINGS has the reader push down as many.
+EXACT_KEYS = 1000
+
+# Property of a catalog table under which the highest stamp taken in is kept, by stamp column.
+MARK = "tidemark.watermark."
+
 _OLD_PART = "tm_old_part"
 _HIT = "tm_hit"
 _ACTION = "tm_action"
@@ -48,9 +63,11 @@ def open_table(
     """Create the current-state table from the feed's columns unless it exists."""
     if table.exists():
         return table
-    schema = cdc_columns(feed, spec).schema
+    rows = cdc_columns(feed, spec)
+    schema = rows.schema
     stamp = spec.spelled(schema.names).stamp
-    return table.create(schema, layout.spelled(schema), stamp=stamp, tombstones=tombstones)
+    layout = sized(layout.spelled(schema), rows)
+    return table.create(schema, layout, stamp=stamp, tombstones=tombstones)
 
 
 def _fitted(
@@ -119,20 +136,97 @@ def apply_feed_to_catalog(
     """Bring a table of a catalog that supports MERGE up to date with ``feed``.
 
     The catalog does the merge, so only the files it must change are written, and it keeps
-    concurrent writers apart. The watermark is the highest stamp of the table. ``compare`` reads
-    the whole feed and leaves rows alone that are not older than their change.
+    concurrent writers apart. ``compare`` reads the whole feed and leaves rows alone that are not
+    older than their change.
+
+    The watermark is a property of the table: the highest stamp among the rows taken in that were
+    no deletes. Only a table without it has its stamps scanned. The property is set after the
+    merge, so a run that dies in between is followed by one that reads some rows again.
     """
     if late_policy not in ("drop", "compare"):
         raise ValueError(f"unknown late_policy {late_policy!r}")
     target = spark.table(name)
     spec = spec.spelled(target.columns)
+    dtype = target.schema[spec.stamp].dataType
     compare = late_policy == "compare"
-    if compare:
-        rows = since(feed, floor_literal(target.schema[spec.stamp].dataType), spec)
-    else:
-        rows = new_records(feed, target, spec)
-    changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
+    mark = None if compare else catalog_mark(spark, name, spec.stamp)
+    if not compare and mark is None:
+        mark = watermark(target, spec).select(encode(F.col("watermark"), dtype)).first()[0]
+    at = floor_literal(dtype) if compare or mark is None else decode(mark, dtype)
+    rows = keys_not_null(since(feed, at, spec), keys)
+    # Before the merge reads them: rows that arrive meanwhile are read again, not missed.
+    stamps = rows.select(col(spec.stamp), is_live(flag_of(spec)).alias(_HIT))
+    count, new = stamps.agg(
+        F.count(F.lit(1)), encode(F.max(F.when(F.col(_HIT), col(spec.stamp))), dtype)).first()
+    if not count:
+        return
+    changes = latest_per_key(rows, keys, spec, method="aggregate")
     merge_into_catalog(spark, name, changes, keys, spec, compare)
+    if not compare and new is not None:
+        pair = f"{text_literal(MARK + spec.stamp)} = {text_literal(str(new))}"
+        spark.sql(f"ALTER TABLE {qualified(name)} SET TBLPROPERTIES ({pair})")
+
+
+def catalog_mark(spark: SparkSession, name: str, stamp: str) -> str | None:
+    """The watermark kept with a catalog table, as ``encode`` writes it."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {qualified(name)}").collect()
+    return {r[0]: r[1] for r in rows}.get(MARK + stamp)
+
+
+def create_in_catalog(
+    spark: SparkSession,
+    name: str,
+    feed: DataFrame,
+    spec: FeedSpec = FeedSpec(),
+    layout: Layout = Layout(),
+) -> None:
+    """Create the current-state table of a feed in a catalog, empty, unless it exists.
+
+    Time partitions and key buckets become the catalog's own transforms. It has none for integer
+    ranges, which are refused; files are clustered as the catalog does it.
+    """
+    if spark.catalog.tableExists(name):
+        return
+    rows = cdc_columns(feed, spec)
+    layout = sized(layout.spelled(rows.schema), rows).check(rows.schema)
+    part = layout.partition
+    if isinstance(part, RangePartition):
+        raise SettingsError(f"{name}: a catalog table cannot be partitioned by integer ranges")
+    writer = rows.where(F.lit(False)).writeTo(name)
+    if isinstance(part, KeyBuckets):
+        writer = writer.partitionedBy(F.partitioning.bucket(part.count, *cols(part.keys)))
+    elif part is not None:
+        writer = writer.partitionedBy(getattr(F.partitioning, part.grain + "s")(col(part.column)))
+    writer.create()
+
+
+def fresh_state(
+    table: SnapshotTable,
+    feed: DataFrame,
+    keys: Sequence[str],
+    spec: FeedSpec = FeedSpec(),
+    columns: Sequence[str] | None = None,
+) -> DataFrame:
+    """What the table would show after ``apply_feed``, as a lazy DataFrame that writes nothing.
+
+    Stored rows stand for the feed up to the table's watermark, so only rows stamped at or after
+    it are read from the feed; the latest of each key replaces or hides the stored row. Without the
+    table, or with an empty one, the whole feed is read. The stamp is not shown unless ``columns``
+    names it. Late rows are not seen, and unknown flags leave a stored row alone, as in the merge.
+    """
+    if not table.exists():
+        return current_state(feed, keys, spec, columns)
+    at = table.current()
+    if at["tombstones"]:
+        raise ValueError("a table kept by a stream is current already; read it")
+    names = T.StructType.fromJson(at["schema"]).names
+    spec = spec.spelled(names)
+    rows = since(feed, table.watermark(spec.stamp, at), spec)
+    changes = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
+    merged = merge_changes(table.read(at=at), changes, keys, spec, strategy="anti")
+    if columns is not None:
+        return merged.select(*cols(resolve(names, columns)))
+    return merged.drop(spec.stamp)
 
 
 def merge_into(
@@ -195,13 +289,18 @@ def merge_into(
             return F.broadcast(df) if small else df
 
         # The stored rows of these keys: key columns only, and of those only the row groups
-        # (and, where the partition column is a key, the partitions) the changes can meet.
+        # (and, where the partition follows from the keys, the partitions) the changes can meet.
         parts = None
-        if layout.partition and layout.partition.column in keys:
+        if layout.partition and set(partition_columns(layout.partition)) <= set(keys):
             parts = {r[0] for r in with_part(staged, layout).select(PART).distinct().collect()}
         target = table.stored(parts, manifest)
+        listed = {*layout.bloom, *layout.cluster[:1]} if size["rows"] <= EXACT_KEYS else set()
         for i, k in enumerate(ranged):
-            target = target.where(col(k).between(size[f"low{i}"], size[f"high{i}"]))
+            if k in listed:
+                values = [r[0] for r in staged.select(col(k)).distinct().collect()]
+                target = target.where(col(k).isin(values))
+            else:
+                target = target.where(col(k).between(size[f"low{i}"], size[f"high{i}"]))
         order = [spec.stamp, *resolve(names, spec.tiebreak)] if compare else []
         old = target.select(
             *cols(keys),

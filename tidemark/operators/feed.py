@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, cols, qualified, quote, resolve
 from tidemark.functions.flags import flag_of, flag_rank, is_live
@@ -22,6 +23,37 @@ def scan_feed(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFra
     return spark.read.format(fmt).load(source) if "/" in source else spark.table(source)
 
 
+def stream_feed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    fmt: str = "parquet",
+    max_files: int | None = None,
+    max_bytes: int | None = None,
+    when_done: str = "off",
+    archive: str | None = None,
+) -> DataFrame:
+    """The files of a landing folder as a stream, with a declared schema.
+
+    A trigger takes at most ``max_files`` files, or files of about ``max_bytes``. Files that have
+    been taken in stay (``off``), are removed (``delete``) or moved below ``archive``.
+    """
+    if max_files is not None and max_bytes is not None:
+        raise SettingsError("a trigger is bounded by files or by bytes, not both")
+    if when_done not in ("off", "delete", "archive"):
+        raise SettingsError(f"unknown when_done {when_done!r}")
+    if (when_done == "archive") != (archive is not None):
+        raise SettingsError("archive and when_done='archive' go together")
+    options = {
+        "maxFilesPerTrigger": max_files,
+        "maxBytesPerTrigger": max_bytes,
+        "cleanSource": when_done,
+        "sourceArchiveDir": archive,
+    }
+    given = {k: v for k, v in options.items() if v is not None}
+    return spark.readStream.schema(schema).format(fmt).options(**given).load(path)
+
+
 def cdc_columns(df: DataFrame, spec: FeedSpec = FeedSpec()) -> DataFrame:
     """Columns kept in a current-state table: everything but the change bookkeeping."""
     return df.drop(*spec.excluded)

@@ -29,17 +29,22 @@ def key_fields(dictionary: DataFrame, repl: str = "_") -> DataFrame:
     return named.groupBy("tabname", "fieldname").agg(F.min("position").alias("position"))
 
 
+def primary_key_lists(dictionary: DataFrame, repl: str = "_") -> DataFrame:
+    """``tabname`` and ``keys``, the key fields of each table by position, those without one last."""
+    field = F.struct(
+        F.col("position").isNull().alias("last"), "position", F.col("fieldname").alias("name"))
+    fields = F.sort_array(F.collect_list(field))
+    return key_fields(dictionary, repl).groupBy("tabname").agg(fields["name"].alias("keys"))
+
+
 def primary_keys_of(
     dictionary: DataFrame, tables: Iterable[str], repl: str = "_"
 ) -> dict[str, list[str]]:
-    """Ordered key fields of each table, found in one pass over the dictionary."""
+    """Ordered key fields of each table: one aggregate over the dictionary, one row per table."""
     wanted = {t.split(".")[-1].upper(): t for t in tables}
-    rows = key_fields(dictionary, repl).where(F.col("tabname").isin(*wanted)).collect()
-    found: dict[str, list] = {t: [] for t in wanted.values()}
-    for row in rows:
-        order = (row.position is None, row.position or 0, row.fieldname)
-        found[wanted[row.tabname]].append((order, row.fieldname))
-    return {t: [name for _, name in sorted(fields)] for t, fields in found.items()}
+    rows = primary_key_lists(dictionary, repl).where(F.col("tabname").isin(*wanted)).collect()
+    found = {wanted[r["tabname"]]: list(r["keys"]) for r in rows}
+    return {t: found.get(t, []) for t in wanted.values()}
 
 
 def primary_keys(dictionary: DataFrame, table: str, repl: str = "_") -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,11 +11,20 @@ from pyspark.sql import types as T
 
 from tidemark.functions.columns import col, cols
 from tidemark.functions.stamps import bucket_text, range_bucket, time_bucket
-from tidemark.spec import MAX_CLUSTER_COLUMNS, Layout, RangePartition, SettingsError, TimePartition
+from tidemark.spec import (
+    MAX_CLUSTER_COLUMNS,
+    KeyBuckets,
+    Layout,
+    RangePartition,
+    SettingsError,
+    TimePartition,
+)
 
 PART = "tm_part"
 # Input that one task of a clustered write sorts into a file.
 TARGET_BYTES = 256 * 1024 * 1024
+# Key buckets at most: each is a folder, and an entry of every version file.
+MAX_BUCKETS = 50_000
 
 
 def partition_by_time(df: DataFrame, column: str, grain: str, name: str = PART) -> DataFrame:
@@ -57,10 +67,24 @@ def _breaker(df: DataFrame, used: Sequence[str], keys: Sequence[str]) -> list:
 def with_part(df: DataFrame, layout: Layout) -> DataFrame:
     """Adds the partition value as it is spelled in directory names."""
     part = layout.partition
+    if isinstance(part, KeyBuckets):
+        return df.withColumn(PART, F.pmod(F.xxhash64(*cols(part.keys)), F.lit(part.count)).cast("string"))
     dtype = df.schema[part.column].dataType
     return df.withColumn(PART, bucket_text(col(part.column), dtype, part))
 
 
+def sized(layout: Layout, df: DataFrame, target_bytes: int | None = None) -> Layout:
+    """The layout with the number of key buckets that the frame's sources call for: about
+    ``target_bytes`` (``TARGET_BYTES``) each. A single bucket is no partitioning."""
+    part = layout.partition
+    if not isinstance(part, KeyBuckets) or part.count:
+        return layout
+    if df.isStreaming:
+        raise SettingsError("the size of a stream is not known: state the number of key buckets")
+    count = min(-(-input_bytes(df) // (target_bytes or TARGET_BYTES)), MAX_BUCKETS)
+    return replace(layout, partition=replace(part, count=count) if count > 1 else None)
+
+
 def input_bytes(df: DataFrame) -> int:
     """What the frame's sources hold, as the optimizer knows it: never a product of join sides."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

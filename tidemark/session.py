@@ -7,6 +7,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # INT96 timestamps carry no row-group statistics, so nothing can be skipped by time.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # Values of a list that reach the reader one by one, and so its Bloom filters.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
+    # State of all keys on disk with each executor, and its changes in the checkpoint.
+    "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
     "spark.scheduler.mode": "FAIR",
 }
 

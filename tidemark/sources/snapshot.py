@@ -27,7 +27,7 @@ from tidemark.functions.stamps import decode, encode, floor_literal
 from tidemark.operators.layout import PART, arrange, part_between
 from tidemark.operators.merge import FLAG
 from tidemark.sources.fs import Fs
-from tidemark.spec import Layout
+from tidemark.spec import KeyBuckets, Layout
 
 GEN = "tm_gen"
 _NULL_DIR = "__HIVE_DEFAULT_PARTITION__"
@@ -131,7 +131,7 @@ class SnapshotTable:
         layout = Layout.from_json(manifest["layout"])
         schema = T.StructType.fromJson(manifest["schema"])
         if low is not None or high is not None:
-            if layout.partition is None:
+            if layout.partition is None or isinstance(layout.partition, KeyBuckets):
                 raise ValueError("the table has no partition column to bound")
             column = layout.partition.column
             rows = rows.where(part_between(layout, schema, low, high))
@@ -321,6 +321,10 @@ class SnapshotTable:
         writer = arrange(_typed(df, fields), layout, keys, old).write
         if layout.partition is not None:
             writer = writer.partitionBy(PART)
+        if layout.bloom:  # the filter's size follows the values of a row group
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        for name in layout.bloom:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         writer.parquet(path)  # session.SETTINGS: timestamps as micros, else no statistics to skip by
         return self._measure(manifest, token)
 

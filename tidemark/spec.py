@@ -74,12 +74,31 @@ class RangePartition:
     interval: int
 
 
+@dataclass(frozen=True)
+class KeyBuckets:
+    """Rows dealt to ``count`` partitions by a hash of their keys, for tables without a column to
+    partition by. Without a count it follows from the bytes of the first load."""
+
+    keys: tuple[str, ...]
+    count: int | None = None
+
+
+Partition = TimePartition | RangePartition | KeyBuckets
+
+
+def partition_columns(part: Partition) -> tuple[str, ...]:
+    """Columns that decide which partition a row goes to."""
+    return part.keys if isinstance(part, KeyBuckets) else (part.column,)
+
+
 @dataclass(frozen=True)
 class Layout:
-    """How a table's files are arranged: at most one partitioning and up to four cluster columns."""
+    """How a table's files are arranged: at most one partitioning, up to four cluster columns, and
+    columns with Bloom filters, by which scattered values skip row groups."""
 
-    partition: TimePartition | RangePartition | None = None
+    partition: Partition | None = None
     cluster: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
     @classmethod
     def from_settings(cls, setting: Mapping, load_frequency: str | None = None) -> Layout:
@@ -96,15 +115,29 @@ class Layout:
         """With column names as ``schema`` spells them; names compare without case."""
         by_lower = {n.lower(): n for n in schema.names}
         part = self.partition
-        if part is not None:
-            part = replace(part, column=by_lower.get(part.column.lower(), part.column))
-        return Layout(part, tuple(by_lower.get(c.lower(), c) for c in self.cluster))
+
+        def all_of(names: Iterable[str]) -> tuple[str, ...]:
+            return tuple(by_lower.get(c.lower(), c) for c in names)
+
+        if isinstance(part, KeyBuckets):
+            part = replace(part, keys=all_of(part.keys))
+        elif part is not None:
+            part = replace(part, column=all_of([part.column])[0])
+        return Layout(part, all_of(self.cluster), all_of(self.bloom))
 
     def check(self, schema: T.StructType) -> Layout:
         """Raise unless the columns exist in ``schema`` with fitting types; returns self."""
         fields = {f.name: f.dataType for f in schema.fields}
         p = self.partition
-        if p is not None:
+        if isinstance(p, KeyBuckets):
+            if not p.keys or not p.count or p.count < 1:
+                raise SettingsError("key buckets need keys and a positive count")
+            for name in p.keys:
+                if name not in fields:
+                    raise SettingsError(f"bucket key {name!r} does not exist in the table")
+                if isinstance(fields[name], (T.MapType, T.VariantType)):
+                    raise SettingsError(f"bucket key {name!r} cannot be hashed")
+        elif p is not None:
             if p.column not in fields:
                 raise SettingsError(f"partition column {p.column!r} does not exist in the table")
             dtype = fields[p.column]
@@ -124,6 +157,9 @@ class Layout:
         for name in self.cluster:
             if name not in fields:
                 raise SettingsError(f"cluster column {name!r} does not exist in the table")
+        for name in self.bloom:
+            if name not in fields:
+                raise SettingsError(f"Bloom filter column {name!r} does not exist in the table")
         return self
 
     def to_json(self) -> dict:
@@ -133,6 +169,10 @@ class Layout:
             out["time"] = [p.column, p.grain]
         elif isinstance(p, RangePartition):
             out["range"] = [p.column, p.start, p.end, p.interval]
+        elif isinstance(p, KeyBuckets):
+            out["buckets"] = [list(p.keys), p.count]
+        if self.bloom:
+            out["bloom"] = list(self.bloom)
         return out
 
     @classmethod
@@ -142,7 +182,9 @@ class Layout:
             part = TimePartition(*data["time"])
         elif "range" in data:
             part = RangePartition(*data["range"])
-        return cls(part, tuple(data.get("cluster", ())))
+        elif "buckets" in data:
+            part = KeyBuckets(tuple(data["buckets"][0]), data["buckets"][1])
+        return cls(part, tuple(data.get("cluster", ())), tuple(data.get("bloom", ())))
 
 
 def _need(details: Mapping, key: str, where: str):

@@ -3,21 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.columns import col
-from tidemark.functions.flags import is_delete
+from tidemark.functions.columns import col, resolve
+from tidemark.functions.flags import flag_of, is_delete, is_live
 from tidemark.functions.stamps import floor_literal
-from tidemark.operators.apply import merge_into, open_table
+from tidemark.operators.apply import create_in_catalog, merge_into, open_table
 from tidemark.operators.feed import keys_not_null, latest_per_key, since
 from tidemark.operators.layout import PART
-from tidemark.operators.merge import FLAG
+from tidemark.operators.merge import FLAG, merge_into_catalog
+from tidemark.session import staging
 from tidemark.sources.snapshot import SnapshotTable
-from tidemark.spec import FeedSpec, Layout
+from tidemark.spec import DELETE_FLAG, UPSERT_FLAGS, FeedSpec, Layout
 
 
 def apply_batch(
@@ -63,6 +65,69 @@ def bury_for_good(table: SnapshotTable, age: timedelta, spec: FeedSpec = FeedSpe
     return table.replace_parts(kept, parts, at=at)
 
 
+def last_words(feed: DataFrame, keys: Sequence[str], spec: FeedSpec = FeedSpec()) -> DataFrame:
+    """The latest change of each key over all that a stream has brought, kept in its state.
+
+    In update mode a micro-batch gives the keys it touched, with their latest change, be it from
+    this batch or an earlier one. The flag says only whether the key lives (``U``) or not (``D``).
+    """
+    spec = spec.spelled(feed.columns)
+    rows = since(feed, floor_literal(feed.schema[spec.stamp].dataType), spec)
+    latest = latest_per_key(keys_not_null(rows, keys), keys, spec, method="aggregate")
+    flag = F.when(is_live(flag_of(spec)), UPSERT_FLAGS[1]).otherwise(DELETE_FLAG)
+    return latest.withColumn(spec.op, flag)
+
+
+def stream_with_state(
+    feed: DataFrame,
+    target: SnapshotTable | str,
+    keys: Sequence[str],
+    checkpoint: str,
+    spec: FeedSpec = FeedSpec(),
+    layout: Layout = Layout(),
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start a query that keeps ``target`` at the current state of a streaming feed.
+
+    Which change of a key counts is decided by a streaming aggregate: its state holds the latest
+    change of every key, deletes included, so late rows are harmless in any order and the table
+    needs no tombstones. What reaches the table is final; it is merged without comparing stamps.
+    With key buckets only those the batch's keys fall into are read. ``target`` can also be the
+    name of a table in a catalog that supports MERGE, where a batch can safely be applied twice.
+
+    State is as large as the table and lies with the executors (RocksDB, by ``session.SETTINGS``)
+    and in the checkpoint. It is spread over the shuffle partitions of the first start, for good.
+    The checkpoint must be the only writer of the table, which has to be new or made by it.
+    """
+    keys = resolve(feed.columns, keys, "key")
+    plain = replace(spec.spelled(feed.columns), delete_when=None)
+    named = isinstance(target, str)
+    if named:
+        create_in_catalog(feed.sparkSession, target, feed, spec, layout)
+    elif open_table(target, feed, spec, layout).current()["tombstones"]:
+        raise ValueError("the table belongs to stream_cdc")
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # Running the batch is what moves the state on: once, and also if the table has it already.
+        spark = batch.sparkSession
+        with staging(spark, None if named else target.path) as stage:
+            rows = stage.put(batch, "latest")
+            if named:
+                merge_into_catalog(spark, target, rows, keys, plain)
+                return
+            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+            done = target.current()["meta"].get(query)
+            if done is None or done < batch_id:
+                merge_into(spark, target, rows, keys, plain, meta={query: batch_id})
+
+    return (
+        last_words(feed, keys, spec).writeStream.outputMode("update").foreachBatch(on_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
 def stream_cdc(
     feed: DataFrame,
     table: SnapshotTable,

@@ -17,7 +17,7 @@ import uuid
 from collections.abc import Iterable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -318,7 +318,12 @@ class SnapshotTable:
         path = f"{self.path}/{manifest['base']}/{GEN}={token}"
         fields = [f for f in self._physical(manifest).fields if f.name != PART]
         old = None if settled is None else _typed(settled, fields)
-        writer = arrange(_typed(df, fields), layout, keys, old).write
+        rows = arrange(_typed(df, fields), layout, keys, old)
+        seen = None
+        if layout.partition is None:  # counted by the tasks that write
+            seen = Observation()
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"), self._mark(rows, manifest))
+        writer = rows.write
         if layout.partition is not None:
             writer = writer.partitionBy(PART)
         if layout.bloom:  # the filter's size follows the values of a row group
@@ -326,7 +331,17 @@ class SnapshotTable:
         for name in layout.bloom:
             writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
         writer.parquet(path)  # session.SETTINGS: timestamps as micros, else no statistics to skip by
-        return self._measure(manifest, token)
+        if seen is None:
+            return self._measure(manifest, token)
+        found = seen.get
+        return [{"part": None, "dirs": [token], **found}] if found["rows"] else []
+
+    @staticmethod
+    def _mark(rows: DataFrame, manifest: dict) -> Column:
+        """Highest stamp, as it is kept in version files."""
+        stamp = manifest["stamp"]
+        mark = encode(F.max(col(stamp)), rows.schema[stamp].dataType) if stamp else F.max(F.lit(None))
+        return mark.alias("stamp")
 
     def _measure(self, manifest: dict, token: str) -> list[dict]:
         """Rows and highest stamp of each partition just written: one column of the new files."""
@@ -335,11 +350,8 @@ class SnapshotTable:
             return []
         probe = {**manifest, "gens": {token: 1}}
         rows = self._frame(probe, [{"part": None, "dirs": [token]}])
-        mark = F.lit(None)
-        if manifest["stamp"]:
-            live = col(manifest["stamp"])
-            mark = encode(F.max(live), rows.schema[manifest["stamp"]].dataType)
-        counted = rows.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"), mark.alias("stamp"))
+        count = F.count(F.lit(1)).alias("rows")
+        counted = rows.groupBy(PART).agg(count, self._mark(rows, manifest))
         return [
             {"part": r[PART], "dirs": [token], "rows": r["rows"], "stamp": r["stamp"]}
             for r in counted.collect()

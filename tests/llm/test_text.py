@@ -46,6 +46,60 @@ def test_unusual_prose_is_left_to_the_second_pass():
     assert html_extract.main_text(f"<p>{PROSE} {PROSE}</p><p>{short}</p><p>{PROSE} {PROSE}</p>").count("Brief text with one link") == 1
 
 
+def test_hinted_wrapper_with_most_of_the_text_is_no_hint():
+    items = "<ul><li>One</li><li>Two words</li></ul>"
+    for name in ("post social", "related", "widget"):
+        page = f'<div class="{name}"><h1>Headline</h1><p>{PROSE} {PROSE}</p><p>Short one.</p>{items}<p>{PROSE} {PROSE}</p></div><div class="{name}"><p>Read this too, it is the best.</p></div>'
+        assert html_extract.main_text(page) == f"Headline {PROSE} {PROSE} Short one. One Two words {PROSE} {PROSE}"
+
+
+def test_comments_longer_than_the_article_go():
+    remarks = "".join(f"<p>{PROSE}</p>" for _ in range(9))
+    for open_tag in ('<section id="comments">', '<div class="post-comments">', '<ol class="commentlist">', '<div id="respond">', '<div id="disqus_thread">', '<div class="replies list">'):
+        assert html_extract.main_text(f"<div><p>{PROSE} {PROSE}</p><p>{PROSE}</p></div>{open_tag}{remarks}") == f"{PROSE} {PROSE} {PROSE}"
+    inside = f'<div class="comments"><article><p>{PROSE} {PROSE}</p></article></div>'
+    assert html_extract.main_text(inside) == f"{PROSE} {PROSE}"
+
+
+def test_copyright_sign_in_prose():
+    marked = PROSE.replace("the old man", "the old man (photo \N{COPYRIGHT SIGN} by him)")
+    other = "Talo vanha seisoi kukkulalla kylmänä talvena kaupungin ihmisten tarinoita kuunnellessa."
+    assert html_extract.main_text(f"<p>{other}</p><p>{marked}</p><p>{other}</p>") == f"{other} {marked} {other}"
+    assert html_extract.main_text(f"<p>{PROSE} {PROSE}</p><p>© 2020 Company, no rights, all reserved. Privacy policy statement page here.</p>") == f"{PROSE} {PROSE}"
+
+
+def test_pages_without_a_decided_block_keep_their_largest_run():
+    short = [f"It was sentence number {k} of the old story." for k in range(12)]
+    assert html_extract.main_text("".join(f"<p>{s}</p>" for s in short)) == " ".join(short)
+    chinese = ["老房子在山上，冬天很冷，但是镇上的人们来看他，听他讲故事。", "他们坐在火边直到深夜，然后各自回家去了。"]
+    menu = '<p><a href="/">首页</a> <a href="/2">新闻</a></p>'
+    assert html_extract.main_text(menu + "".join(f"<p>{s}</p>" for s in chinese) + menu + "<p>联系</p>") == " ".join(chinese)
+
+
+def test_linked_paragraph_of_an_article():
+    link = '<p><a href="/x">The whole report of the day</a></p>'
+    assert html_extract.main_text(f"<article><p>{PROSE}</p>{link}<p>{PROSE}</p></article>") == f"{PROSE} The whole report of the day {PROSE}"
+    assert html_extract.main_text(f"<article><p>{PROSE}</p>{link}{link}<p>{PROSE}</p>{link}</article>") == f"{PROSE} {PROSE}"
+
+
+def test_depth_and_thresholds():
+    deep = f"<p>{PROSE} {PROSE}" + "<b>" * 40 + " end" + f"<div>{PROSE} {PROSE}</div>"
+    assert [b.text for b in html_extract.blocks_of(deep)[0]] == [f"{PROSE} {PROSE} end", f"{PROSE} {PROSE}"]
+    block = [html_extract.Block("y" * 60, 0, False, 0)]
+    assert html_extract.second_pass(block, ["short"]) == [False]
+    assert html_extract.second_pass(block, ["short"], html_extract.Rules(long=50)) == [True]
+
+
+@pytest.mark.parametrize("html", [
+    "<b>" * 40_000 + "</i>" * 40_000, '<div class="menu">x' * 40_000, "<!" * 200_000, "<p>" * 100_000, "<b>" * 60_000 + "<div>x" * 60_000, "</p>" * 100_000, "<a \"" * 100_000, "<x '" * 100_000])
+def test_time_grows_with_the_length(html):
+    import time
+
+    begin = time.process_time()
+    html_extract.main_text(html)
+    assert time.process_time() - begin < 4
+
+
 @pytest.mark.parametrize("html", [None, "", "<", "<<<", "<p", "</p>", "<!--", "<script>x", "a" * 10_000, "<div " * 5000, "<b>" * 5000, '<a href="x>', "&#xD800;&bogus;&#99999999;"])
 def test_broken_pages(html):
     assert isinstance(html_extract.main_text(html), str)
@@ -117,6 +171,13 @@ def test_long_keys_are_whole_candidates(spark, sf):
         assert pii.masked(text, pii.spans_of(text, weights)[1]) == 'my key = "[SECRET]" and more'
 
 
+def test_added_spans_never_overlap_exact_ones():
+    text = "see 12345678901 and 22345678901 or 32345678901 and " + "9" * 60
+    taken = [("x", 0, 12)] + [("x", k, k + 1) for k in range(1, 12)] + [("y", 20, 20)]
+    assert [text[a:b] for _, a, b in pii.candidates(text, taken)] == ["22345678901", "32345678901", "9" * 60]
+    assert pii.candidates(text, [("x", 0, len(text))] + [("y", k, k + 1) for k in range(len(text))]) == []
+
+
 def test_em_finds_the_reliable_labeler():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.4

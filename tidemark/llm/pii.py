@@ -16,7 +16,9 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -119,22 +121,19 @@ def candidates(text: str, taken: list[Span]) -> list[Span]:
             out.append(("secret", begin, end))
         elif n := _NUMBER.match(text, m.start()):
             done = max(done, n.end())
-            if 7 <= sum(c.isdigit() for c in n.group()) <= 34:
+            if sum(c.isdigit() for c in n.group()) >= 7:
                 out.append(("number", n.start(), n.end()))
-    kept, busy = [], sorted((a, b) for _, a, b in taken)
+    busy = sorted((a, b) for _, a, b in taken)
+    starts = [a for a, _ in busy]
+    reach = list(accumulate((b for _, b in busy), max))  # the furthest end of a span and all before it
+    kept: list[Span] = []
     for kind, a, b in sorted(out, key=lambda s: (s[1], -s[2])):
-        if (not kept or kept[-1][2] <= a) and not _overlaps(busy, a, b):
+        k = bisect_left(starts, b)  # spans that start before this one ends
+        if (not kept or kept[-1][2] <= a) and (not k or reach[k - 1] <= a):
             kept.append((kind, a, b))
     return kept
 
 
-def _overlaps(busy: list[tuple[int, int]], a: int, b: int) -> bool:
-    import bisect
-
-    k = bisect.bisect_left(busy, (b, -1))  # spans that start before b; base kinds overlap little
-    return any(y > a for _, y in busy[max(0, k - 8) : k])
-
-
 _COMMON = frozenset(ALL)
 _WORD = re.compile(r"[^\W\d_][\w-]*")
 

@@ -295,11 +295,11 @@ def _in_buckets(*args):
 
 def stream_merge_final_state(spark, sf):
     """Which change of a key counts is decided in the stream's state."""
-    return _stream_arrivals(spark, sf, _in_buckets).read()
+    return _stream_arrivals(spark, sf, stream_with_state).read()
 
 
 def stream_dirty_flags(spark, sf):
-    return _stream_arrivals(spark, sf, stream_with_state, DIRTY).read()
+    return _stream_arrivals(spark, sf, _in_buckets, DIRTY).read()
 
 
 def stream_merge_compared(spark, sf):

@@ -110,15 +110,21 @@ def stream_with_state(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         # Running the batch is what moves the state on: once, and also if the table has it already.
         spark = batch.sparkSession
-        with staging(spark, None if named else target.path) as stage:
-            rows = stage.put(batch, "latest")
-            if named:
-                merge_into_catalog(spark, target, rows, keys, plain)
-                return
-            query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-            done = target.current()["meta"].get(query)
-            if done is None or done < batch_id:
-                merge_into(spark, target, rows, keys, plain, meta={query: batch_id})
+        if named:
+            with staging(spark) as stage:
+                merge_into_catalog(spark, target, stage.put(batch, "latest"), keys, plain)
+            return
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        at = target.current()
+        done = at["meta"].get(query)
+        if done is not None and done >= batch_id:
+            batch.write.format("noop").mode("overwrite").save()
+        elif target.row_count(at) or not target.layout().cluster:  # the merge runs it once
+            merge_into(spark, target, batch, keys, plain, meta={query: batch_id}, at=at)
+        else:  # ranges are found by sampling, which would run it again
+            with staging(spark, target.path) as stage:
+                rows = stage.put(batch, "latest")
+                merge_into(spark, target, rows, keys, plain, meta={query: batch_id}, at=at)
 
     return (
         last_words(feed, keys, spec).writeStream.outputMode("update").foreachBatch(on_batch)

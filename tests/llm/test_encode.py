@@ -3,9 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import AWKWARD, awkward, empty
 from tidemark.llm import id_planes, packing, token_counts
+from tidemark.llm.common import shared_folder
 from tidemark.llm.encode import encoder
 from tidemark.llm.queries import tokenizer_file
 
@@ -70,9 +72,23 @@ def test_ids_written_in_order_and_read_back(spark):
         want.append((doc, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
     assert [(r.doc_id, r.n_tokens, r.ids_crc32) for r in rows] == want
     assert [r.start for r in rows] == np.cumsum([0, *[w[1] for w in want[:-1]]]).tolist()
+    shards = id_planes.write_ids(awkward(spark), shared_folder(spark), file, 1, block=64, file_ids=1)
+    again = id_planes.read_ids(shards).orderBy("start").collect()
+    assert [r[:4] for r in again] == [r[:4] for r in rows] and shards.count() >= shards.where("n_ids > 0").count() > 1
+    assert [r.n_ids for r in shards.orderBy("shard").collect()] == [
+        sum(r.n_tokens for r in again if r.shard == k) for k in sorted({r.shard for r in again})]
     assert id_planes.round_trip(empty(spark), file).count() == 0
 
 
+def test_files_have_a_bounded_size_whatever_the_partitions(spark):
+    docs = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("word " * 500_000).alias("text")).where("doc_id < 12")
+    shards = id_planes.write_ids(docs.coalesce(1), shared_folder(spark), tokenizer_file("word_bpe_49k.json"), 1, file_ids=1_000_000)
+    sizes = [r.n_ids for r in shards.orderBy("shard").collect()]
+    assert len(sizes) > 3 and max(sizes) < 3_000_000 and sum(sizes) == 12 * 500_001
+    back = id_planes.read_ids(shards).orderBy("doc_id").collect()
+    assert [r.start for r in back] == [k * 500_001 for k in range(12)] and len({r.ids_crc32 for r in back}) == 1
+
+
 @pytest.mark.parametrize("rule", ["first", "last", "most"])
 def test_attribution_against_the_librarys_offsets(spark, rule):
     file = tokenizer_file("byte_bpe_50k.json")

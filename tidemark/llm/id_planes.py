@@ -29,8 +29,12 @@ from .common import buckets, columns_of, shared_folder, written
 from .encode import encoder, text_slices
 
 MAGIC = b"IDPLANE1"
-SHARDS = "shard int, file string, n_docs long, n_ids long, n_bytes long"
-DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long, shard int"
+SHARDS = "shard long, file string, n_docs long, n_ids long, n_bytes long"
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long, shard long"
+#: Ids after which a file is closed and another begun.
+FILE_IDS = 4_000_000
+#: Documents that a reader hands on at once.
+ROWS = 20_000
 
 
 def to_planes(ids: np.ndarray, bits: bool = False) -> list[bytes]:
@@ -153,14 +157,15 @@ def _open(path: str, write: bool = False):
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block: int = 65_536,
-              bits: bool = False) -> DataFrame:
-    """Encode whole texts and write their ids in ascending doc_id order; a row for each shard.
+              bits: bool = False, file_ids: int = FILE_IDS) -> DataFrame:
+    """Encode whole texts and write their ids in ascending doc_id order; a row for each shard file.
 
     Rows are range-partitioned by doc_id (null first; equal ids by the text's hash) and each
-    partition writes one file. A task that runs again writes a file with another name, and only
-    the files of tasks that ended well are in the returned list, which is itself stored. Null
-    texts count as empty, empty texts give the end id alone, repeated rows are written as often.
-    An empty table gives no shard.
+    partition writes its files one after the other: a file that has ``file_ids`` ids is closed, so
+    files and what their writer and reader hold do not grow with the input or with a partition.
+    A task that runs again writes files with other names, and only the files of tasks that ended
+    well are in the returned list, which is itself stored. Null texts count as empty, empty texts
+    give the end id alone, repeated rows are written as often. An empty table gives no shard.
     """
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
     rows = columns_of(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -169,24 +174,28 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, block: in
     def write(batches):
         from pyspark import TaskContext
 
-        coder, writer, name = encoder(tokenizer), None, ""
-        shard = TaskContext.get().partitionId()
+        coder, shard, writer = encoder(tokenizer), TaskContext.get().partitionId() << 32, None
+
+        def ended():
+            size = writer.close()
+            writer.stream.close()
+            return pa.RecordBatch.from_pydict({
+                "shard": [shard], "file": [name], "n_docs": [len(writer.docs)], "n_ids": [writer.n_ids], "n_bytes": [size]})
+
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for a, b, texts in text_slices(batch.column(1)):
                 if writer is None:
-                    name = f"{path}/{shard:06d}-{uuid.uuid4().hex}.ids"
-                    stream = _open(name, write=True)
-                    writer = ShardWriter(stream, block, bits)
+                    name = f"{path}/{shard:015d}-{uuid.uuid4().hex}.ids"
+                    writer = ShardWriter(_open(name, write=True), block, bits)
                 got, lengths = coder.encode(texts)
                 got = np.insert(got.astype(np.uint32), np.cumsum(lengths), end_id)
                 writer.add(ids[a:b], (lengths + 1).tolist(), got)
+                if writer.n_ids >= file_ids:
+                    yield ended()
+                    writer, shard = None, shard + 1
         if writer is not None:
-            size = writer.close()
-            stream.close()
-            yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([shard], pa.int32()), "file": [name], "n_docs": [len(writer.docs)],
-                "n_ids": [writer.n_ids], "n_bytes": [size]})
+            yield ended()
 
     return written(rows.mapInArrow(write, SHARDS), "shards")
 
@@ -203,19 +212,19 @@ def read_ids(shards: DataFrame) -> DataFrame:
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
+                at, found = row["base"], []
                 with _open(row["file"]) as stream:
-                    docs, starts, lengths, sums, at = [], [], [], [], row["base"]
                     for doc, ids in ShardReader(stream).documents():
-                        docs.append(doc)
-                        starts.append(at)
-                        lengths.append(len(ids))
-                        sums.append(zlib.crc32(ids.astype("<u4").tobytes()))
+                        found.append((doc, at, len(ids), zlib.crc32(ids.astype("<u4").tobytes()), row["shard"]))
                         at += len(ids)
-                n = len(docs)
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": pa.array(docs, pa.int64()), "start": pa.array(starts, pa.int64()),
-                    "n_tokens": pa.array(lengths, pa.int64()), "ids_crc32": pa.array(sums, pa.int64()),
-                    "shard": pa.array([row["shard"]] * n, pa.int32())})
+                        if len(found) == ROWS:
+                            yield rows(found)
+                            found = []
+                if found:
+                    yield rows(found)
+
+    def rows(found):
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["doc_id", "start", "n_tokens", "ids_crc32", "shard"])
 
     return placed.mapInArrow(read, DOCUMENTS)
 

@@ -150,6 +150,29 @@ def test_spotsigs_queries(spark):
     assert one.near_next == 1.0
 
 
+@pytest.mark.parametrize("ids", [[None] * 60, [7] * 60, [None, 3, 3, 3, 9] * 12, list(range(60))])
+def test_spotsigs_next_row_where_ids_are_equal_or_missing(spark, ids):
+    docs = spark.createDataFrame([(d, f"text {k}") for k, d in enumerate(ids)], "doc_id long, text string")
+    pairs = {(r.text, r.next_text): r for r in spotsigs.with_next(docs, ["text", "doc_id"]).collect()}
+    after = dict(pairs.keys())
+    assert len(after) == 60
+    walk, seen = "text 0", []
+    while walk not in seen:  # one ring through all rows
+        seen.append(walk)
+        walk = after[walk]
+    assert len(seen) == 60 and walk == "text 0"
+    falls = sum((r.doc_id is None, -(r.doc_id or 0)) > (r.next_doc_id is None, -(r.next_doc_id or 0)) for r in pairs.values())
+    assert falls <= 1  # only from the last to the first
+
+
+def test_spotsigs_cuts_are_found_as_by_counting(spark):
+    rng = random.Random(5)
+    for n in (0, 1, 2, 3, 10, 97):
+        cuts = sorted(rng.sample(range(-300, 300), n))
+        rows = spark.range(-310, 310, 7).select("id", spotsigs._below(cuts, F.col("id")).alias("k")).collect()
+        assert all(r.k == sum(c < r.id for c in cuts) for r in rows)
+
+
 def test_spotsigs_passage_gives_same_chains_beside_prose(spark):
     items = " ".join(f"item{k}" for k in range(60))  # no anchor
     prose = " ".join(f"the word{k} of thing{k}" for k in range(200))

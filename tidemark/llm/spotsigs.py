@@ -12,6 +12,8 @@ than the wanted likeness allows are never intersected. Only DataFrame functions
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -59,33 +61,47 @@ def as_text(signature: str) -> Column:
     return F.array_join(F.col(signature).cast("array<string>"), " ")
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
+def _below(cuts: list[int], value: Column) -> Column:
+    """How many of the sorted cuts are below a value: steps over the square root of their number, twice."""
+    step = max(1, math.isqrt(len(cuts)))
+    fine, coarse = (F.array(*map(F.lit, c)).cast("array<long>") for c in (cuts, cuts[step - 1 :: step]))
+    whole = F.size(F.filter(coarse, lambda c: c < value)) * step
+    return whole + F.size(F.filter(F.slice(fine, whole + 1, F.lit(step)), lambda c: c < value))
+
+
+def with_next(rows: DataFrame, columns: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Adds next_<column> of the next row by descending doc_id; after the last comes the first.
 
     Rows are dealt to ranges of doc_id. The first row of each range is also put, marked, behind
     the last row of the range before it, so each range finds its rows' successors by itself and
-    only one row of each range is handled twice. Null ids come last, equal ids by text.
+    only one row of each range is handled twice. ``prepare`` adds columns to rows so dealt, which
+    ``columns`` may name. Null ids come last; equal ids and null ones follow each other by a hash of
+    the text and then the text, and are dealt to ranges of that hash where they are many.
     """
-    spark = rows.sparkSession
-    n = SPREAD * buckets(spark)
-    cuts = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    edges = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<long>")
-    place = F.coalesce(F.size(F.filter(edges, lambda c: c < F.col("doc_id"))), F.lit(0))
-    rows = rows.withColumn("_range", F.when(F.col("doc_id").isNull(), 0).otherwise(place))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text").desc()]
-    tops = rows.groupBy("_range").agg(F.max("doc_id").alias("_top"))
+    n = SPREAD * buckets(rows.sparkSession)
+    found = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
+    cuts = sorted(set(found))
+    often = [c for c, k in Counter(found).items() if k > 1]  # such an id fills a range by itself
+    rows = rows.withColumn("_hash", F.shiftrightunsigned(F.xxhash64("text"), 52))  # 12 bits
+    place = _below(cuts, F.col("doc_id")).cast("long") * 8192
+    split = F.col("_hash") + 1
+    rows = rows.withColumn("_range", F.when(F.col("doc_id").isNull(), split - 8192).when(F.col("doc_id").isin(often), place + split).otherwise(place))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("_hash").desc(), F.col("text").desc()]
+    tops = rows.groupBy("_range").agg(F.max(F.struct("doc_id", "_hash")).alias("_top"))
     # one row for each range: where its first row is needed again
     ring = Window.orderBy(F.col("_range").desc())
     last = Window.partitionBy()
-    moved = tops.select("_range", "_top", F.coalesce(F.lag("_range").over(ring), F.min("_range").over(last)).alias("_to"))
-    heads = rows.join(F.broadcast(moved.withColumnRenamed("_range", "_r")), F.col("doc_id").eqNullSafe(F.col("_top")) & (F.col("_range") == F.col("_r")))
+    moved = tops.select(
+        F.col("_range").alias("_r"), F.col("_top.doc_id").alias("_d"), F.col("_top._hash").alias("_h"),
+        F.coalesce(F.lag("_range").over(ring), F.min("_range").over(last)).alias("_to"))
+    heads = rows.join(F.broadcast(moved), (F.col("_range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h")))
     first = Window.partitionBy("_r").orderBy(*order)
     heads = heads.withColumn("_n", F.row_number().over(first)).where("_n = 1")
     marked = rows.withColumn("_mark", F.lit(0)).unionByName(
         heads.drop("_range").withColumnRenamed("_to", "_range").withColumn("_mark", F.lit(1)).select(*rows.columns, "_mark"))
+    marked = prepare(marked.repartition("_range"))
     within = Window.partitionBy("_range").orderBy("_mark", *order)
-    return marked.withColumns({f"next_{c}": F.lead(c).over(within) for c in columns}).where("_mark = 0").drop("_mark", "_range")
+    return marked.withColumns({f"next_{c}": F.lead(c).over(within) for c in columns}).where("_mark = 0").drop("_mark", "_range", "_hash")
 
 
 def fingerprints(docs: DataFrame, stop_words: list[str] = ALL) -> DataFrame:
@@ -96,7 +112,7 @@ def fingerprints(docs: DataFrame, stop_words: list[str] = ALL) -> DataFrame:
     """
     rows = columns_of(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(with_signature(rows, "text", "sig", stop_words), ["text", "sig"])
+    rows = with_next(rows, ["text", "sig"], lambda df: with_signature(df, "text", "sig", stop_words))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.concat(
         F.substring("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substring("next_text", F.lit(1), half)))

@@ -295,6 +295,28 @@ def test_models_keep_all_grams_of_many_languages(spark, monkeypatch):
     assert names == [lang for _, _, lang in rows] and not odd.any()
 
 
+def test_all_training_texts_calibrate_the_models(spark):
+    import random
+
+    rng = random.Random(5)
+    letters = {"aa": "abcde ", "bb": "defgh ", "cc": "hijkl "}
+    rows = [(k if k % 9 else None, "".join(rng.choices(letters[lang], k=rng.randrange(60))), lang)
+            for k in range(3_000) for lang in letters]
+    models = langid.learn(spark.createDataFrame(rows + rows[:500], "doc_id long, text string, lang string").repartition(3))
+    rows = sorted(set(rows), key=str)  # rows that repeat are one
+    entropy, n = models.cross_entropy([t for _, t, _ in rows])
+    truth = np.array([models.langs.index(lang) for *_, lang in rows])
+    for k in range(3):
+        x, length = entropy[(truth == k) & (n > 0), k], n[(truth == k) & (n > 0)]
+        square = (x - np.median(x)) ** 2
+        assert models.centre[k] == pytest.approx(np.median(x), rel=1e-9)
+        assert models.between[k] == pytest.approx(max(square[length >= np.median(length)].mean(), 1e-4), rel=1e-6)
+        assert models.within[k] == pytest.approx(max((square * length).mean(), 0.5), rel=1e-6)
+    gap = -(entropy - entropy.min(axis=1, keepdims=True)) * np.minimum(n, 30)[:, None]
+    losses = [(np.log(np.exp(gap * s).sum(axis=1)) - gap[np.arange(len(gap)), truth] * s).mean() for s in langid.SHARP]
+    assert models.sharp == langid.SHARP[int(np.argmin(losses))]
+
+
 def test_folding_and_independence_of_neighbours():
     alone, _ = langid.grams_of(["Ab  c!1"])
     both, counts = langid.grams_of(["x y", "Ab  c!1", ""])

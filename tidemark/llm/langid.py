@@ -9,7 +9,7 @@ nothing and spreads the keys. Spark computes all counts and probabilities and wr
 arrays of these hashes, with a log probability for each language that has the gram, to files of
 bounded size in the shared folder; no gram is left out. Tasks map the files they look into, so the
 driver holds only their names. A text gets the language with the lowest cross-entropy per character.
-Rejection and confidence are calibrated on a bounded sample of training texts.
+Rejection and confidence are calibrated on all training texts; the driver gets sums by language.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_position, columns_of, shared_folder, written
+from .common import by_position, columns_of, numbered, shared_folder, written
 from .encode import text_slices
 from .id_planes import _open
 
@@ -32,8 +32,8 @@ ORDER = 4
 START, SPACE = 1, 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = 0x30000  # characters beyond count as no letters
-#: Training texts on which rejection and confidence are calibrated.
-SAMPLE = 4_000
+#: How sharp confidence can be.
+SHARP = (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0)
 #: Entries of one file of the models, about; 20 bytes each.
 FILE = 2_000_000
 UNKNOWN = "und"
@@ -352,11 +352,11 @@ def _kneser_ney(counts: DataFrame, langs: list[str]) -> Models:
     return Models(langs, dict(zip(orders, stored[::2])), dict(zip(orders, stored[1::2])), np.full(m, -np.log(alphabet)))
 
 
-def learn(train: DataFrame, sample: int = SAMPLE) -> Models:
+def learn(train: DataFrame) -> Models:
     """Models of all languages of text, lang (rows with a null in either are left out).
 
     All texts and all grams count, and the models keep all grams, in files of the shared folder.
-    No language: models that know none.
+    All texts calibrate them, too, rows that repeat once. No language: models that know none.
     """
     train = columns_of(train, "doc_id", "text", "lang").where("text is not null and lang is not null")
     counts = written(count_grams(train), "grams")
@@ -364,52 +364,71 @@ def learn(train: DataFrame, sample: int = SAMPLE) -> Models:
     if not langs:
         return Models([], {}, {}, np.zeros(0))
     models = _kneser_ney(counts, langs)
-    _calibrate(models, train, sample)
+    _calibrate(models, train)
     return models
 
 
-def _calibrate(models: Models, train: DataFrame, sample: int) -> None:
-    """Centre and spread of each language's cross-entropy, and the sharpness of confidence."""
-    hashed = train.withColumn("_h", F.xxhash64("doc_id", "text", "lang"))  # rows that repeat are one
-    chosen = hashed.select("_h").distinct().orderBy("_h").limit(sample)
-    own = hashed.join(F.broadcast(chosen), "_h", "left_semi").dropDuplicates(["_h"]).orderBy("_h")
-    judged = scored(own.where(F.col("lang").isin(models.langs)), models).toPandas()
-    entropy = np.array(judged["entropy"].tolist()).reshape(len(judged), len(models.langs))
-    n = judged["n"].to_numpy()
-    truth = judged["lang"].map({lang: k for k, lang in enumerate(models.langs)}).to_numpy(np.int64)
+def _calibrate(models: Models, train: DataFrame) -> None:
+    """Centre and spread of each language's cross-entropy, and the sharpness of confidence.
+
+    Every text gives one short row where it is read. Medians are the middle rows of one distributed
+    sort. Sums are decimals, so that they don't depend on the order of the rows.
+    """
     m = len(models.langs)
-    models.centre, models.between, models.within = np.zeros(m), np.zeros(m), np.zeros(m)
-    for k in range(m):
-        mine = (truth == k) & (n > 0)
-        x, length = entropy[mine, k], n[mine].astype(float)
-        if len(x) == 0:
-            models.centre[k], models.between[k], models.within[k] = np.log(1e3), 1.0, 1.0
-            continue
-        models.centre[k] = np.median(x)
-        square = (x - models.centre[k]) ** 2
-        long = length >= np.median(length)
-        models.between[k] = max(square[long].mean(), 1e-4)
-        models.within[k] = max((square * length).mean(), 0.5)
-    gap = -(entropy - entropy.min(axis=1, keepdims=True, initial=np.inf)) * np.minimum(n, 30)[:, None]
-    best = (np.inf, 1.0)
-    for sharp in (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0):
-        z = gap * sharp
-        loss = -(z[np.arange(len(z)), truth] - np.log(np.exp(z).sum(axis=1))).mean() if len(z) else 0.0
-        best = min(best, (loss, sharp))
-    models.sharp = best[1]
+    hashed = train.where(F.col("lang").isin(models.langs)).withColumn("_h", F.xxhash64("doc_id", "text", "lang"))
+    judged = written(scored(hashed, models).dropDuplicates(["_h", "lang", "n"]), "judged")  # rows that repeat are one
+    some = judged.where("n > 0")
+    counts = np.zeros(m, np.int64)
+    for lang, count in some.groupBy("lang").count().collect():
+        counts[lang] = count
+    length = F.col("n").cast("double")
+    values = some.select("lang", F.lit(0).alias("kind"), F.col("own").alias("value"), "_h").union(
+        some.select("lang", F.lit(1), length, "_h"))
+    begin = 2 * (np.cumsum(counts) - counts)[:, None] + np.outer(counts, [0, 1])  # of each language's values of a kind
+    low, high = begin + (counts[:, None] - 1) // 2, begin + counts[:, None] // 2
+    places = sorted({*low[counts > 0].ravel().tolist(), *high[counts > 0].ravel().tolist()})
+    middle = dict(numbered(values, ["lang", "kind", "value", "_h"]).where(F.col("_position").isin(places)).select("_position", "value").collect())
+    medians = [[(middle[i] + middle[j]) / 2 if n else 0.0 for i, j in zip(*ends)] for n, *ends in zip(counts, low.tolist(), high.tolist())]
+
+    def of(kind: int) -> Column:
+        return F.array(*[F.lit(x[kind]) for x in medians])[F.col("lang")]
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(x.cast("decimal(28,12)")), F.lit(0))
+
+    square, long = F.pow(F.col("own") - of(0), F.lit(2.0)), length >= of(1)
+    sums = judged.groupBy("lang").agg(
+        F.count("*"), F.count_if((F.col("n") > 0) & long), total(F.when((F.col("n") > 0) & long, square)),
+        total(F.when(F.col("n") > 0, square * length)), *[total(F.col(f"loss{k}")) for k in range(len(SHARP))]).collect()
+    models.centre, models.between, models.within = np.full(m, np.log(1e3)), np.ones(m), np.ones(m)
+    for k, _, longer, spread, weighted, *_ in sums:
+        if counts[k]:
+            models.centre[k] = medians[k][0]
+            models.between[k] = max(float(spread) / longer, 1e-4)
+            models.within[k] = max(float(weighted) / int(counts[k]), 0.5)
+    rows = sum(r[1] for r in sums)
+    models.sharp = min((float(sum(r[5 + k] for r in sums)) / rows, sharp) for k, sharp in enumerate(SHARP))[1]
 
 
 def scored(docs: DataFrame, models: Models) -> DataFrame:
-    """lang, entropy by language, n of each text."""
+    """_h, number of lang, n, the cross-entropy of the text's own language and its log loss at each sharpness."""
     shared = docs.sparkSession.sparkContext.broadcast(models)
+    names = ["_h", "lang", "n", "own", *[f"loss{k}" for k in range(len(SHARP))]]
 
     def run(batches):
+        number = {lang: k for k, lang in enumerate(shared.value.langs)}
         for batch in batches:
-            for a, b, texts in text_slices(batch.column(1)):
+            truth = np.array([number[lang] for lang in batch.column(1).to_pylist()], np.int32)
+            for a, b, texts in text_slices(batch.column(2)):
                 entropy, n = shared.value.cross_entropy(texts)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(entropy.tolist(), pa.list_(pa.float64())), pa.array(n)], names=["lang", "entropy", "n"])
+                rows, mine = np.arange(b - a), truth[a:b]
+                gap = -(entropy - entropy.min(axis=1, keepdims=True)) * np.minimum(n, 30)[:, None]
+                losses = [np.log(np.exp(gap * sharp).sum(axis=1)) - gap[rows, mine] * sharp for sharp in SHARP]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[a:b], *map(pa.array, (mine, n, entropy[rows, mine], *losses))], names=names)
 
-    return docs.select("lang", "text").mapInArrow(run, "lang string, entropy array<double>, n long")
+    return docs.select("_h", "lang", "text").mapInArrow(
+        run, "_h long, lang int, n long, own double, " + ", ".join(f"{x} double" for x in names[4:]))
 
 
 def identify(docs: DataFrame, models: Models, keep: list[str], strict: float = 8.0) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import AWKWARD, awkward, empty
 from tidemark.llm import id_planes, packing, token_counts
 from tidemark.llm.common import shared_folder
-from tidemark.llm.encode import encoder
+from tidemark.llm.encode import Encoder, encoder
 from tidemark.llm.queries import tokenizer_file
 
 FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
@@ -180,3 +180,16 @@ def test_pack_has_no_gaps(spark):
         assert crc == zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())
     assert sum(r.doc_id == 2 and r.piece == 0 for r in rows) == 2  # both rows
     assert packing.pack(empty(spark), file).count() == 0
+
+
+def test_ids_do_not_depend_on_how_many_pieces_a_call_encodes(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(rng.choice(" abcé1,") for _ in range(40)) for _ in range(200)]
+    for name in FILES:
+        want = encoder(tokenizer_file(name)).encode(texts)
+        fresh, calls = Encoder(tokenizer_file(name)), []
+        monkeypatch.setattr("tidemark.llm.encode.PIECES", 7)
+        monkeypatch.setattr(fresh.rules, "encode_many", lambda pieces, many=fresh.rules.encode_many: calls.append(len(pieces)) or many(pieces))
+        got = fresh.encode(texts)
+        assert max(calls) <= 7 < sum(calls) and all((a == b).all() for a, b in zip(got, want))
+        monkeypatch.undo()

@@ -7,7 +7,7 @@ import pytest
 
 import corpus_pipeline
 from tests.llm.helpers import AWKWARD, PROSE, awkward, clashing, empty
-from tidemark.llm import html_extract, langid, mixing, pii, queries
+from tidemark.llm import common, encode, html_extract, langid, mixing, pii, queries
 from tidemark.llm.common import written
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header>
@@ -317,6 +317,25 @@ def test_all_training_texts_calibrate_the_models(spark):
     assert models.sharp == langid.SHARP[int(np.argmin(losses))]
 
 
+def test_counting_holds_few_grams_of_many_languages(spark, monkeypatch):
+    rows = [(f"{a}{b}{a} {b}", f"l{k}") for k in range(40) for a in "abc" for b in "xyz"]
+    docs = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    want = sorted(langid.count_grams(docs).collect())
+    monkeypatch.setattr(langid, "HELD", 30)
+    monkeypatch.setattr(langid, "_grams", lambda texts, grams=langid._grams: grams(texts, 10))
+    assert sorted(langid.count_grams(docs).collect()) == want
+
+
+def test_a_worker_keeps_what_one_step_needs(spark):
+    models = langid.learn(spark.createDataFrame([(1, "abab abba", "aa"), (2, "cdcd", "bb")], "doc_id long, text string, lang string"))
+    models.judge(["abba"], 8.0)
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    first = encode.encoder(path)
+    assert encode.encoder(path) is first and list(common._KEPT) == ["encoders"]  # no model
+    names, *_ = models.judge(["abba", "dcd"], 8.0)
+    assert names == ["aa", "bb"] and len(common._KEPT) == 1 and encode.encoder(path) is not first
+
+
 def test_folding_and_independence_of_neighbours():
     alone, _ = langid.grams_of(["Ab  c!1"])
     both, counts = langid.grams_of(["x y", "Ab  c!1", ""])

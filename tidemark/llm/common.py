@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -12,6 +14,21 @@ from tidemark.session import shared_dir
 #: ASCII white space as the contracts name it: space and tab to carriage return.
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+_KEPT: dict[str, dict] = {}
+
+
+def kept_in_worker(user: str) -> dict:
+    """What one user keeps in this Python worker from task to task; what others kept is let go.
+
+    A worker serves one step after the other, so its memory need only do for each alone.
+    """
+    if user not in _KEPT:
+        _KEPT.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _KEPT[user] = {}
+    return _KEPT[user]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -17,9 +17,13 @@ from itertools import chain
 
 import numpy as np
 
+from .common import kept_in_worker
+
 #: Chunks kept per worker before the dictionary starts anew; bounds a worker's memory.
 MAX_CHUNKS = 900_000
 MAX_CHARS = 30_000_000
+#: Pre-tokens that the library encodes in one call; it needs far more memory for them than their ids do.
+PIECES = 20_000
 #: Characters beyond which one text is encoded in parts.
 LONG = 1_000_000
 
@@ -163,7 +167,8 @@ class Encoder:
             store.add(["\n"], np.array([rules.newline], np.uint16), np.array([1]))
         if want:
             want = list(want)
-            store.add(want, *rules.encode_many(want))
+            for i in range(0, len(want), PIECES):
+                store.add(want[i : i + PIECES], *rules.encode_many(want[i : i + PIECES]))
         self.chunks.add(plain, *store.gather(pres))
         if odd:
             got = [e.ids for e in rules.tokenizer.encode_batch_fast([rules.chunk(k) for k in odd], add_special_tokens=False)]
@@ -198,14 +203,12 @@ class Encoder:
         return self.chunks.gather(lists)
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder of this file. Vocabularies must have fewer than 65,536 ids."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    encoders = kept_in_worker("encoders")
+    if path not in encoders:
+        encoders[path] = Encoder(path)
+    return encoders[path]
 
 
 def text_slices(column, chars: int = 1_500_000):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import by_position, columns_of, numbered, shared_folder, written
+from .common import by_position, columns_of, kept_in_worker, numbered, shared_folder, written
 from .encode import text_slices
 from .id_planes import _open
 
@@ -32,6 +32,8 @@ ORDER = 4
 START, SPACE = 1, 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LIMIT = 0x30000  # characters beyond count as no letters
+#: Grams that a task holds while it counts.
+HELD = 2_000_000
 #: How sharp confidence can be.
 SHARP = (0.02, 0.05, 0.1, 0.2, 0.35, 0.5, 0.7, 1.0)
 #: Entries of one file of the models, about; 20 bytes each.
@@ -116,9 +118,13 @@ def _grams(texts: list[str], chars: int = 1_000_000):
 
 
 def count_grams(train: DataFrame) -> DataFrame:
-    """lang, gram, n over all texts of text, lang; each task adds up before the shuffle."""
+    """lang, gram, n over all texts of text, lang; each task adds up before the shuffle.
+
+    A task holds about ``HELD`` grams of all languages at a time.
+    """
 
     def count(batches):
+        kept_in_worker("grams")
         held: dict[str, list[np.ndarray]] = {}
         for batch in batches:
             langs = batch.column(1).to_pylist()
@@ -134,10 +140,15 @@ def count_grams(train: DataFrame) -> DataFrame:
                             g, at = np.unique(np.concatenate([old[0], g]), return_inverse=True)
                             n = np.bincount(at, np.concatenate([old[1], n])).astype(np.int64)
                         held[lang] = [g, n]
-                        if len(g) > 2_000_000:
-                            yield rows(lang, *held.pop(lang))
-        for lang, (g, n) in held.items():
-            yield rows(lang, g, n)
+                    if sum(len(g) for g, _ in held.values()) > HELD:
+                        yield from taken(held)
+        yield from taken(held)
+
+    def taken(held):
+        while held:
+            lang, (g, n) = held.popitem()
+            for i in range(0, len(g), 100_000):
+                yield rows(lang, g[i : i + 100_000], n[i : i + 100_000])
 
     def rows(lang, g, n):
         return pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
@@ -206,9 +217,6 @@ def _mapped(path: str) -> pa.Buffer:
         return stream.read_buffer()
 
 
-_ARRAYS: dict[str, _Array] = {}
-
-
 @dataclass
 class _Level:
     """The files of one order's grams; a file has the hashes that start with ``bits`` given bits."""
@@ -227,9 +235,10 @@ class _Level:
         for k, path in self.files.items():
             mine = order[(ends[k - 1] if k else 0) : ends[k]]
             if len(mine):
-                if path not in _ARRAYS:
-                    _ARRAYS[path] = _Array(path, self.bits)
-                r, own, v = _ARRAYS[path].entries(h[mine])
+                arrays = kept_in_worker(path.rpartition("/")[0])  # one folder for all files of the models
+                if path not in arrays:
+                    arrays[path] = _Array(path, self.bits)
+                r, own, v = arrays[path].entries(h[mine])
                 rows.append(mine[r])
                 lang.append(own)
                 values.append(v)

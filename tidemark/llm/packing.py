@@ -38,7 +38,7 @@ def encoded_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int)
         coder, serial = encoder(tokenizer), TaskContext.get().partitionId() << 40
         for batch in batches:
             ids = batch.column(0).to_pylist()
-            for a, b, texts in text_slices(batch.column(1)):
+            for a, b, texts in text_slices(batch.column(1), 500_000):
                 got, lengths = coder.encode(texts)
                 ends = np.cumsum(lengths + 1)
                 raw = memoryview(np.insert(got.astype("<u4"), np.cumsum(lengths), end_id).tobytes())

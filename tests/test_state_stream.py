@@ -36,6 +36,16 @@ def test_any_arrival_order_gives_the_current_state(spark, tmp_path):
     assert state_files  # written by the RocksDB store
 
 
+def test_a_batch_commits_its_changes_and_not_the_whole_state(spark, tmp_path):
+    landing, check, table = str(tmp_path / "in"), tmp_path / "check", SnapshotTable(spark, str(tmp_path / "t"))
+    for i in range(3):
+        feed(spark, [(k, i, "U" if k % 7 else "D", i) for k in range(i, 40, i + 1)]).coalesce(1).write.mode("append").parquet(landing)
+        run(spark, landing, table, str(check))
+        parts = [p for p in (check / "state" / "0").iterdir() if p.name.isdigit()]
+        assert parts and all((p / f"{i + 1}.changelog").exists() for p in parts)
+    assert sorted(ops.current_state(spark.read.parquet(landing), ["k"], SPEC).collect()) == sorted(table.read().drop("recordstamp").collect())
+
+
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     landing, check, table = str(tmp_path / "in"), tmp_path / "check", SnapshotTable(spark, str(tmp_path / "t"))
     feed(spark, [(1, 1, "I", 1), (2, 1, "I", 2)]).coalesce(1).write.parquet(landing)

@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # State of all keys on disk with each executor, and its changes in the checkpoint.
     "spark.sql.streaming.stateStore.providerClass": STATE_STORE,
+    # A batch commits its changes only; whole states are written in the background.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.scheduler.mode": "FAIR",
 }
 
